@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -129,15 +130,19 @@ def build_roster(
     )
 
 
+def owner_scope(t: Tables, ids: DataFrame) -> Tables:
+    """Answers and engagement are only looked up for the owners of enrolled entities."""
+    key = F.col("partner_id").cast("string")
+    dim = t.entity_dim.withColumn("pid", key).join(ids.select("pid"), ["pid"], "left_semi").drop("pid")
+    return replace(t, entity_dim=dim)
+
+
 def roster(t: Tables, cfg: FunnelConfig, mg: DataFrame | None = None) -> DataFrame:
     ids = enrolled(t, cfg)
-    # Answers and engagement are only looked up for enrolled entities.
-    dims = Tables(
-        **{**vars(t), "entity_dim": t.entity_dim.join(ids, t.entity_dim["partner_id"].cast("string") == ids["pid"], "left_semi")}
-    )
+    scope = owner_scope(t, ids)
     f2 = t.cohorts.filter(F.col("flow") == "flow2")
     return build_roster(
-        anchors(ids, t.optins, cfg), feedback(dims, cfg), engagement(dims), f2, cfg.as_of, mg, cfg.screens
+        anchors(ids, t.optins, cfg), feedback(scope, cfg), engagement(scope), f2, cfg.as_of, mg, cfg.screens
     )
 
 

@@ -35,17 +35,12 @@ def read_cohorts(spark: SparkSession, path: str, flows: Sequence[str] = ("flow1"
     """``{flow1: [id], flow2: [id]}`` documents -> (entity, flow) rows."""
     schema = T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in flows])
     docs = spark.read.schema(schema).json(path, multiLine=True)
-    pairs = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(f), F.array().cast("array<string>")),
-                    lambda e, f=f: F.struct(e.alias("pid"), F.lit(f).alias("flow")),
-                )
-                for f in flows
-            ]
-        )
-    )
+
+    def tagged(flow: str) -> Column:
+        ids = F.coalesce(F.col(flow), F.array().cast("array<string>"))
+        return F.transform(ids, lambda e: F.struct(e.alias("pid"), F.lit(flow).alias("flow")))
+
+    pairs = F.flatten(F.array(*[tagged(f) for f in flows]))
     return docs.select(F.inline(pairs)).distinct()
 
 

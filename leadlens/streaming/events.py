@@ -11,10 +11,11 @@ from ..session import fresh_path
 
 
 def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """File stream over a parquet folder, or over one file inside its folder."""
+    """File stream over a parquet folder or a single parquet file."""
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    # A pattern that matches exactly this path: a plain path must be a folder.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _event_time(sdf: DataFrame, ts: str) -> DataFrame:
