@@ -11,13 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FunnelConfig
-from ..functions.temporal import shift_minutes
 from ..operators.ordered import next_event
-from ..plans.tables import Tables
 from ..sources.files import scan
 
 CONFIG = FunnelConfig(
@@ -50,20 +48,30 @@ STATE_OF_K = [
 FIRST_MOBILE = 5999999997
 
 
-def ladder(col: Column, steps, default) -> Column:
-    """First upper limit above the value wins."""
-    out = None
-    for hi, value in steps:
-        out = F.when(col < hi, F.lit(value)) if out is None else out.when(col < hi, F.lit(value))
-    return out.otherwise(F.lit(default))
+def ladder(expr: str, steps, default: str | None) -> str:
+    """SQL: the first upper limit above the value wins."""
+    rungs = " ".join(f"WHEN {expr} < {hi} THEN '{value}'" for hi, value in steps)
+    return f"CASE {rungs} ELSE {'NULL' if default is None else repr(default)} END"
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+MOBILE = f"CAST(user_id + {FIRST_MOBILE} AS STRING)"
+CONNECTION = "concat(user_id, '/', datediff(to_date(ts), DATE'2024-01-01') div 4)"
+ACCOUNT = "concat(user_id, '-', k div 50)"
+NUMBER = "(user_id + k div 34)"
+CSP = f"concat('e', {NUMBER})"
+PARTNER = f"CAST({NUMBER} + 1000 AS STRING)"
+LCO = "concat('L', user_id, '-', k div 10)"
+STATE = ladder("k", STATE_OF_K, "DECLINED")
+UPDATED = "ts + make_dt_interval(0, 0, k * 10)"
+
+
+def by_type(default: str, **names: str) -> str:
+    rungs = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in names.items())
+    return f"CASE event_type {rungs} ELSE '{default}' END"
 
 
 class EventRoles:
-    """Role tables over one data folder."""
+    """Role tables over one data folder; each attribute has the name and columns of a ``Tables`` field."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
@@ -73,293 +81,224 @@ class EventRoles:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events").select(
-            "event_id",
-            "ts",
-            "user_id",
-            "event_type",
-            "value",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+        return self.table("events").selectExpr(
+            "event_id", "ts", "user_id", "event_type", "value", "CAST(get_json_object(props, '$.k') AS INT) AS k"
         )
 
     def of(self, *types: str) -> DataFrame:
         return self.events.filter(F.col("event_type").isin(list(types)))
 
-    @property
-    def mobile(self) -> Column:
-        return (F.col("user_id") + FIRST_MOBILE).cast("string")
-
-    @property
-    def connection(self) -> Column:
-        block = F.call_function("div", F.datediff(F.to_date("ts"), F.lit(dt.date(2024, 1, 1))), F.lit(4))
-        return _text(F.col("user_id"), "/", block)
-
-    @property
-    def account(self) -> Column:
-        return _text(F.col("user_id"), "-", F.call_function("div", F.col("k"), F.lit(50)))
-
-    @property
-    def number(self) -> Column:
-        return F.col("user_id") + F.call_function("div", F.col("k"), F.lit(34))
-
-    @property
-    def csp(self) -> Column:
-        return _text("e", self.number)
-
-    @property
-    def partner(self) -> Column:
-        return (self.number + 1000).cast("string")
-
     # ---- facts -----------------------------------------------------------------------------
 
+    @cached_property
     def bookings(self) -> DataFrame:
-        signups = self.of("signup").select("user_id", "event_id", self.mobile.alias("mobile"), "ts")
-        chained = next_event(signups, ["user_id"], "ts", "next_ts", ["event_id"])
-        local = shift_minutes("ts", 330)
-        return chained.select(
-            "mobile", F.to_date(local).alias("booking_date"), local.alias("bt"), shift_minutes("next_ts", 330).alias("nb")
+        signups = self.of("signup").selectExpr("user_id", "event_id", f"{MOBILE} AS mobile", "ts")
+        local = "ts + INTERVAL '330' MINUTE"
+        return next_event(signups, ["user_id"], "ts", "next_ts", ["event_id"]).selectExpr(
+            "mobile", f"to_date({local}) AS booking_date", f"{local} AS bt", "next_ts + INTERVAL '330' MINUTE AS nb"
         )
 
-    def _lco(self) -> Column:
-        return _text("L", F.col("user_id"), "-", F.call_function("div", F.col("k"), F.lit(10)))
-
+    @cached_property
     def accounts(self) -> DataFrame:
-        return self.of("signup").select(
-            self.mobile.alias("mobile"),
-            self.account.alias("account_id"),
-            F.when(F.col("k") < 90, self._lco()).alias("lco_account_id"),
-            F.when(F.col("value") > 5, F.col("ts")).alias("added_time"),
-            ladder(F.col("k"), [(15, "A"), (30, "B"), (45, "G"), (60, "H"), (80, "C")], None).alias("group_name"),
-            (F.col("value") > 100).alias("deleted"),
+        return self.of("signup").selectExpr(
+            f"{MOBILE} AS mobile",
+            f"{ACCOUNT} AS account_id",
+            f"CASE WHEN k < 90 THEN {LCO} END AS lco_account_id",
+            "CASE WHEN value > 5 THEN ts END AS added_time",
+            ladder("k", [(15, "A"), (30, "B"), (45, "G"), (60, "H"), (80, "C")], None) + " AS group_name",
+            "value > 100 AS deleted",
         )
 
+    @cached_property
     def test_accounts(self) -> DataFrame:
-        return self.of("error").filter(F.col("value") > 100).select(
-            F.when(F.col("k") < 95, self._lco()).alias("lco_account_id")
-        )
+        return self.of("error").filter("value > 100").selectExpr(f"CASE WHEN k < 95 THEN {LCO} END AS lco_account_id")
 
+    @cached_property
     def all_accounts(self) -> DataFrame:
-        return self.of("signup").select(
-            self.mobile.alias("mobile"), F.when(F.col("value") >= 1, self.account).alias("account_id")
+        return self.of("signup").selectExpr(
+            f"{MOBILE} AS mobile", f"CASE WHEN value >= 1 THEN {ACCOUNT} END AS account_id"
         )
 
+    @cached_property
     def event_history(self) -> DataFrame:
-        kind = (
-            F.when(F.col("event_type") == "view", "CONNECTION_REQUEST")
-            .when(F.col("event_type") == "click", "ALLOCATION_ACCEPTED")
-            .otherwise("OTHER")
-        )
-        return self.events.select(
-            self.connection.alias("connection_id"),
-            kind.alias("event_type"),
-            F.col("ts").alias("event_timestamp"),
-            (F.col("value") > 150).alias("deleted"),
+        return self.events.selectExpr(
+            f"{CONNECTION} AS connection_id",
+            by_type("OTHER", view="CONNECTION_REQUEST", click="ALLOCATION_ACCEPTED") + " AS event_type",
+            "ts AS event_timestamp",
+            "value > 150 AS deleted",
         )
 
+    @cached_property
     def connections(self) -> DataFrame:
-        return (
-            self.of("view")
-            .groupBy(self.connection.alias("connection_id"), "user_id")
-            .agg(F.min("k").alias("k"), F.max("value").alias("v"))
-            .select("connection_id", self.account.alias("customer_id"), (F.col("v") > 5).alias("active"))
+        grouped = self.of("view").groupBy(F.expr(CONNECTION).alias("connection_id"), "user_id")
+        return grouped.agg(F.min("k").alias("k"), F.max("value").alias("v")).selectExpr(
+            "connection_id", f"{ACCOUNT} AS customer_id", "v > 5 AS active"
         )
 
-    def _state(self) -> Column:
-        return ladder(F.col("k"), STATE_OF_K, "DECLINED")
-
+    @cached_property
     def candidates(self) -> DataFrame:
-        kind, value, k = F.col("event_type"), F.col("value"), F.col("k")
-        declined = k >= 93
-        return self.events.filter(kind != "signup").select(
-            self.connection.alias("connection_id"),
-            F.col("event_id").cast("string").alias("execution_candidate_id"),
-            self.csp.alias("csp_id"),
-            self._state().alias("current_state"),
-            F.col("ts").alias("created_at"),
-            (F.col("ts") + F.make_dt_interval(mins=k * 10)).alias("updated_at"),
-            F.when(kind == "view", F.date_add(F.to_date("ts"), 1)).alias("proposed_slot_date"),
-            F.when((kind == "click") & (value > 20), shift_minutes("ts", 120)).alias("confirmed_slot_at"),
-            F.when((kind == "purchase") & (value > 60), shift_minutes("ts", 360)).alias("installation_completed_at"),
-            F.when((kind == "error") & (value > 20), _text("x", k)).alias("executor_id"),
-            F.when(kind != "view", (kind == "purchase") & (value > 90)).alias("otp_verified"),
-            F.when(kind != "error", F.call_function("div", k, F.lit(13)).cast("int")).alias("completed_step"),
-            (value > 4).alias("etl_current"),
-            F.when(declined & (value > 30), "busy").when(declined & (value > 20), "").alias("failure_reason"),
-            F.when(k >= 97, "far").when(k >= 95, "").alias("failure_subreason_code"),
-            F.when(declined, _text("r", k)).alias("reason_code"),
+        return self.events.filter("event_type <> 'signup'").selectExpr(
+            f"{CONNECTION} AS connection_id",
+            "CAST(event_id AS STRING) AS execution_candidate_id",
+            f"{CSP} AS csp_id",
+            f"{STATE} AS current_state",
+            "ts AS created_at",
+            f"{UPDATED} AS updated_at",
+            "CASE WHEN event_type = 'view' THEN date_add(to_date(ts), 1) END AS proposed_slot_date",
+            "CASE WHEN event_type = 'click' AND value > 20 THEN ts + INTERVAL '2' HOUR END AS confirmed_slot_at",
+            "CASE WHEN event_type = 'purchase' AND value > 60 THEN ts + INTERVAL '6' HOUR END AS installation_completed_at",
+            "CASE WHEN event_type = 'error' AND value > 20 THEN concat('x', k) END AS executor_id",
+            "CASE WHEN event_type <> 'view' THEN event_type = 'purchase' AND value > 90 END AS otp_verified",
+            "CASE WHEN event_type <> 'error' THEN CAST(k div 13 AS INT) END AS completed_step",
+            "value > 4 AS etl_current",
+            "CASE WHEN k >= 93 AND value > 30 THEN 'busy' WHEN k >= 93 AND value > 20 THEN '' END AS failure_reason",
+            "CASE WHEN k >= 97 THEN 'far' WHEN k >= 95 THEN '' END AS failure_subreason_code",
+            "CASE WHEN k >= 93 THEN concat('r', k) END AS reason_code",
         )
 
+    @cached_property
     def history(self) -> DataFrame:
         """Two states per purchase candidate (the second one six hours later), one for the others."""
-        own = F.struct(
-            self._state().alias("current_state"), (F.col("ts") + F.make_dt_interval(mins=F.col("k") * 10)).alias("updated_at")
-        )
-        later = F.struct(F.lit("CONNECTION_ACTIVE").alias("current_state"), shift_minutes("ts", 360).alias("updated_at"))
-        states = F.when(F.col("event_type") == "purchase", F.array(own, later)).otherwise(F.array(own))
-        return self.events.filter(F.col("event_type") != "signup").select(
-            self.connection.alias("connection_id"),
-            self.csp.alias("csp_id"),
-            F.col("event_id").cast("string").alias("execution_candidate_id"),
-            F.col("ts").alias("created_at"),
-            F.inline(states),
+        own = f"named_struct('current_state', {STATE}, 'updated_at', {UPDATED})"
+        later = "named_struct('current_state', 'CONNECTION_ACTIVE', 'updated_at', ts + INTERVAL '6' HOUR)"
+        return self.events.filter("event_type <> 'signup'").selectExpr(
+            f"{CONNECTION} AS connection_id",
+            f"{CSP} AS csp_id",
+            "CAST(event_id AS STRING) AS execution_candidate_id",
+            "ts AS created_at",
+            f"inline(CASE WHEN event_type = 'purchase' THEN array({own}, {later}) ELSE array({own}) END)",
         )
 
+    @cached_property
     def allocations(self) -> DataFrame:
-        return self.of("click").select(
-            self.connection.alias("connection_id"),
-            F.when(F.col("value") > 10, shift_minutes("ts", -30)).alias("assigned_at"),
-            F.when(F.col("value") < 120, F.col("ts") + F.make_dt_interval(mins=F.col("k"))).alias("acceptance_timestamp"),
-            (F.col("value") > 3).alias("active"),
+        return self.of("click").selectExpr(
+            f"{CONNECTION} AS connection_id",
+            "CASE WHEN value > 10 THEN ts - INTERVAL '30' MINUTE END AS assigned_at",
+            "CASE WHEN value < 120 THEN ts + make_dt_interval(0, 0, k) END AS acceptance_timestamp",
+            "value > 3 AS active",
         )
 
     # ---- entities and people ---------------------------------------------------------------
 
+    @cached_property
     def entities(self) -> DataFrame:
-        return self.of("click").filter(F.col("value") > 100).select(
-            self.csp.alias("csp_id"),
-            F.when(F.col("value") < 250, self.partner).alias("partner_id"),
-            _text("Entity ", self.number, "-", F.col("k")).alias("name"),
-            (F.col("value") < 300).alias("active"),
+        return self.of("click").filter("value > 100").selectExpr(
+            f"{CSP} AS csp_id",
+            f"CASE WHEN value < 250 THEN {PARTNER} END AS partner_id",
+            f"concat('Entity ', {NUMBER}, '-', k) AS name",
+            "value < 300 AS active",
         )
 
+    @cached_property
     def entity_dim(self) -> DataFrame:
-        return self.of("click").filter(F.col("value") > 60).select(
-            self.csp.alias("csp_id"), self.partner.alias("partner_id"), (F.col("value") < 200).alias("etl_current")
+        return self.of("click").filter("value > 60").selectExpr(
+            f"{CSP} AS csp_id", f"{PARTNER} AS partner_id", "value < 200 AS etl_current"
         ).distinct()
 
+    @cached_property
     def users(self) -> DataFrame:
-        role = (
-            F.when(F.col("event_type") == "click", "OWNER")
-            .when(F.col("event_type") == "view", "MANAGER")
-            .when(F.col("event_type") == "purchase", "MANAGER_PLUS")
-            .otherwise("TECHNICIAN")
-        )
-        return self.events.select(
-            F.when(F.col("k") >= 95, _text("x", F.col("user_id"))).otherwise(F.col("user_id").cast("string")).alias("id"),
-            self.csp.alias("csp_id"),
-            role.alias("role"),
-            F.when(F.col("value") > 30, "ACTIVE").otherwise("INACTIVE").alias("status"),
+        return self.events.selectExpr(
+            "CASE WHEN k >= 95 THEN concat('x', user_id) ELSE CAST(user_id AS STRING) END AS id",
+            f"{CSP} AS csp_id",
+            by_type("TECHNICIAN", click="OWNER", view="MANAGER", purchase="MANAGER_PLUS") + " AS role",
+            "CASE WHEN value > 30 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status",
         ).distinct()
 
+    @cached_property
     def optins(self) -> DataFrame:
-        return self.of("purchase").filter(F.col("value") > 90).select(
-            self.partner.alias("partner_id"),
-            F.when(F.col("k") < 80, "MG").otherwise("OTHER").alias("program"),
-            F.when(F.col("value") <= 200, F.col("ts")).alias("first_opted_at"),
+        return self.of("purchase").filter("value > 90").selectExpr(
+            f"{PARTNER} AS partner_id",
+            "CASE WHEN k < 80 THEN 'MG' ELSE 'OTHER' END AS program",
+            "CASE WHEN value <= 200 THEN ts END AS first_opted_at",
         )
 
+    @cached_property
     def campaign(self) -> DataFrame:
-        return self.of("click").filter(F.col("value") > 90).select(
-            F.when(F.col("k") < 90, "C1").otherwise("C2").alias("campaign_id"),
-            self.partner.alias("partner_id"),
-            F.when(F.col("k") >= 20, F.col("ts")).alias("scan_complete_at"),
+        return self.of("click").filter("value > 90").selectExpr(
+            "CASE WHEN k < 90 THEN 'C1' ELSE 'C2' END AS campaign_id",
+            f"{PARTNER} AS partner_id",
+            "CASE WHEN k >= 20 THEN ts END AS scan_complete_at",
         )
 
+    @cached_property
     def cohorts(self) -> DataFrame:
-        return self.events.filter(
-            ((F.col("event_type") == "error") & (F.col("value") > 140))
-            | ((F.col("event_type") == "view") & (F.col("value") > 113))
-        ).select(
-            self.partner.alias("pid"), F.when(F.col("event_type") == "error", "flow1").otherwise("flow2").alias("flow")
-        ).distinct()
+        rows = self.events.filter("(event_type = 'error' AND value > 140) OR (event_type = 'view' AND value > 113)")
+        return rows.selectExpr(f"{PARTNER} AS pid", by_type("flow2", error="flow1") + " AS flow").distinct()
 
+    @cached_property
     def screen_log(self) -> DataFrame:
-        k, value = F.col("k"), F.col("value")
-        pid = (
-            F.when(k >= 98, _text("RAW", F.col("user_id")))
-            .when(k >= 96, _text("x", F.col("user_id")))
-            .otherwise(F.col("user_id").cast("string"))
-        )
-        code = ladder(k, [(20, "excited"), (40, "dontknow"), (60, "dontcare"), (80, "questions")], "bogus")
-        head = F.when(k < 50, "f3a").otherwise("f3b")
-        return self.of("view").select(
-            pid.alias("pid"),
-            _text(head, F.when(value < 10, "X").otherwise("_"), code).alias("screen"),
-            F.when(value > 130, "2").otherwise("3").alias("flow"),
+        code = ladder("k", [(20, "excited"), (40, "dontknow"), (60, "dontcare"), (80, "questions")], "bogus")
+        return self.of("view").selectExpr(
+            """CASE WHEN k >= 98 THEN concat('RAW', user_id) WHEN k >= 96 THEN concat('x', user_id)
+               ELSE CAST(user_id AS STRING) END AS pid""",
+            f"concat(IF(k < 50, 'f3a', 'f3b'), IF(value < 10, 'X', '_'), {code}) AS screen",
+            "IF(value > 130, '2', '3') AS flow",
             "ts",
         )
 
+    @cached_property
     def profile_documents(self) -> DataFrame:
         """identity, record{profileData, events}: the layout of the exported profile JSON."""
-        name = (
-            F.when(F.col("event_type") == "view", "View_home")
-            .when(F.col("event_type") == "click", "Scroll_home")
-            .when(F.col("event_type") == "purchase", "TapGuarantee_home")
-            .when(F.col("event_type") == "error", "Ticket_home")
-            .otherwise("Launch")
+        name = by_type(
+            "Launch", view="View_home", click="Scroll_home", purchase="TapGuarantee_home", error="Ticket_home"
         )
-        high = F.col("value") > 113
         # Per subject and event type first: at most five map entries per subject.
-        per_type = self.events.groupBy("user_id", name.alias("name")).agg(
-            F.sum(F.when(high, 1).otherwise(0)).cast("bigint").alias("count"),
-            F.min(F.when(high, F.unix_seconds(F.col("ts").cast("timestamp")))).alias("first_seen"),
-            F.max(F.struct("ts", "k")).alias("last"),
-            F.min(F.struct("ts", "k")).alias("first"),
+        per_type = self.events.groupBy("user_id", F.expr(name).alias("name")).agg(
+            F.expr("count_if(value > 113)").alias("count"),
+            F.expr("min(CASE WHEN value > 113 THEN unix_seconds(CAST(ts AS TIMESTAMP)) END)").alias("first_seen"),
+            F.expr("max(struct(ts, k))").alias("last"),
+            F.expr("min(struct(ts, k))").alias("first"),
         )
         per_user = per_type.groupBy("user_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("name", F.struct("count", "first_seen")))).alias("events"),
-            F.max("last")["k"].alias("k_last"),
-            F.min("first")["k"].alias("k_first"),
+            F.expr("map_from_entries(collect_list(struct(name, struct(count, first_seen))))").alias("events"),
+            F.expr("max(last).k").alias("k_last"),
+            F.expr("min(first).k").alias("k_first"),
         )
         real = ladder(
-            F.col("k_last"),
-            [(20, "keepgoing"), (40, "almost"), (60, "secured"), (75, "noleads"), (85, "other")],
-            "",
-        )
-        data = F.struct(
-            real.alias("screen_real"), F.when(F.col("k_first") < 50, "keepgoing").alias("screen")
+            "k_last", [(20, "keepgoing"), (40, "almost"), (60, "secured"), (75, "noleads"), (85, "other")], ""
         )
-        return per_user.select(
-            F.col("user_id").cast("string").alias("identity"), F.struct(data.alias("profileData"), "events").alias("record")
+        data = f"struct({real} AS screen_real, CASE WHEN k_first < 50 THEN 'keepgoing' END AS screen)"
+        return per_user.selectExpr(
+            "CAST(user_id AS STRING) AS identity", f"struct({data} AS profileData, events AS events) AS record"
         )
 
+    @cached_property
     def profiles(self) -> DataFrame:
         """The documents in the shape ``read_profiles`` returns."""
-        empty = F.lit("")
-        fields = [F.nullif(F.col(f"record.profileData.{f}"), empty) for f in ("screen_real", "screen")]
-        return self.profile_documents().select(
-            "identity", F.coalesce(*fields, empty).alias("screen"), F.col("record.events").alias("events")
+        data = "record.profileData"
+        return self.profile_documents.selectExpr(
+            "identity",
+            f"coalesce(nullif({data}.screen_real, ''), nullif({data}.screen, ''), '') AS screen",
+            "record.events AS events",
         )
 
+    @cached_property
     def app_events(self) -> DataFrame:
         """Clicks are opens; small ones arrive twice with different sync times."""
-        value = F.col("value")
-        first, second = F.struct(shift_minutes("ts", 60).alias("synced")), F.struct(shift_minutes("ts", 120).alias("synced"))
-        copies = F.when(value < 20, F.array(first, second)).otherwise(F.array(first))
-        return self.of("click", "signup").select(
-            F.col("user_id").cast("string").alias("device_id"),
-            F.when(value > 200, "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts_text"),
-            F.when(F.col("event_type") == "click", "App Launched").otherwise("Other").alias("event_name"),
-            F.when(value >= 50, value > 150).alias("deleted"),
-            F.inline(copies),
+        copies = "explode(IF(value < 20, array(1, 2), array(1))) AS copy"
+        rows = self.of("click", "signup").selectExpr("*", copies)
+        return rows.selectExpr(
+            "CAST(user_id AS STRING) AS device_id",
+            "IF(value > 200, 'n/a', date_format(ts, 'yyyy-MM-dd HH:mm:ss')) AS ts_text",
+            by_type("Other", click="App Launched") + " AS event_name",
+            "CASE WHEN value >= 50 THEN value > 150 END AS deleted",
+            "ts + make_dt_interval(0, copy) AS synced",
         )
 
+    @cached_property
     def app_profiles(self) -> DataFrame:
-        role = (
-            F.when(F.col("event_type") == "click", "owner")
-            .when(F.col("event_type") == "view", "Manager")
-            .when(F.col("event_type") == "purchase", "MANAGER_PLUS")
-            .when(F.col("event_type") == "error", "Technician")
-            .otherwise("guest")
-        )
-        return self.events.filter(F.col("value") > 100).select(
-            F.col("user_id").cast("string").alias("device_id"),
-            self.csp.alias("csp_id"),
-            role.alias("role"),
-            F.when(F.col("value") < 200, F.col("value") > 180).alias("deleted"),
+        role = by_type("guest", click="owner", view="Manager", purchase="MANAGER_PLUS", error="Technician")
+        return self.events.filter("value > 100").selectExpr(
+            "CAST(user_id AS STRING) AS device_id",
+            f"{CSP} AS csp_id",
+            f"{role} AS role",
+            "CASE WHEN value < 200 THEN value > 180 END AS deleted",
         )
 
+    @cached_property
     def cities(self) -> DataFrame:
-        nation = self.table("nation", "n_nationkey", "n_name")
+        nation = self.table("nation", F.col("n_nationkey").alias("c_nationkey"), "n_name")
         customer = self.table("customer", "c_custkey", "c_nationkey")
-        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
-            (F.col("c_custkey") + 1000).cast("string").alias("partner_id"), F.col("n_name").alias("partner_city")
-        )
-
-    def tables(self) -> Tables:
-        return Tables(
-            **{
-                name: getattr(self, name)()
-                for name in Tables.__dataclass_fields__
-            }
+        return customer.join(nation, ["c_nationkey"]).selectExpr(
+            "CAST(c_custkey + 1000 AS STRING) AS partner_id", "n_name AS partner_city"
         )

@@ -6,14 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import ANSWER_CODES, ANSWER_LABELS, CLASS_LABELS, OWNER_ROLES, RANK_DEPTH, ROLE_GROUP, STATE_RANK
 from ..functions import labels as L
 from ..functions import predicates as X
 from ..functions import temporal as T
-from ..functions.maps import any_count_with_prefix
 from ..functions.rates import pct as pct_col
 from ..functions.rates import ratio, whole
 from ..operators import aggregates as A
@@ -34,7 +32,7 @@ from ..session import fresh_path, stage
 from ..sources import publish_json, read_cohorts, read_hourly, read_profiles
 from ..streaming import events as S
 from . import oracles as O
-from .event_tables import CONFIG, DATE_FROM, DRILL_DAY, EventRoles
+from .event_tables import CONFIG, DATE_FROM, DRILL_DAY, PARTNER, EventRoles
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -56,10 +54,6 @@ def register(name: str, sql: str | None):
     return add
 
 
-def _bigint(c: str):
-    return F.col(c).cast("bigint").alias(c)
-
-
 # ======================================================================================
 # one row per key
 # ======================================================================================
@@ -98,7 +92,7 @@ def _(r):
 )
 def _(r):
     keys = ["device_id", "ts_text", "event_name"]
-    return D.dedup_events(r.app_events().select(*keys, "synced"), keys, ["synced"])
+    return D.dedup_events(r.app_events.select(*keys, "synced"), keys, ["synced"])
 
 
 @register(
@@ -112,7 +106,7 @@ def _(r):
     return D.any_flag_then_latest(
         r.table("lineitem", *_LINE),
         ["l_orderkey"],
-        {"returned": F.col("l_returnflag") == "R"},
+        {"returned": "l_returnflag = 'R'"},
         "l_shipdate",
         tiebreak=_LINE_TIE,
     )
@@ -171,12 +165,12 @@ def _(r):
         signups,
         views,
         ["user_id"],
-        F.col("ts"),
+        "ts",
         "request_ts",
         ["request_id", "request_ts"],
         before_minutes=120,
         after_minutes=14 * 1440,
-        next_ts=F.col("nb"),
+        next_ts="nb",
         tiebreak=["request_id"],
         row_id=["event_id"],
     )
@@ -191,7 +185,7 @@ def _(r):
 def _(r):
     left = r.events.filter(F.col("event_type") != "purchase").select("event_id", "user_id", "ts")
     buys = r.of("purchase").select("user_id", F.col("ts").alias("buy_ts"))
-    return first_after(left, buys, ["user_id"], F.col("ts"), "buy_ts", "purchase_ts")
+    return first_after(left, buys, ["user_id"], "ts", "buy_ts", "purchase_ts")
 
 
 @register(
@@ -199,7 +193,7 @@ def _(r):
     "SELECT pid, view_ts, action_ts, mins FROM acted",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return E.view_actions(E.viewers(R.roster(t, CONFIG)), t, CONFIG)
 
 
@@ -209,8 +203,8 @@ def _(r):
 OR lco_account_id NOT IN (SELECT lco_account_id FROM test_accounts WHERE lco_account_id IS NOT NULL)""",
 )
 def _(r):
-    rows = r.accounts().select("mobile", "account_id", "lco_account_id", "added_time")
-    return J.anti_keep_null(rows, r.test_accounts(), ["lco_account_id"], row_id=["mobile", "added_time"])
+    rows = r.accounts.select("mobile", "account_id", "lco_account_id", "added_time")
+    return J.anti_keep_null(rows, r.test_accounts, ["lco_account_id"], row_id=["mobile", "added_time"])
 
 
 @register(
@@ -264,7 +258,7 @@ WHERE u.role IN ('OWNER', 'MANAGER', 'MANAGER_PLUS') AND u.status = 'ACTIVE' AND
   AND try_cast(u.id AS BIGINT) IS NOT NULL GROUP BY 1""",
 )
 def _(r):
-    return J.resolve_identity(r.users(), r.entity_dim(), OWNER_ROLES, integer_ids=True)
+    return J.resolve_identity(r.users, r.entity_dim, OWNER_ROLES, integer_ids=True)
 
 
 @register(
@@ -274,7 +268,7 @@ JOIN nation ON n_nationkey = c_nationkey
 WHERE n_name ILIKE '%nation_1%' AND CAST(c_custkey + 1000 AS VARCHAR) NOT IN (SELECT pid FROM enrolled)""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return A.complement_count(t.cities, "partner_id", "partner_city", "%nation_1%", R.enrolled(t, CONFIG))
 
 
@@ -290,12 +284,12 @@ UNION ALL SELECT 'lenient', count(*) FROM app_profiles WHERE NOT coalesce(delete
 UNION ALL SELECT 'current', count(*) FROM app_profiles WHERE deleted""",
 )
 def _(r):
-    rows = r.app_profiles()
-    c = F.col("deleted")
-    conds = {"strict": ~c, "lenient": ~F.coalesce(c, F.lit(False)), "current": c}
-    # One pass: each row is counted for every mode it satisfies (``live`` applies the same conditions).
-    modes = F.array_compact(F.array(*[F.when(cond, F.lit(m)) for m, cond in conds.items()]))
-    return rows.select(F.explode(modes).alias("mode")).groupBy("mode").agg(F.count(F.lit(1)).alias("n"))
+    rows = r.app_profiles
+    # One pass: each row is counted for every mode it satisfies.
+    modes = ", ".join(f"CASE WHEN {X.live_sql('deleted', m)} THEN '{m}' END" for m in X.LIVE_MODES)
+    return rows.selectExpr(f"explode(array_compact(array({modes}))) AS mode").groupBy("mode").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 @register(
@@ -303,7 +297,7 @@ def _(r):
     "SELECT mobile, account_id, group_name, added_time FROM accounts WHERE group_name IS NULL OR group_name NOT IN ('G', 'H')",
 )
 def _(r):
-    rows = r.accounts().select("mobile", "account_id", "group_name", "added_time")
+    rows = r.accounts.select("mobile", "account_id", "group_name", "added_time")
     return X.exclude_values(rows, "group_name", CONFIG.excluded_flows)
 
 
@@ -314,34 +308,28 @@ def _(r):
   CASE WHEN pid > '50' THEN 1 ELSE 0 END AS above FROM screen_log""",
 )
 def _(r):
-    return r.screen_log().select(
+    return r.screen_log.select(
         "pid",
         "screen",
         "ts",
-        X.flag(F.col("screen").like("f3a_%")).alias("is_a"),
-        X.flag(~F.col("pid").like("RAW%")).alias("not_raw"),
-        X.flag(F.col("screen").ilike("%DONT%")).alias("dont"),
-        X.flag(F.col("pid") > "50").alias("above"),
+        X.flag("screen LIKE 'f3a_%'").alias("is_a"),
+        X.flag("pid NOT LIKE 'RAW%'").alias("not_raw"),
+        X.flag("screen ILIKE '%DONT%'").alias("dont"),
+        X.flag("pid > '50'").alias("above"),
     )
 
 
 @register(
     "display_fields",
-    f"""SELECT execution_candidate_id, left(CAST(1000000000 + CAST(execution_candidate_id AS BIGINT) AS VARCHAR), 2) || 'XXXXX'
-  || right(execution_candidate_id, 3) AS masked, strftime(updated_at, '%m/%d %H:%M') AS shown,
+    """SELECT execution_candidate_id, left(key, 2) || 'XXXXX' || right(key, 3) AS masked, strftime(updated_at, '%m/%d %H:%M') AS shown,
   coalesce(nullif(failure_reason, ''), nullif(reason_code, ''), '') || coalesce(' / ' || nullif(failure_subreason_code, ''), '')
-    AS reason FROM candidates""",
+    AS reason FROM (SELECT *, connection_id || '-' || execution_candidate_id AS key FROM candidates)""",
 )
 def _(r):
-    number = (F.lit(1000000000) + F.col("execution_candidate_id").cast("bigint")).cast("string")
-    padded = F.concat(F.substring(number, 1, 2), F.lit("-"), F.col("execution_candidate_id"))
-    short = F.length("execution_candidate_id") < 3
-    masked = F.when(
-        short, F.concat(F.substring(number, 1, 2), F.lit("XXXXX"), F.col("execution_candidate_id"))
-    ).otherwise(L.mask_key(padded))
-    return r.candidates().select(
+    rows = r.candidates.withColumn("key", F.concat_ws("-", "connection_id", "execution_candidate_id"))
+    return rows.select(
         "execution_candidate_id",
-        masked.alias("masked"),
+        L.mask_key("key").alias("masked"),
         L.display_ts("updated_at").alias("shown"),
         L.reason_text("failure_reason", "reason_code", "failure_subreason_code").alias("reason"),
     )
@@ -353,7 +341,7 @@ def _(r):
   WHEN 'MANAGER_PLUS' THEN 'mgr' WHEN 'TECHNICIAN' THEN 'tech' END AS rg FROM app_profiles""",
 )
 def _(r):
-    return r.app_profiles().select("device_id", "csp_id", "role", L.role_group("role", ROLE_GROUP).alias("rg"))
+    return r.app_profiles.select("device_id", "csp_id", "role", L.role_group("role", ROLE_GROUP).alias("rg"))
 
 
 @register(
@@ -364,7 +352,7 @@ FROM screen_log GROUP BY 1, 2""",
 )
 def _(r):
     code = F.substring("screen", 5, 1 << 30).alias("code")
-    counted = r.screen_log().groupBy(code).agg(F.count(F.lit(1)).alias("n"))
+    counted = r.screen_log.groupBy(code).agg(F.count(F.lit(1)).alias("n"))
     return counted.withColumn("label", L.label_of("code", ANSWER_LABELS))
 
 
@@ -374,8 +362,12 @@ def _(r):
   CAST(sum(CASE WHEN hour(ts) = 12 THEN 1 ELSE 0 END) AS BIGINT) AS noon FROM events GROUP BY 1""",
 )
 def _(r):
-    conds = {"night": T.hour_bucket("ts", T.NIGHT), "noon": T.hour_bucket("ts", 12)}
-    return r.events.groupBy(F.to_date("ts").alias("d")).agg(*A.count_if_all(conds))
+    flags = r.events.select(
+        F.to_date("ts").alias("d"),
+        T.hour_bucket("ts", T.NIGHT).alias("night"),
+        T.hour_bucket("ts", 12).alias("noon"),
+    )
+    return flags.groupBy("d").agg(*A.count_if_all({"night": "night", "noon": "noon"}))
 
 
 @register(
@@ -385,7 +377,7 @@ def _(r):
 FROM (SELECT *, {O.RANK_CASE} AS rk FROM history)""",
 )
 def _(r):
-    ranked = r.history().withColumn("rank", L.rank_of("current_state", STATE_RANK))
+    ranked = r.history.withColumn("rank", L.rank_of("current_state", STATE_RANK))
     return ranked.select(
         "execution_candidate_id", "current_state", "updated_at", "rank", L.depth_of_rank("rank", RANK_DEPTH).alias("depth")
     )
@@ -406,7 +398,7 @@ def _(r):
     WHEN psd IS NOT NULL OR cs = 'AWAITING_CUSTOMER_SLOT_CONFIRMATION' THEN 3 ELSE 2 END AS depth7 FROM latest_cand""",
 )
 def _(r):
-    facts = B.candidate_facts(r.tables(), DATE_FROM, CONFIG).filter(F.col("has_candidate") == 1)
+    facts = B.candidate_facts(r, DATE_FROM, CONFIG).filter(F.col("has_candidate") == 1)
     return facts.select("connection_id", B.ladder6().alias("depth6"), B.ladder7().alias("depth7"))
 
 
@@ -415,7 +407,7 @@ def _(r):
     "SELECT connection_id, csp_id, recv, slot_ts, conf_ts, asgn_ts, reached_ts, inst_ts, maxrank FROM stages",
 )
 def _(r):
-    return B.entity_stages(r.history(), ["connection_id", "csp_id"])
+    return B.entity_stages(r.history, ["connection_id", "csp_id"])
 
 
 @register(
@@ -424,7 +416,7 @@ def _(r):
 )
 def _(r):
     period = T.period_fixed("booking_date", (CONFIG.pre_start, CONFIG.pre_end), (CONFIG.launch, CONFIG.as_of))
-    return r.bookings().select("mobile", "bt", period.alias("period"))
+    return r.bookings.select("mobile", "bt", period.alias("period"))
 
 
 @register(
@@ -433,10 +425,10 @@ def _(r):
 FROM (SELECT CAST(num + 1000 AS VARCHAR) AS pid, ts AS partner_ts FROM ev) JOIN anchored USING (pid)""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     anchor = R.anchors(R.enrolled(t, CONFIG), t.optins, CONFIG)
-    rows = r.events.select(r.partner.alias("pid"), F.col("ts").alias("partner_ts")).join(anchor, ["pid"])
-    return rows.withColumn("period", T.period_anchored(F.to_date("partner_ts"), "ad", CONFIG.as_of))
+    rows = r.events.selectExpr(f"{PARTNER} AS pid", "ts AS partner_ts").join(anchor, ["pid"])
+    return rows.withColumn("period", T.period_anchored("to_date(partner_ts)", "ad", CONFIG.as_of))
 
 
 _PAIR_SQL = """(SELECT execution_candidate_id, created_at AS a, confirmed_slot_at AS c, installation_completed_at AS i,
@@ -449,7 +441,7 @@ _PAIR_SQL = """(SELECT execution_candidate_id, created_at AS a, confirmed_slot_a
   CASE WHEN {O.diff('a', 'u')} BETWEEN 60 AND 480 THEN 1 ELSE 0 END AS same_shift FROM {_PAIR_SQL}""",
 )
 def _(r):
-    return r.candidates().select(
+    return r.candidates.select(
         "execution_candidate_id",
         T.within_minutes("created_at", "updated_at").alias("upd48"),
         T.within_minutes("created_at", "confirmed_slot_at").alias("conf48"),
@@ -467,7 +459,7 @@ def _(r):
 )
 def _(r):
     u, i = "updated_at", "installation_completed_at"
-    return r.candidates().select(
+    return r.candidates.select(
         "execution_candidate_id",
         T.tat_minutes(u, i).alias("ui"),
         T.minute_diff(u, i).alias("raw"),
@@ -482,7 +474,7 @@ def _(r):
     "SELECT identity, screen, viewed, scrolled, tapped, ticket, view_fs FROM flags",
 )
 def _(r):
-    return R.profile_flags(r.profiles())
+    return R.profile_flags(r.profiles)
 
 
 @register(
@@ -492,10 +484,9 @@ def _(r):
   CAST({O.half_up("count(*)", "count(DISTINCT event_type)", 0)} AS BIGINT) AS per_type FROM events GROUP BY 1""",
 )
 def _(r):
-    kind = F.col("event_type")
     per_user = r.events.groupBy("user_id").agg(
-        A.count_if(kind == "purchase").alias("p"),
-        A.count_if(kind == "view").alias("v"),
+        A.count_if("event_type = 'purchase'").alias("p"),
+        A.count_if("event_type = 'view'").alias("v"),
         F.count(F.lit(1)).alias("n"),
         F.count_distinct(F.to_date("ts")).alias("days"),
         F.count_distinct("event_type").alias("types"),
@@ -528,11 +519,10 @@ def _(r):
   count(DISTINCT event_type || '|' || CAST(ts AS DATE)) AS type_days FROM ev GROUP BY 1""",
 )
 def _(r):
-    kind = F.col("event_type")
     return r.events.groupBy("user_id").agg(
-        *A.count_if_all({"clicks": kind == "click"}),
-        *A.first_time_when({"first_buy": kind == "purchase"}, "ts"),
-        A.median_round(kind == "view", F.col("k")).alias("view_k"),
+        *A.count_if_all({"clicks": "event_type = 'click'"}),
+        *A.first_time_when({"first_buy": "event_type = 'purchase'"}, "ts"),
+        A.median_round("event_type = 'view'", "k").alias("view_k"),
         F.count_distinct("event_type", F.to_date("ts")).alias("type_days"),
     )
 
@@ -544,27 +534,27 @@ def _(r):
 
 @register("enrolled_set", "SELECT pid FROM enrolled")
 def _(r):
-    return R.enrolled(r.tables(), CONFIG)
+    return R.enrolled(r, CONFIG)
 
 
 @register("entity_anchors", "SELECT pid, ad FROM anchored")
 def _(r):
-    t = r.tables()
+    t = r
     return R.anchors(R.enrolled(t, CONFIG), t.optins, CONFIG)
 
 
 @register("feedback_category", "SELECT pid, cat FROM cats")
 def _(r):
-    t = r.tables()
-    return R.feedback(R.owner_scope(t, R.enrolled(t, CONFIG)), CONFIG, ANSWER_CODES)
+    t = r
+    return R.feedback(t, CONFIG, ANSWER_CODES, R.owner_scope(t, R.enrolled(t, CONFIG)))
 
 
 @register(
     "engagement_rollup", "SELECT pid, screen, viewed, scrolled, tapped, ticket, view_fs FROM engaged"
 )
 def _(r):
-    t = r.tables()
-    return R.engagement(R.owner_scope(t, R.enrolled(t, CONFIG)))
+    t = r
+    return R.engagement(t, R.owner_scope(t, R.enrolled(t, CONFIG)))
 
 
 @register(
@@ -576,7 +566,7 @@ FROM flags JOIN (SELECT u.id AS identity, min(d.partner_id) AS pid FROM users u
 GROUP BY 1""",
 )
 def _(r):
-    return R.engagement(r.tables())
+    return R.engagement(r)
 
 
 _ROSTER_SQL = "pid, ad, cat, screen, viewed, scrolled, tapped, ticket, flow, CAST(days AS INTEGER) AS days, view_fs"
@@ -584,7 +574,7 @@ _ROSTER_SQL = "pid, ad, cat, screen, viewed, scrolled, tapped, ticket, flow, CAS
 
 @register("roster", f"SELECT {_ROSTER_SQL} FROM roster")
 def _(r):
-    return R.roster(r.tables(), CONFIG).drop("mg")
+    return R.roster(r, CONFIG).drop("mg")
 
 
 @register(
@@ -592,7 +582,7 @@ def _(r):
     "SELECT pid, ad, cat, screen, flow, mg FROM rosterm",
 )
 def _(r):
-    t = r.tables()
+    t = r
     people = stage(R.roster(t, CONFIG), "roster")
     found = C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM), people, CONFIG)
     return R.with_class(people, found, "mg").select("pid", "ad", "cat", "screen", "flow", "mg")
@@ -605,7 +595,7 @@ def _(r):
   CAST(coalesce(max(days), 1) AS INTEGER) AS n_max FROM roster WHERE days >= 1""",
 )
 def _(r):
-    people = R.roster(r.tables(), CONFIG).filter(F.col("days") >= 1)
+    people = R.roster(r, CONFIG).filter(F.col("days") >= 1)
     n_max = F.coalesce(F.max("days"), F.lit(1))
     return people.agg(n_max.alias("n_max")).select(
         F.lit(CONFIG.as_of).alias("as_of"),
@@ -621,7 +611,7 @@ def _(r):
     """SELECT cat, flow, CAST(sum(days) AS BIGINT) AS entity_days, count(*) AS entities FROM roster WHERE days >= 1 GROUP BY 1, 2""",
 )
 def _(r):
-    return A.entity_days(R.roster(r.tables(), CONFIG), ["cat", "flow"])
+    return A.entity_days(R.roster(r, CONFIG), ["cat", "flow"])
 
 
 # ======================================================================================
@@ -635,7 +625,7 @@ def _(r):
   declined FROM base1""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return B.booking_base_v1(t, CONFIG, R.enrolled(t, CONFIG), CONFIG.pre_start)
 
 
@@ -647,7 +637,7 @@ _BASE_SQL = f"""mobile, booking_date, bhr, bflow, mgpid, coh, {O.ROSTER_COLS}, a
     f"SELECT {_BASE_SQL}, acc48, conf48, asgn48, inst48, tat_ta, tat_sc_m, tat_ca_m, tat_ai_m, inst_ts FROM base2",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return B.booking_base(t, CONFIG, R.roster(t, CONFIG), DATE_FROM).drop("mg")
 
 
@@ -656,7 +646,7 @@ def _(r):
     f"""SELECT {_BASE_SQL}, csp_id, slot48, conf48, asgn48, reached48, inst48, tat_ta, tat_sc_m, tat_ca_m, tat_ai_m FROM ebase""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return B.entity_base(t, CONFIG, R.roster(t, CONFIG), DATE_FROM).drop("mg")
 
 
@@ -671,7 +661,7 @@ WHERE coh IS NOT NULL GROUP BY 1, 2) WHERE period IS NOT NULL"""
 
 @register("funnel_pre_post", _PRE_POST)
 def _(r):
-    t = r.tables()
+    t = r
     return P.funnel_pre_post(B.booking_base_v1(t, CONFIG, R.enrolled(t, CONFIG), CONFIG.pre_start), CONFIG)
 
 
@@ -688,7 +678,7 @@ def _v1_rates(counts) -> str:
 FROM ({_PRE_POST}) f""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     ids = stage(R.enrolled(t, CONFIG), "enrolled")
     block = P.funnel_pre_post(B.booking_base_v1(t, CONFIG, ids, CONFIG.pre_start), CONFIG)
     return P.rates_v1(block, CONFIG.n_days, ids.agg(F.count(F.lit(1)).alias("entities")))
@@ -703,7 +693,7 @@ FROM (SELECT {O.fixed_period('CAST(c.created_at AS DATE)')} AS period, c.current
   FROM candidates c JOIN csp USING (csp_id) WHERE c.etl_current) WHERE period IS NOT NULL GROUP BY 1, 2""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return I.decline_rate(t, R.enrolled(t, CONFIG), CONFIG)
 
 
@@ -716,7 +706,7 @@ _ENR = "CAST(sum(CASE WHEN partner_id IN (SELECT pid FROM enrolled) THEN 1 ELSE
 WHERE CAST(lt AS DATE) BETWEEN DATE '{CONFIG.launch}' AND DATE '{CONFIG.as_of}' GROUP BY 1""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return I.installs_daily(t, R.enrolled(t, CONFIG), CONFIG)
 
 
@@ -726,12 +716,12 @@ def _(r):
 WHERE CAST(lt AS DATE) >= DATE '{CONFIG.month_start}' GROUP BY 1, 2""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return I.installs_hourly(t, R.enrolled(t, CONFIG), CONFIG)
 
 
 def _daily(r):
-    t = r.tables()
+    t = r
     return P.daily_funnel(B.booking_base_v1(t, CONFIG, R.enrolled(t, CONFIG), CONFIG.daily_from), CONFIG)
 
 
@@ -765,7 +755,7 @@ def _(r):
 FROM daily1 JOIN (VALUES (1), (2), (3), (7), (14)) AS l(lag) ON booking_date = DATE '{CONFIG.today}' - lag WHERE coh = 'E'""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     size = R.enrolled(t, CONFIG).agg(F.count(F.lit(1)).alias("entities"))
     return P.lag_cohorts(_daily(r), CONFIG, size)
 
@@ -775,7 +765,7 @@ def _(r):
 
 
 def _with_classes(r, flows_out: bool = False):
-    t = r.tables()
+    t = r
     people = stage(R.roster(t, CONFIG), "roster")
     rows = stage(B.attributed_since(t, CONFIG, DATE_FROM), "attributed")
     entity = stage(B.entity_base(t, CONFIG, people, DATE_FROM, rows), "entity_base")
@@ -795,7 +785,7 @@ def _booking_cuts(r, flows_out: bool = False):
     if flows_out:
         base = P.without_flows(base, CONFIG)
     found = stage(found, "classes")
-    return P.funnel_cuts(DOC._relabel(base, found), P.rules_booking()), people, found
+    return P.funnel_cuts(DOC._relabel(base, found), P.RULES_BOOKING), people, found
 
 
 @register("funnel_cuts", f"SELECT period, dim, key, {O.MEASURES} FROM cut2")
@@ -806,7 +796,7 @@ def _(r):
 @register("funnel_cuts_entity", f"SELECT period, dim, key, {O.MEASURES} FROM cuts_e")
 def _(r):
     _t, _people, _rows, entity, found = _with_classes(r)
-    return P.funnel_cuts(DOC._relabel(entity, found), P.rules_entity())
+    return P.funnel_cuts(DOC._relabel(entity, found), P.RULES_ENTITY)
 
 
 @register("funnel_cuts_filtered", f"SELECT * FROM ({O.cuts('base2g', O.RULES_BOOKING, where=O.NO_GH)})")
@@ -817,7 +807,7 @@ def _(r):
 @register("funnel_cuts_entity_filtered", f"SELECT * FROM ({O.cuts('ebaseg', O.RULES_ENTITY, where=O.NO_GH)})")
 def _(r):
     _t, _people, _rows, entity, found = _with_classes(r, True)
-    return P.funnel_cuts(DOC._relabel(entity, found), P.rules_entity())
+    return P.funnel_cuts(DOC._relabel(entity, found), P.RULES_ENTITY)
 
 
 @register(
@@ -830,13 +820,13 @@ GROUP BY GROUPING SETS ((o_orderpriority, o_orderstatus), (o_orderpriority, yr))
 )
 def _(r):
     orders = r.table("orders", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("yr"), "o_totalprice")
-    big = F.col("o_totalprice") > 200000
+    big = "o_totalprice > 200000"
     return A.cut_by(
         orders,
         ["o_orderpriority"],
         ["o_orderstatus", "yr"],
         {"big": big},
-        {"mid": (big, F.floor("o_totalprice"))},
+        {"mid": (big, "floor(o_totalprice)")},
     )
 
 
@@ -845,14 +835,14 @@ _CLS = "pid, CAST(days AS INTEGER) AS days, received, confirmed, installed"
 
 @register("entity_classes", f"SELECT {_CLS}, mg, mgp FROM cls")
 def _(r):
-    t = r.tables()
+    t = r
     people = stage(R.roster(t, CONFIG), "roster")
     return C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM), people, CONFIG)
 
 
 @register("entity_classes_filtered", f"SELECT {_CLS}, mg, mgp FROM cls_gh")
 def _(r):
-    t = r.tables()
+    t = r
     people = stage(R.roster(t, CONFIG), "roster")
     base = P.without_flows(B.entity_base(t, CONFIG, people, DATE_FROM), CONFIG)
     return C.classify_entities(base, people, CONFIG)
@@ -879,7 +869,7 @@ _F = f"CASE WHEN days < 7 THEN 1.0 ELSE (days + {CONFIG.month_remaining}) / CAST
 FROM cls""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     people = stage(R.roster(t, CONFIG), "roster")
     return C.projection_totals(
         C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM), people, CONFIG), CONFIG
@@ -894,13 +884,13 @@ WHERE coh = 'E' AND period IS NOT NULL AND {label} IS NOT NULL {where} GROUP BY
 @register("class_cut", _class_sql("base2m", "mgp", O.RULES_BOOKING))
 def _(r):
     t, people, rows, _entity, found = _with_classes(r)
-    return P.class_cut(_booking(t, people, rows), found, "mgp", P.rules_booking())
+    return P.class_cut(_booking(t, people, rows), found, "mgp", P.RULES_BOOKING)
 
 
 @register("class_cut_entity", _class_sql("ebasem", "mgp", O.RULES_ENTITY))
 def _(r):
     _t, _people, _rows, entity, found = _with_classes(r)
-    return P.class_cut(entity, found, "mgp", P.rules_entity())
+    return P.class_cut(entity, found, "mgp", P.RULES_ENTITY)
 
 
 # ---- assembled panels ----
@@ -1001,7 +991,7 @@ _LABELS = ", ".join(f"('{k}', '{v}')" for k, v in CLASS_LABELS.items())
 def _(r):
     t, people, rows, _entity, found = _with_classes(r)
     found = stage(found, "classes")
-    block = P.class_cut(_booking(t, people, rows), found, "mgp", P.rules_booking())
+    block = P.class_cut(_booking(t, people, rows), found, "mgp", P.RULES_BOOKING)
     return P.class_panel(block, found, "mgp", CLASS_LABELS)
 
 
@@ -1009,7 +999,7 @@ def _(r):
 
 
 def _cells(r):
-    t = r.tables()
+    t = r
     return I.cells(B.booking_base(t, CONFIG, R.roster(t, CONFIG), DATE_FROM), DATE_FROM)
 
 
@@ -1036,7 +1026,7 @@ def _(r):
 
 @register("open_rates", "SELECT period, rg, opens, active_days, opens_d FROM rates_o")
 def _(r):
-    t = r.tables()
+    t = r
     return E.open_rates(t, stage(R.roster(t, CONFIG), "roster"), CONFIG, DATE_FROM)
 
 
@@ -1045,7 +1035,7 @@ def _(r):
     "SELECT period, CAST(nullif(sum(opens_d), 0) AS BIGINT) AS total_d FROM rates_o GROUP BY 1",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return E.open_totals(E.open_rates(t, stage(R.roster(t, CONFIG), "roster"), CONFIG, DATE_FROM))
 
 
@@ -1060,7 +1050,7 @@ FROM (SELECT count(*) AS n_viewed, count(*) FILTER (WHERE mins >= 0) AS acted,
   FROM acted)""",
 )
 def _(r):
-    t = r.tables()
+    t = r
     return E.view_to_action(E.view_actions(E.viewers(R.roster(t, CONFIG)), t, CONFIG))
 
 
@@ -1097,14 +1087,14 @@ def _(r):
 
 @register("lead_journey_flat", O.journey("hour(d.bt) <= 7"))
 def _(r):
-    t = r.tables()
+    t = r
     return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, T.NIGHT)
 
 
-@register("lead_journey_hour", O.journey("hour(d.bt) = 12"))
+@register("lead_journey_hour", O.journey("hour(d.bt) = 9"))
 def _(r):
-    t = r.tables()
-    return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, 12)
+    t = r
+    return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, 9)
 
 
 _CONV_DAY = "CAST(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(turn AS INTEGER)) AS TIMESTAMP)"
@@ -1140,7 +1130,7 @@ def _(r):
     """One {flow1: [...], flow2: [...]} document per first character of the id, written and read back."""
     path = fresh_path(r.spark, "cohort_files")
     head = F.substring("pid", 1, 3).alias("head")
-    docs = r.cohorts().groupBy(head).agg(
+    docs = r.cohorts.groupBy(head).agg(
         *[F.collect_list(F.when(F.col("flow") == f, F.col("pid"))).alias(f) for f in ("flow1", "flow2")]
     )
     docs.drop("head").write.json(path)
@@ -1157,7 +1147,7 @@ def _(r):
 )
 def _(r):
     path = fresh_path(r.spark, "profiles")
-    r.profile_documents().write.json(path)
+    r.profile_documents.write.json(path)
     return R.profile_flags(read_profiles(r.spark, path))
 
 

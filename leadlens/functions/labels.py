@@ -1,4 +1,4 @@
-"""Stage ladders, look-up labels and display text."""
+"""Stage ladders, look-up labels and display text. Arguments are SQL expressions."""
 
 from __future__ import annotations
 
@@ -8,59 +8,59 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def text_sql(value: str | int | None) -> str:
+    if value is None:
+        return "NULL"
+    return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def stage_depth(rules: Sequence[tuple[Column, int]], default: int) -> Column:
+def in_sql(expr: str, values: Sequence[str]) -> str:
+    return f"{expr} IN ({', '.join(text_sql(v) for v in values)})"
+
+
+def stage_depth(rules: Sequence[tuple[str, int | str]], default: int | str) -> Column:
     """First matching rung wins."""
-    ladder = None
-    for cond, depth in rules:
-        ladder = F.when(cond, depth) if ladder is None else ladder.when(cond, depth)
-    return ladder.otherwise(default)
+    rungs = " ".join(f"WHEN {cond} THEN {text_sql(depth)}" for cond, depth in rules)
+    return F.expr(f"CASE {rungs} ELSE {text_sql(default)} END")
 
 
-def _lookup(col: Column, mapping: Mapping) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.try_element_at(table, col)
+def _lookup_sql(expr: str, mapping: Mapping) -> str:
+    table = ", ".join(f"{text_sql(k)}, {text_sql(v)}" for k, v in mapping.items())
+    return f"try_element_at(map({table}), {expr})"
 
 
-def rank_of(col, mapping: Mapping[str, int], default: int = 0) -> Column:
-    return F.coalesce(_lookup(_col(col), mapping), F.lit(default))
+def rank_of(state: str, mapping: Mapping[str, int], default: int = 0) -> Column:
+    return F.expr(f"coalesce({_lookup_sql(state, mapping)}, {int(default)})")
 
 
-def depth_of_rank(rank, steps: Sequence[tuple[int, int]], default: int = 2) -> Column:
-    rank = _col(rank)
-    return stage_depth([(rank >= lo, depth) for lo, depth in steps], default)
+def depth_of_rank(rank: str, steps: Sequence[tuple[int, int]], default: int = 2) -> Column:
+    return stage_depth([(f"{rank} >= {lo}", depth) for lo, depth in steps], default)
 
 
-def cohort_label(roster_id, entity_id) -> Column:
+def cohort_label(roster_id: str, entity_id: str) -> Column:
     """E when rostered, N when the entity is known, else NULL."""
-    return F.when(_col(roster_id).isNotNull(), "E").when(_col(entity_id).isNotNull(), "N")
+    return F.expr(f"CASE WHEN {roster_id} IS NOT NULL THEN 'E' WHEN {entity_id} IS NOT NULL THEN 'N' END")
 
 
-def role_group(role, mapping: Mapping[str, str]) -> Column:
-    return _lookup(F.upper(_col(role)), mapping)
+def role_group(role: str, mapping: Mapping[str, str]) -> Column:
+    return F.expr(_lookup_sql(f"upper({role})", mapping))
 
 
-def label_of(col, mapping: Mapping[str, str]) -> Column:
+def label_of(code: str, mapping: Mapping[str, str]) -> Column:
     """Display label; the code itself when it has none."""
-    return F.coalesce(_lookup(_col(col), mapping), _col(col))
+    return F.expr(f"coalesce({_lookup_sql(code, mapping)}, {code})")
 
 
-def mask_key(col) -> Column:
+def mask_key(key: str) -> Column:
     """First two characters, XXXXX, last three."""
-    c = _col(col)
-    return F.concat(F.substring(c, 1, 2), F.lit("XXXXX"), F.right(c, F.lit(3)))
+    return F.expr(f"concat(left({key}, 2), 'XXXXX', right({key}, 3))")
 
 
-def reason_text(reason, fallback, sub) -> Column:
+def reason_text(reason: str, fallback: str, sub: str) -> Column:
     """``reason or fallback or ''`` followed by ``' / sub'``; empty text counts as missing."""
-    empty = F.lit("")
-    head = F.coalesce(F.nullif(_col(reason), empty), F.nullif(_col(fallback), empty), empty)
-    tail = F.coalesce(F.concat(F.lit(" / "), F.nullif(_col(sub), empty)), empty)
-    return F.concat(head, tail)
+    head = f"coalesce(nullif({reason}, ''), nullif({fallback}, ''), '')"
+    return F.expr(f"concat({head}, coalesce(concat(' / ', nullif({sub}, '')), ''))")
 
 
-def display_ts(ts) -> Column:
-    return F.date_format(_col(ts), "MM/dd HH:mm")
+def display_ts(ts: str) -> Column:
+    return F.expr(f"date_format({ts}, 'MM/dd HH:mm')")

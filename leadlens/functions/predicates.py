@@ -7,17 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LIVE_MODES = {
+    "strict": "NOT {0}",
+    "lenient": "NOT coalesce({0}, false)",
+    "current": "{0}",
+}
 
-def live(df: DataFrame, flag: str, mode: str = "strict") -> DataFrame:
+
+def live_sql(flag: str, mode: str = "strict") -> str:
     """``strict``: deleted = FALSE; ``lenient``: FALSE or NULL; ``current``: active = TRUE."""
-    c = F.col(flag)
-    if mode == "strict":
-        return df.filter(~c)
-    if mode == "lenient":
-        return df.filter(~F.coalesce(c, F.lit(False)))
-    if mode == "current":
-        return df.filter(c)
-    raise ValueError(f"unknown mode {mode!r}")
+    return LIVE_MODES[mode].format(flag)
+
+
+def live(df: DataFrame, flag: str, mode: str = "strict") -> DataFrame:
+    return df.filter(live_sql(flag, mode))
 
 
 def exclude_values(df: DataFrame, col: str, values: Sequence, keep_null: bool = True) -> DataFrame:
@@ -25,10 +28,10 @@ def exclude_values(df: DataFrame, col: str, values: Sequence, keep_null: bool =
     return df.filter(cond | F.col(col).isNull() if keep_null else cond)
 
 
-def iff(cond: Column, yes, no) -> Column:
+def iff(cond: str | Column, yes, no) -> Column:
     """NULL conditions take the else branch."""
-    return F.when(cond, yes).otherwise(no)
+    return F.when(F.expr(cond) if isinstance(cond, str) else cond, yes).otherwise(no)
 
 
-def flag(cond: Column) -> Column:
-    return iff(cond, F.lit(1), F.lit(0))
+def flag(cond: str | Column) -> Column:
+    return iff(cond, 1, 0)

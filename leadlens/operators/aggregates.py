@@ -7,32 +7,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Counts = Mapping[str, Column]
-Medians = Mapping[str, tuple[Column, Column]]
+# Conditions and values are SQL expressions.
+Counts = Mapping[str, str]
+Medians = Mapping[str, tuple[str, str]]
 
 
-def count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+def count_if(cond: str) -> Column:
+    """Matching rows; 0, not NULL, when none match."""
+    return F.expr(f"coalesce(sum(CASE WHEN {cond} THEN 1L ELSE 0L END), 0L)")
 
 
 def count_if_all(conds: Counts) -> list[Column]:
     return [count_if(cond).alias(name) for name, cond in conds.items()]
 
 
-def first_time_when(conds: Mapping[str, Column], ts) -> list[Column]:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return [F.min(F.when(cond, ts)).alias(name) for name, cond in conds.items()]
+def first_time_when(conds: Mapping[str, str], ts: str) -> list[Column]:
+    return [F.expr(f"min(CASE WHEN {cond} THEN {ts} END)").alias(name) for name, cond in conds.items()]
 
 
-def median_round(cond: Column, value: Column) -> Column:
+def median_round(cond: str, value: str) -> Column:
     """Interpolated median of the matching values, rounded to a whole number (double)."""
-    return F.round(F.median(F.when(cond, value)))
+    return F.expr(f"round(median(CASE WHEN {cond} THEN {value} END))")
 
 
-def nearest_rank(value, p: float) -> Column:
+def nearest_rank(value: str, p: float) -> Column:
     """``sorted(values)[int(n * p)]``: a discrete percentile counted from the top."""
-    name = value if isinstance(value, str) else "value"
-    return F.expr(f"percentile_disc({1 - p}) WITHIN GROUP (ORDER BY {name} DESC)")
+    return F.expr(f"percentile_disc({1 - p}) WITHIN GROUP (ORDER BY {value} DESC)")
 
 
 def group_funnel(df: DataFrame, keys: Sequence[str], counts: Counts, medians: Medians) -> DataFrame:
@@ -51,27 +51,27 @@ def funnel_cells(df: DataFrame, keys: Sequence[str], counts: Counts, medians: Me
     One narrow hash aggregation with map-side combine. Cuts are then built from these
     cells, so grouping sets multiply a small table instead of the facts.
     """
-    null_minute = F.lit(None).cast("bigint")
-    obs = [F.struct(F.lit(-1).alias("m"), null_minute.alias("v"))]
-    for i, (cond, value) in enumerate(medians.values()):
-        obs.append(F.struct(F.lit(i).alias("m"), F.when(cond, value).cast("bigint").alias("v")))
-    flat = df.select(
+    # Measure -1 stands for the row itself and carries the counts.
+    observed = [(-1, "CAST(NULL AS BIGINT)")]
+    observed += [
+        (i, f"CAST(CASE WHEN {cond} THEN {value} END AS BIGINT)") for i, (cond, value) in enumerate(medians.values())
+    ]
+    structs = ", ".join(f"named_struct('{_M}', {i}, '{_V}', {value})" for i, value in observed)
+    flat = df.selectExpr(
         *keys,
-        *[F.when(cond, 1).otherwise(0).alias(name) for name, cond in counts.items()],
-        F.explode(F.array(*obs)).alias("o"),
-    ).select("*", F.col("o.m").alias(_M), F.col("o.v").alias(_V)).drop("o")
-    flat = flat.filter((F.col(_M) == -1) | F.col(_V).isNotNull())
+        *[f"CASE WHEN {cond} THEN 1L ELSE 0L END AS {name}" for name, cond in counts.items()],
+        f"inline(array({structs}))",
+    ).filter(f"{_M} = -1 OR {_V} IS NOT NULL")
     return flat.groupBy(*keys, _M, _V).agg(
-        *[F.sum(F.when(F.col(_M) == -1, F.col(name)).otherwise(0)).cast("bigint").alias(name) for name in counts],
-        F.count(F.lit(1)).alias(_FREQ),
+        *[F.expr(f"sum(CASE WHEN {_M} = -1 THEN {name} ELSE 0L END)").alias(name) for name in counts],
+        F.expr("count(1)").alias(_FREQ),
     )
 
 
 def _cell_aggs(counts: Sequence[str], medians: Sequence[str]) -> list[Column]:
-    out = [F.sum(name).cast("bigint").alias(name) for name in counts]
+    out = [F.expr(f"sum({name})").alias(name) for name in counts]
     for i, name in enumerate(medians):
-        value = F.when(F.col(_M) == i, F.col(_V))
-        out.append(F.round(F.percentile(value, F.lit(0.5), F.col(_FREQ))).alias(name))
+        out.append(F.expr(f"round(percentile(CASE WHEN {_M} = {i} THEN {_V} END, 0.5D, {_FREQ}))").alias(name))
     return out
 
 
@@ -87,15 +87,16 @@ def cut_by(
 
 def pick_cut(cuts: DataFrame, fixed: Sequence[str], dims: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Long form (fixed..., dim, key, measures); rows whose key is truly NULL are dropped."""
-    dim = F.coalesce(*[F.when(F.col(f"g_{d}") == 0, F.lit(d)) for d in dims])
-    key = F.coalesce(*[F.when(F.col(f"g_{d}") == 0, F.col(d).cast("string")) for d in dims])
-    return cuts.select(*fixed, dim.alias("dim"), key.alias("key"), *measures).filter(F.col("key").isNotNull())
+    dim = " ".join(f"WHEN g_{d} = 0 THEN '{d}'" for d in dims)
+    key = " ".join(f"WHEN g_{d} = 0 THEN CAST({d} AS STRING)" for d in dims)
+    out = cuts.selectExpr(*fixed, f"CASE {dim} END AS dim", f"CASE {key} END AS key", *measures)
+    return out.filter("key IS NOT NULL")
 
 
 def entity_days(roster: DataFrame, by: Sequence[str], days: str = "days") -> DataFrame:
     """Live days and entities per group; entities not live for a full day are left out."""
     return roster.filter(F.col(days) >= 1).groupBy(*by).agg(
-        F.sum(days).cast("bigint").alias("entity_days"), F.count(F.lit(1)).alias("entities")
+        F.expr(f"CAST(sum({days}) AS BIGINT)").alias("entity_days"), F.expr("count(1)").alias("entities")
     )
 
 

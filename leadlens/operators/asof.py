@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.temporal import time_bucket
+from ..functions.temporal import minute_number_sql, shift_sql
 from .ordered import BUCKET_MINUTES
 
 _B, _T, _KIND, _L, _R = "__bucket", "__time", "__kind", "__left", "__right"
@@ -27,7 +27,7 @@ def first_at_or_after(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    left_time: Column,
+    left_time: str,
     right_time: str,
     payload: Sequence[str],
     tiebreak: Sequence[str] = (),
@@ -41,29 +41,28 @@ def first_at_or_after(
     ``row_id`` names columns that spread left rows without a usable key or time.
     """
     on = list(on)
-    time_type = left.select(left_time.alias(_T)).schema[_T].dataType
+    time_type = left.selectExpr(f"{left_time} AS {_T}").schema[_T].dataType
     body = [c for c in left.columns if c not in on]
-    usable = F.lit(True)
-    for c in on:
-        usable = usable & F.col(c).isNotNull()
+    has_key = " AND ".join(f"{c} IS NOT NULL" for c in on)
     # Left rows that can never match are spread over buckets after every right row.
-    spread = F.lit(_NEVER) + F.pmod(F.xxhash64(*(row_id or left.columns)), F.lit(_NULL_BUCKETS))
-    lrows = left.select(
+    spread = f"{_NEVER}L + pmod(xxhash64({', '.join(row_id or left.columns)}), {_NULL_BUCKETS}L)"
+    bucket = f"{minute_number_sql(_T)} div {int(bucket_minutes)}L"
+    lrows = left.selectExpr("*", f"{left_time} AS {_T}").selectExpr(
         *on,
-        F.when(usable & left_time.isNotNull(), time_bucket(left_time, bucket_minutes)).otherwise(spread).alias(_B),
-        left_time.alias(_T),
-        F.lit(0).alias(_KIND),
-        F.struct(F.lit(1).alias("__present"), *body).alias(_L),
+        f"CASE WHEN {has_key} AND {_T} IS NOT NULL THEN {bucket} ELSE {spread} END AS {_B}",
+        _T,
+        f"0 AS {_KIND}",
+        f"struct(1 AS __present, {', '.join(body)}) AS {_L}" if body else f"struct(1 AS __present) AS {_L}",
     )
-    fields = [F.col(right_time).alias(_T), *[F.col(c).alias(f"__t{i}") for i, c in enumerate(tiebreak)]]
-    fields += [F.col(c).alias(f"__p{i}") for i, c in enumerate(payload)]
-    rrows = right.filter(usable & F.col(right_time).isNotNull()).select(
+    fields = [_T, *[f"{c} AS __t{i}" for i, c in enumerate(tiebreak)], *[f"{c} AS __p{i}" for i, c in enumerate(payload)]]
+    rrows = right.filter(f"{has_key} AND {right_time} IS NOT NULL").withColumn(_T, F.col(right_time).cast(time_type))
+    rrows = rrows.selectExpr(
         *on,
-        time_bucket(right_time, bucket_minutes).alias(_B),
-        F.col(right_time).cast(time_type).alias(_T),
+        f"{bucket} AS {_B}",
+        _T,
         # At equal times a right row is seen by the left row, unless strict.
-        F.lit(-1 if strict else 1).alias(_KIND),
-        F.struct(*fields).alias(_R),
+        f"{-1 if strict else 1} AS {_KIND}",
+        f"struct({', '.join(fields)}) AS {_R}",
     )
     both = lrows.unionByName(rrows, allowMissingColumns=True)
 
@@ -83,24 +82,21 @@ def first_at_or_after(
         .filter(F.col("__carry").isNotNull() & F.col(_R).isNull())
         .select(*on, _B, "__carry")
     )
-    found = F.coalesce("__in", "__carry")
-    return main.join(carry, [*on, _B], "left").select(
-        *on,
-        *[F.col(f"{_L}.{c}").alias(c) for c in body],
-        *[found[f"__p{i}"].alias(c) for i, c in enumerate(payload)],
-    ).select(*left.columns, *payload)
+    picked = [f"coalesce(__in, __carry).__p{i} AS {c}" for i, c in enumerate(payload)]
+    out = main.join(carry, [*on, _B], "left").selectExpr(*on, *[f"{_L}.{c} AS {c}" for c in body], *picked)
+    return out.select(*left.columns, *payload)
 
 
 def attribute_first(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    left_ts: Column,
+    left_ts: str,
     right_ts: str,
     payload: Sequence[str],
     before_minutes: int,
     after_minutes: int,
-    next_ts: Column | None = None,
+    next_ts: str | None = None,
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
     row_id: Sequence[str] = (),
@@ -110,33 +106,31 @@ def attribute_first(
     The earliest row at/after the lower bound either meets the upper bounds or no row does,
     so one as-of look-up answers the interval join. Unmatched left rows keep NULL payload.
     """
-    before = F.expr(f"INTERVAL '{int(before_minutes)}' MINUTE")
-    after = F.expr(f"INTERVAL '{int(after_minutes)}' MINUTE")
-    src = left.withColumn("__hi", left_ts + after)
-    if next_ts is not None:
-        src = src.withColumn("__next", next_ts)
+    src = left.selectExpr(
+        "*",
+        f"{shift_sql(left_ts, after_minutes)} AS __hi",
+        f"{next_ts if next_ts is not None else 'CAST(NULL AS TIMESTAMP_NTZ)'} AS __next",
+    )
     hits = first_at_or_after(
         src,
         right.withColumn("__rts", F.col(right_ts)),
         on,
-        left_ts - before,
+        shift_sql(left_ts, -before_minutes),
         "__rts",
         [*payload, "__rts"],
         tiebreak,
         bucket_minutes=bucket_minutes,
         row_id=row_id,
     )
-    ok = F.col("__rts") <= F.col("__hi")
-    if next_ts is not None:
-        ok = ok & (F.col("__next").isNull() | (F.col("__rts") < F.col("__next")))
-    return hits.select(*left.columns, *[F.when(ok, F.col(c)).alias(c) for c in payload])
+    ok = "__rts <= __hi AND (__next IS NULL OR __rts < __next)"
+    return hits.selectExpr(*left.columns, *[f"CASE WHEN {ok} THEN {c} END AS {c}" for c in payload])
 
 
 def first_after(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    left_ts: Column,
+    left_ts: str,
     right_ts: str,
     name: str,
     bucket_minutes: int = BUCKET_MINUTES,

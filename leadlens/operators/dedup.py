@@ -46,17 +46,17 @@ def distinct_keys(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def order_key(ts: str, nulls: str = "last", tiebreak: Sequence[str] = (), where: Column | None = None) -> Column:
+def order_key(ts: str, nulls: str = "last", tiebreak: Sequence[str] = (), where: str | None = None) -> Column:
     """Sort struct for ``max_by``: NULL times lose (``last``) or win (``first``); rows outside ``where`` are ignored."""
-    wins = F.col(ts).isNotNull() if nulls == "last" else F.col(ts).isNull()
-    key = F.struct(wins.alias("w"), F.col(ts).alias("ts"), *[F.col(c) for c in tiebreak])
-    return key if where is None else F.when(where, key)
+    wins = f"{ts} IS NOT NULL" if nulls == "last" else f"{ts} IS NULL"
+    key = f"struct({', '.join([f'{wins} AS w', f'{ts} AS ts', *tiebreak])})"
+    return F.expr(key if where is None else f"CASE WHEN {where} THEN {key} END")
 
 
 def any_flag_then_latest(
     df: DataFrame,
     keys: Sequence[str],
-    flags: Mapping[str, Column],
+    flags: Mapping[str, str],
     ts: str,
     nulls: str = "last",
     tiebreak: Sequence[str] = (),
@@ -68,7 +68,7 @@ def any_flag_then_latest(
     rest = [c for c in df.columns if c not in keys]
     agg = [
         F.max_by(F.struct(*rest), order_key(ts, nulls, tiebreak)).alias("__row"),
-        *[F.max(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in flags.items()],
+        *[F.expr(f"max(CASE WHEN {cond} THEN 1 ELSE 0 END)").alias(name) for name, cond in flags.items()],
     ]
     return df.groupBy(*keys).agg(*agg).select(*keys, "__row.*", *flags)
 

@@ -4,28 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPREAD = "__spread"
 _SPREAD_OVER = 128
 
 
-def _all_set(on: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in on:
-        cond = cond & F.col(c).isNotNull()
-    return cond
+def _all_set(on: Sequence[str]) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in on)
 
 
 def unique_side(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Marks the look-up side; group by ``[*on, SPREAD]`` to aggregate and join on one shuffle."""
-    return df.withColumn(SPREAD, F.when(_all_set(on), 0).cast("bigint"))
+    return df.withColumn(SPREAD, F.expr(f"CASE WHEN {_all_set(on)} THEN 0L END"))
 
 
 def _spread_side(df: DataFrame, on: Sequence[str], row_id: Sequence[str]) -> DataFrame:
-    salt = 1 + F.pmod(F.xxhash64(*(row_id or df.columns)), F.lit(_SPREAD_OVER))
-    return df.withColumn(SPREAD, F.when(_all_set(on), F.lit(0).cast("bigint")).otherwise(salt))
+    salt = f"1L + pmod(xxhash64({', '.join(row_id or df.columns)}), {_SPREAD_OVER}L)"
+    return df.withColumn(SPREAD, F.expr(f"CASE WHEN {_all_set(on)} THEN 0L ELSE {salt} END"))
 
 
 def lookup(

@@ -19,7 +19,7 @@ BUCKET_MINUTES = 60
 _B, _IN, _CARRY = "__bucket", "__in", "__carry"
 
 
-def bucket_of(ts, minutes: int) -> Column:
+def bucket_of(ts: str, minutes: int) -> Column:
     return F.coalesce(time_bucket(ts, minutes), F.lit(-1).cast("bigint"))
 
 

@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ASSIGNED_OR_LATER, RANK_DEPTH, REACHED_STATES, STAGE_RANKS, STATE_RANK, FunnelConfig
-from ..functions.labels import cohort_label, depth_of_rank, rank_of, stage_depth
+from ..functions.labels import cohort_label, depth_of_rank, in_sql, rank_of, stage_depth
 from ..functions.predicates import live
 from ..functions.temporal import (
+    date_sql,
+    instant_sql,
     local_time,
     minute_diff,
     period_anchored,
     shift_minutes,
+    shift_sql,
     tat_minutes,
     within_minutes,
 )
@@ -77,12 +80,12 @@ def attributed_bookings(
         bookings,
         requests_by_subject(t, **{"min_subject": cfg.min_subject, **request_scope}),
         ["mobile"],
-        shift_minutes("bt", utc),
+        shift_sql("bt", utc),
         "request_ts",
         ["connection_id"],
         before_minutes=60 * cfg.before_hours,
         after_minutes=1440 * cfg.after_days,
-        next_ts=shift_minutes("nb", utc),
+        next_ts=shift_sql("nb", utc),
         tiebreak=["connection_id"],
         row_id=BOOKING_KEY,
     )
@@ -100,12 +103,7 @@ def first_event(t: Tables, event_type: str, name: str) -> DataFrame:
     return events.groupBy("connection_id", SPREAD).agg(F.min("event_timestamp").alias(name))
 
 
-def any_install() -> Column:
-    return (
-        F.coalesce(F.col("otp_verified"), F.lit(False))
-        | F.col("installation_completed_at").isNotNull()
-        | F.coalesce(F.col("completed_step") >= 7, F.lit(False))
-    )
+ANY_INSTALL = "(coalesce(otp_verified, false) OR installation_completed_at IS NOT NULL OR coalesce(completed_step >= 7, false))"
 
 
 LATEST = [
@@ -125,29 +123,29 @@ def candidate_facts(t: Tables, date_from: dt.date, cfg: FunnelConfig) -> DataFra
     Latest current row, any-install flag and first creation over the current rows, and the
     first assignment over all rows (history included) created since shortly before the scan start.
     """
-    current = F.coalesce(F.col("etl_current"), F.lit(False))
+    current = "coalesce(etl_current, false)"
     # A missing update time sorts first here.
     order = order_key("updated_at", "first", ["execution_candidate_id"], where=current)
-    since = F.lit(date_from - dt.timedelta(days=cfg.assigned_lookback_days)).cast("timestamp_ntz")
-    assigned = (F.col("current_state") == "TECHNICIAN_ASSIGNED") & (F.col("created_at") >= since)
+    since = instant_sql(date_from - dt.timedelta(days=cfg.assigned_lookback_days))
+    assigned = f"current_state = 'TECHNICIAN_ASSIGNED' AND created_at >= {since}"
     grouped = unique_side(t.candidates, ["connection_id"]).groupBy("connection_id", SPREAD)
     facts = grouped.agg(
         F.max_by(F.struct(*LATEST), order).alias("latest"),
-        F.max(F.when(current, 1)).alias("has_candidate"),
-        F.max(F.when(current & any_install(), 1).otherwise(0)).alias("inst_any"),
-        F.min(F.when(current, F.col("created_at"))).alias("tcreated"),
+        F.expr(f"max(CASE WHEN {current} THEN 1 END)").alias("has_candidate"),
+        F.expr(f"max(CASE WHEN {current} AND {ANY_INSTALL} THEN 1 ELSE 0 END)").alias("inst_any"),
+        *first_time_when({"tcreated": current}, "created_at"),
         *first_time_when({"t_assign": assigned}, "updated_at"),
     )
-    return facts.select(
+    return facts.selectExpr(
         "connection_id",
         SPREAD,
-        F.col("latest.current_state").alias("cs"),
-        F.col("latest.csp_id").alias("csp_id"),
-        F.col("latest.created_at").alias("cur_created"),
-        F.col("latest.proposed_slot_date").alias("psd"),
-        F.col("latest.confirmed_slot_at").alias("csa"),
-        F.col("latest.installation_completed_at").alias("ica"),
-        F.col("latest.executor_id").alias("exid"),
+        "latest.current_state AS cs",
+        "latest.csp_id AS csp_id",
+        "latest.created_at AS cur_created",
+        "latest.proposed_slot_date AS psd",
+        "latest.confirmed_slot_at AS csa",
+        "latest.executor_id AS exid",
+        "CASE WHEN inst_any = 1 THEN latest.installation_completed_at END AS done_at",
         "has_candidate",
         "inst_any",
         "tcreated",
@@ -162,29 +160,27 @@ def entity_lookup(t: Tables) -> DataFrame:
 
 
 def ladder6() -> Column:
-    cs = F.col("cs")
     return stage_depth(
         [
-            (F.col("inst_any") == 1, 6),
-            (F.col("exid").isNotNull() | cs.isin(ASSIGNED_OR_LATER), 5),
-            (F.col("csa").isNotNull() | (cs == "AWAITING_TECHNICIAN_ASSIGNMENT"), 4),
-            (F.col("psd").isNotNull() | (cs == "AWAITING_CUSTOMER_SLOT_CONFIRMATION"), 3),
-            (F.col("has_candidate") == 1, 2),
+            ("inst_any = 1", 6),
+            (f"exid IS NOT NULL OR {in_sql('cs', ASSIGNED_OR_LATER)}", 5),
+            ("csa IS NOT NULL OR cs = 'AWAITING_TECHNICIAN_ASSIGNMENT'", 4),
+            ("psd IS NOT NULL OR cs = 'AWAITING_CUSTOMER_SLOT_CONFIRMATION'", 3),
+            ("has_candidate = 1", 2),
         ],
         1,
     )
 
 
 def ladder7() -> Column:
-    cs = F.col("cs")
     return stage_depth(
         [
-            (F.col("inst_any") == 1, 7),
-            (cs.isin(REACHED_STATES), 6),
-            (F.col("exid").isNotNull() | (cs == "TECHNICIAN_ASSIGNED"), 5),
-            (F.col("csa").isNotNull() | (cs == "AWAITING_TECHNICIAN_ASSIGNMENT"), 4),
-            (F.col("psd").isNotNull() | (cs == "AWAITING_CUSTOMER_SLOT_CONFIRMATION"), 3),
-            (F.col("has_candidate") == 1, 2),
+            ("inst_any = 1", 7),
+            (in_sql("cs", REACHED_STATES), 6),
+            ("exid IS NOT NULL OR cs = 'TECHNICIAN_ASSIGNED'", 5),
+            ("csa IS NOT NULL OR cs = 'AWAITING_TECHNICIAN_ASSIGNMENT'", 4),
+            ("psd IS NOT NULL OR cs = 'AWAITING_CUSTOMER_SLOT_CONFIRMATION'", 3),
+            ("has_candidate = 1", 2),
         ],
         1,
     )
@@ -201,10 +197,6 @@ def _booking_rows(t: Tables, cfg: FunnelConfig, date_from: dt.date, attributed:
     )
 
 
-def _installed_at() -> Column:
-    return F.when(F.col("inst_any") == 1, F.col("ica"))
-
-
 def booking_base_v1(
     t: Tables, cfg: FunnelConfig, roster_ids: DataFrame, date_from: dt.date, attributed: DataFrame | None = None
 ) -> DataFrame:
@@ -218,12 +210,12 @@ def booking_base_v1(
         ladder6().alias("cur_depth"),
         tat_minutes("start_utc", "accepted_at").alias("tat_slot_m"),
         tat_minutes("start_utc", "csa").alias("tat_conf_m"),
-        tat_minutes("start_utc", _installed_at()).alias("tat_inst_m"),
+        tat_minutes("start_utc", "done_at").alias("tat_inst_m"),
         minute_diff("tcreated", "accepted_at").alias("tat_ta"),
         tat_minutes("accepted_at", "csa").alias("tat_sc_m"),
         tat_minutes("csa", "t_assign").alias("tat_ca_m"),
-        tat_minutes("t_assign", _installed_at()).alias("tat_ai_m"),
-        F.when(F.col("cs") == "DECLINED", 1).otherwise(0).alias("declined"),
+        tat_minutes("t_assign", "done_at").alias("tat_ai_m"),
+        F.expr("CASE WHEN cs = 'DECLINED' THEN 1 ELSE 0 END").alias("declined"),
     )
 
 
@@ -231,8 +223,8 @@ ROSTER_COLUMNS = ["cat", "screen", "viewed", "scrolled", "tapped", "ticket", "fl
 
 
 def _period_columns(cfg: FunnelConfig) -> list[Column]:
-    anchor = F.coalesce(F.col("ad"), F.lit(cfg.launch))
-    return [anchor.alias("ad"), period_anchored("booking_date", anchor, cfg.as_of).alias("period")]
+    anchor = f"coalesce(ad, {date_sql(cfg.launch)})"
+    return [F.expr(anchor).alias("ad"), period_anchored("booking_date", anchor, cfg.as_of).alias("period")]
 
 
 def booking_base(
@@ -255,25 +247,24 @@ def booking_base(
         within_minutes("start_utc", "accepted_at", 0, mature).alias("acc48"),
         within_minutes("start_utc", "csa", 0, mature).alias("conf48"),
         within_minutes("start_utc", "t_assign", 0, mature).alias("asgn48"),
-        within_minutes("start_utc", _installed_at(), 0, mature).alias("inst48"),
+        within_minutes("start_utc", "done_at", 0, mature).alias("inst48"),
         tat_minutes("cur_created", "accepted_at", clamp=True).alias("tat_ta"),
         tat_minutes("accepted_at", "csa").alias("tat_sc_m"),
         tat_minutes("csa", "t_assign").alias("tat_ca_m"),
-        tat_minutes("t_assign", _installed_at()).alias("tat_ai_m"),
-        local_time(_installed_at(), cfg.offset_minutes).alias("inst_ts"),
+        tat_minutes("t_assign", "done_at").alias("tat_ai_m"),
+        local_time("done_at", cfg.offset_minutes).alias("inst_ts"),
     )
 
 
 def entity_stages(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per (connection, entity): received time, furthest rank, first time at or past each rank."""
-    rank = F.col("__rank")
     ranked = history.select(
         *keys, "created_at", "updated_at", rank_of("current_state", STATE_RANK).alias("__rank")
     )
     return ranked.groupBy(*keys).agg(
         F.min("created_at").alias("recv"),
-        *first_time_when({f"{name}_ts": rank >= lo for name, lo in STAGE_RANKS.items()}, "updated_at"),
-        F.max(rank).alias("maxrank"),
+        *first_time_when({f"{name}_ts": f"__rank >= {lo}" for name, lo in STAGE_RANKS.items()}, "updated_at"),
+        F.max("__rank").alias("maxrank"),
     )
 
 

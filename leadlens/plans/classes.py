@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from ..config import FunnelConfig
 from ..operators.aggregates import count_if
 from ..operators.joins import zero_fill
-from .funnel import _depth, _on
 
 
 def entity_measures(entity_base: DataFrame) -> DataFrame:
     """Received, confirmed, installed per enrolled entity in POST. Confirmation also accepts "reached"."""
     post = entity_base.filter((F.col("coh") == "E") & (F.col("period") == "POST") & F.col("mgpid").isNotNull())
     return post.groupBy(F.col("mgpid").alias("pid")).agg(
-        count_if(_depth(2)).alias("received"),
-        count_if(_depth(4) & _on("conf48", "asgn48", "reached48", "inst48")).alias("confirmed"),
-        count_if(_depth(7) & _on("inst48")).alias("installed"),
+        count_if("cur_depth >= 2").alias("received"),
+        count_if("cur_depth >= 4 AND 1 IN (conf48, asgn48, reached48, inst48)").alias("confirmed"),
+        count_if("cur_depth >= 7 AND inst48 = 1").alias("installed"),
     )
 
 
@@ -29,18 +28,13 @@ def classify_entities(entity_base: DataFrame, roster: DataFrame, cfg: FunnelConf
     """
     live = roster.filter(F.col("days") >= 1).select("pid", "days")
     rows = zero_fill(live, entity_measures(entity_base), "pid", ["received", "confirmed", "installed"])
-    conf, inst, days = F.col("confirmed"), F.col("installed"), F.col("days")
-    enough = conf >= cfg.min_confirmed
-    gate = (conf > 0) & (inst * 100 >= conf * cfg.gate_percent)
-    projected_enough = conf * (days + cfg.month_remaining) >= days * cfg.min_confirmed
-    return rows.withColumn(
-        "mg", F.when(~enough, "mg_lo").when(gate, "mg_hi").otherwise("no_mg")
-    ).withColumn(
-        "mgp",
-        F.when(days < cfg.early_days, "too_early")
-        .when(~projected_enough, "mg_lo")
-        .when(gate, "mg_hi")
-        .otherwise("no_mg"),
+    gate = f"confirmed > 0 AND installed * 100 >= confirmed * {cfg.gate_percent}"
+    projected = f"confirmed * (days + {cfg.month_remaining}) < days * {cfg.min_confirmed}"
+    return rows.selectExpr(
+        "*",
+        f"CASE WHEN confirmed < {cfg.min_confirmed} THEN 'mg_lo' WHEN {gate} THEN 'mg_hi' ELSE 'no_mg' END AS mg",
+        f"""CASE WHEN days < {cfg.early_days} THEN 'too_early' WHEN {projected} THEN 'mg_lo'
+            WHEN {gate} THEN 'mg_hi' ELSE 'no_mg' END AS mgp""",
     )
 
 

@@ -77,8 +77,8 @@ def dashboard(t: Tables, cfg: FunnelConfig, city_pattern: str = "%delhi%") -> di
         booking, entity = scope(bases.booking), scope(bases.entity)
         classes = stage(C.classify_entities(entity, people, cfg), "classes")
         for grain, base, rules in (
-            ("booking", booking, P.rules_booking()),
-            ("entity", entity, P.rules_entity()),
+            ("booking", booking, P.RULES_BOOKING),
+            ("entity", entity, P.RULES_ENTITY),
         ):
             for name, df in grain_panels(base, rules, people, classes, cfg).items():
                 out[f"{grain}_{name}{suffix}"] = df

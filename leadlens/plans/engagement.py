@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACTION_STATES, ROLE_GROUP, FunnelConfig
-from ..functions.labels import role_group
+from ..functions.labels import in_sql, role_group
 from ..functions.predicates import live
 from ..functions.rates import pct, whole
-from ..functions.temporal import period_anchored, second_diff
+from ..functions.temporal import instant_sql, period_anchored, second_diff
 from ..operators.aggregates import count_if, nearest_rank
 from ..operators.asof import first_after
 from ..operators.dedup import one_per
@@ -65,7 +65,7 @@ def open_rates(t: Tables, roster: DataFrame, cfg: FunnelConfig, date_from: dt.da
         F.sum("days").cast("bigint").alias("entity_days"), F.count(F.lit(1)).alias("entities")
     )
     rated = per_role.withColumn("__one", F.lit(1)).join(size.withColumn("__one", F.lit(1)), ["__one"], "left")
-    return rated.withColumn("opens_d", whole(F.col("opens") * F.col("entities"), "entity_days")).select(
+    return rated.withColumn("opens_d", whole("opens * entities", "entity_days")).select(
         "period", "rg", "opens", "active_days", "opens_d"
     )
 
@@ -86,14 +86,14 @@ def view_actions(
 ) -> DataFrame:
     """pid, view_ts, first action strictly after the view, minutes between them."""
     actions = t.history.filter(
-        (F.col("created_at") >= F.lit(cfg.launch).cast("timestamp_ntz")) & F.col("current_state").isin(list(states))
+        f"created_at >= {instant_sql(cfg.launch)} AND {in_sql('current_state', states)}"
     ).select("csp_id", F.col("updated_at").alias("a_ts"))
     entity = entity_lookup(t).join(
         views.select(F.col("pid").alias("partner_id")).distinct(), ["partner_id"], "left_semi"
     )
     # Equal (entity, time) actions collapse before the look-up.
     by_entity = actions.distinct().join(entity, ["csp_id"]).select(F.col("partner_id").alias("pid"), "a_ts")
-    hits = first_after(views, by_entity, ["pid"], F.col("view_ts"), "a_ts", "action_ts")
+    hits = first_after(views, by_entity, ["pid"], "view_ts", "a_ts", "action_ts")
     minutes = F.round(second_diff("view_ts", "action_ts") / F.lit(60.0)).cast("bigint")
     return hits.withColumn("mins", minutes)
 
@@ -107,7 +107,7 @@ def view_to_action(rows: DataFrame) -> DataFrame:
         F.count("value").alias("acted"),
         nearest_rank("value", 0.5).cast("bigint").alias("median_min"),
         nearest_rank("value", 0.75).cast("bigint").alias("p75_min"),
-        count_if(F.col("value") <= 1440).alias("within24h"),
+        count_if("value <= 1440").alias("within24h"),
     )
     return agg.select(
         "n_viewed",

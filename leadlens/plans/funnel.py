@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CUT_DIMS, ENGAGEMENT_ROWS, FunnelConfig
@@ -15,70 +15,56 @@ from ..functions.temporal import between_dates, period_fixed
 from ..operators.aggregates import cut_by, entity_days, group_funnel, pick_cut
 
 
-def _on(*names: str) -> Column:
-    cond = F.lit(False)
-    for n in names:
-        cond = cond | (F.col(n) == 1)
-    return cond
-
-
-def _depth(level: int) -> Column:
-    return F.col("cur_depth") >= level
-
-
-# ---- stage rules: a later stage's evidence also counts for the earlier ones -------------
-
-
-def rules_v1() -> tuple[dict[str, Column], dict[str, tuple[Column, Column]]]:
+# Stage rules, as (counts, medians) of SQL conditions: a later stage's evidence also counts
+# for the earlier ones.
+Rules = tuple[dict[str, str], dict[str, tuple[str, str]]]
+
+RULES_V1: Rules = (
+    {
+        "received": "cur_depth >= 2",
+        "slot": "cur_depth >= 3",
+        "confirm": "cur_depth >= 4",
+        "install": "cur_depth >= 6",
+        "assign": "cur_depth >= 5",
+        "decline": "declined = 1",
+    },
+    {
+        "tat_accept": ("cur_depth >= 3 AND tat_ta >= 0", "tat_ta"),
+        "tat_slot": ("true", "tat_slot_m"),
+        "tat_confirm": ("true", "tat_conf_m"),
+        "tat_install": ("true", "tat_inst_m"),
+        "tat_sc": ("true", "tat_sc_m"),
+        "tat_ca": ("true", "tat_ca_m"),
+        "tat_ai": ("true", "tat_ai_m"),
+    },
+)
+
+
+def _flagged(depth: int, *flags: str) -> str:
+    return f"cur_depth >= {depth} AND 1 IN ({', '.join(flags)})"
+
+
+def _rules(first: str, reached: str, accepted: str) -> Rules:
     counts = {
-        "received": _depth(2),
-        "slot": _depth(3),
-        "confirm": _depth(4),
-        "install": _depth(6),
-        "assign": _depth(5),
-        "decline": F.col("declined") == 1,
+        "received": "cur_depth >= 2",
+        "slot": _flagged(3, first, "conf48", "asgn48", "inst48"),
+        "confirm": _flagged(4, "conf48", "asgn48", "inst48"),
+        "assign": _flagged(5, "asgn48", "inst48"),
+        "reached": _flagged(6, reached, "inst48"),
+        "install": _flagged(7, "inst48"),
     }
-    every = F.lit(True)
     medians = {
-        "tat_accept": (_depth(3) & (F.col("tat_ta") >= 0), F.col("tat_ta")),
-        "tat_slot": (every, F.col("tat_slot_m")),
-        "tat_confirm": (every, F.col("tat_conf_m")),
-        "tat_install": (every, F.col("tat_inst_m")),
-        "tat_sc": (every, F.col("tat_sc_m")),
-        "tat_ca": (every, F.col("tat_ca_m")),
-        "tat_ai": (every, F.col("tat_ai_m")),
+        "tat_ta": (f"{accepted} AND tat_ta >= 0", "tat_ta"),
+        "tat_sc": ("conf48 = 1", "tat_sc_m"),
+        "tat_ca": ("asgn48 = 1", "tat_ca_m"),
+        "tat_ai": ("inst48 = 1", "tat_ai_m"),
     }
     return counts, medians
 
 
-def _later_rules(first: str, reached: str) -> dict[str, Column]:
-    return {
-        "received": _depth(2),
-        "slot": _depth(3) & _on(first, "conf48", "asgn48", "inst48"),
-        "confirm": _depth(4) & _on("conf48", "asgn48", "inst48"),
-        "assign": _depth(5) & _on("asgn48", "inst48"),
-        "reached": _depth(6) & _on(reached, "inst48"),
-        "install": _depth(7) & _on("inst48"),
-    }
-
-
-def _stage_medians(accept: Column) -> dict[str, tuple[Column, Column]]:
-    return {
-        "tat_ta": (accept & (F.col("tat_ta") >= 0), F.col("tat_ta")),
-        "tat_sc": (_on("conf48"), F.col("tat_sc_m")),
-        "tat_ca": (_on("asgn48"), F.col("tat_ca_m")),
-        "tat_ai": (_on("inst48"), F.col("tat_ai_m")),
-    }
-
-
-def rules_booking() -> tuple[dict[str, Column], dict[str, tuple[Column, Column]]]:
-    # This grain has no "reached" flag of its own; the assignment flag stands in.
-    return _later_rules("acc48", "asgn48"), _stage_medians(_depth(3) & _on("acc48"))
-
-
-def rules_entity() -> tuple[dict[str, Column], dict[str, tuple[Column, Column]]]:
-    return _later_rules("slot48", "reached48"), _stage_medians(_on("slot48"))
-
+# The booking grain has no "reached" flag of its own; the assignment flag stands in.
+RULES_BOOKING = _rules("acc48", "asgn48", "cur_depth >= 3 AND acc48 = 1")
+RULES_ENTITY = _rules("slot48", "reached48", "slot48 = 1")
 
 COUNTS = ["received", "slot", "confirm", "assign", "reached", "install"]
 TATS = ["tat_ta", "tat_sc", "tat_ca", "tat_ai"]
@@ -91,7 +77,7 @@ MEASURES = [*COUNTS, *TATS]
 def funnel_pre_post(base_v1: DataFrame, cfg: FunnelConfig) -> DataFrame:
     period = period_fixed("booking_date", (cfg.pre_start, cfg.pre_end), (cfg.launch, cfg.as_of))
     rows = base_v1.withColumn("period", period).filter(F.col("coh").isNotNull() & F.col("period").isNotNull())
-    return group_funnel(rows, ["period", "coh"], *rules_v1())
+    return group_funnel(rows, ["period", "coh"], *RULES_V1)
 
 
 def rates_v1(block: DataFrame, n_days: int, n_entities: DataFrame) -> DataFrame:
@@ -99,22 +85,21 @@ def rates_v1(block: DataFrame, n_days: int, n_entities: DataFrame) -> DataFrame:
 
     ``n_entities`` is a one-row frame with column ``entities``.
     """
-    days = F.lit(n_days)
     rows = block.withColumn("__one", F.lit(1)).join(
         n_entities.select(F.lit(1).alias("__one"), "entities"), ["__one"], "left"
     )
     return rows.select(
         *block.columns,
-        *[whole(c, days).alias(f"{c}_d") for c in ("received", "slot", "confirm", "install", "assign")],
+        *[whole(c, str(n_days)).alias(f"{c}_d") for c in ("received", "slot", "confirm", "install", "assign")],
         *[pct(c, "received", zero_den=0.0).alias(f"{c}_pct") for c in ("slot", "confirm", "assign", "install")],
         pct("install", "confirm", zero_den=0.0).alias("install_ratio"),
-        ratio("received", days * F.col("entities"), 2).alias("per_entity_d"),
+        ratio("received", f"{n_days} * entities", 2).alias("per_entity_d"),
     )
 
 
 def daily_funnel(base_v1: DataFrame, cfg: FunnelConfig) -> DataFrame:
     """Stage counts and four medians per booking day and cohort."""
-    counts, medians = rules_v1()
+    counts, medians = RULES_V1
     rows = base_v1.filter(F.col("coh").isNotNull() & (F.col("booking_date") >= F.lit(cfg.daily_from)))
     names = {
         "tat_task_slot": "tat_accept",
@@ -165,14 +150,14 @@ def without_flows(base: DataFrame, cfg: FunnelConfig) -> DataFrame:
     return exclude_values(base, "bflow", cfg.excluded_flows, keep_null=True)
 
 
-def funnel_cuts(base: DataFrame, rules, dims: Sequence[str] = CUT_DIMS) -> DataFrame:
+def funnel_cuts(base: DataFrame, rules: Rules, dims: Sequence[str] = CUT_DIMS) -> DataFrame:
     """All cuts in one pass, long form: period, dim, key, counts, medians."""
     counts, medians = rules
     rows = base.filter(F.col("coh").isNotNull() & F.col("period").isNotNull())
     return pick_cut(cut_by(rows, ["period"], dims, counts, medians), ["period"], dims, MEASURES)
 
 
-def class_cut(base: DataFrame, classes: DataFrame, label: str, rules) -> DataFrame:
+def class_cut(base: DataFrame, classes: DataFrame, label: str, rules: Rules) -> DataFrame:
     """Funnel per period and class; the label is joined late onto the shared base."""
     counts, medians = rules
     labelled = classes.select(F.col("pid").alias("mgpid"), F.col(label).alias("mg"))

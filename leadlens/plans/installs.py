@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import FunnelConfig
 from ..functions.predicates import live
 from ..functions.rates import pct
-from ..functions.temporal import local_time, period_fixed
+from ..functions.temporal import date_sql, instant_sql, local_time, period_fixed
 from ..operators.aggregates import count_if
 from ..operators.cells import tagged_cells
 from ..operators.dedup import earliest_by
@@ -36,11 +36,10 @@ def decline_rate(t: Tables, roster_ids: DataFrame, cfg: FunnelConfig) -> DataFra
         live(t.candidates, "etl_current", "current")
         .filter(
             # Bounds on the raw column, so that they reach the scan.
-            (F.col("created_at") >= F.lit(cfg.pre_start).cast("timestamp_ntz"))
-            & (F.col("created_at") < F.lit(cfg.today).cast("timestamp_ntz"))
+            f"created_at >= {instant_sql(cfg.pre_start)} AND created_at < {instant_sql(cfg.today)}"
         )
         .groupBy("csp_id", day.alias("day"))
-        .agg(F.count(F.lit(1)).alias("offers"), count_if(F.col("current_state") == "DECLINED").alias("declined"))
+        .agg(F.count(F.lit(1)).alias("offers"), count_if("current_state = 'DECLINED'").alias("declined"))
     )
     rows = offers.join(_entity_cohort(t, roster_ids), ["csp_id"]).withColumn("period", period)
     out = rows.filter(F.col("period").isNotNull()).groupBy(
@@ -85,19 +84,16 @@ def installs_hourly(t: Tables, roster_ids: DataFrame, cfg: FunnelConfig) -> Data
 
 def cells(base: DataFrame, date_from: dt.date) -> DataFrame:
     """B bookings, I / J installs of enrolled / other entities, K bookings that got installed; one pass."""
-    enrolled: Column = F.col("coh") == "E"
-    other: Column = F.col("coh") == "N"
-    installed_on = F.to_date("inst_ts")
-    recent = installed_on >= F.lit(date_from)
-    book = (F.col("booking_date"), F.col("bhr"))
-    inst = (installed_on, F.hour("inst_ts"))
+    recent = f"to_date(inst_ts) >= {date_sql(date_from)}"
+    book = ("booking_date", "bhr")
+    inst = ("to_date(inst_ts)", "hour(inst_ts)")
     return tagged_cells(
         base,
         [
-            ("B", *book, enrolled & (F.col("cur_depth") >= 2)),
-            ("I", *inst, enrolled & recent),
-            ("J", *inst, other & recent),
-            ("K", *book, enrolled & (F.col("cur_depth") >= 7)),
+            ("B", *book, "coh = 'E' AND cur_depth >= 2"),
+            ("I", *inst, f"coh = 'E' AND {recent}"),
+            ("J", *inst, f"coh = 'N' AND {recent}"),
+            ("K", *book, "coh = 'E' AND cur_depth >= 7"),
         ],
     )
 

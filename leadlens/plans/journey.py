@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JOURNEY_STATES, FunnelConfig
-from ..functions.labels import display_ts, mask_key, reason_text
+from ..functions.labels import display_ts, in_sql, mask_key, reason_text
 from ..functions.predicates import live
-from ..functions.temporal import hour_bucket, local_time
+from ..functions.temporal import hour_bucket, instant_sql, shift_sql
 from ..operators.aggregates import first_time_when
 from ..operators.dedup import latest_by
 from ..operators.ordered import running_number
@@ -60,13 +60,12 @@ def lead_journey(
     leads = conn.join(
         last.select("connection_id", "csp_id").join(owned, ["csp_id"]).select("connection_id"), ["connection_id"]
     )
-    since = F.lit(day - dt.timedelta(days=1)).cast("timestamp_ntz")
-    state = F.col("current_state")
+    since = instant_sql(day - dt.timedelta(days=1))
     raw = (
-        t.history.filter(F.col("created_at") >= since)
+        t.history.filter(f"created_at >= {since}")
         .join(cand.select("execution_candidate_id").distinct(), ["execution_candidate_id"], "left_semi")
         .groupBy("execution_candidate_id")
-        .agg(*first_time_when({f"{k}_ts": state.isin(v) for k, v in JOURNEY_STATES.items()}, "updated_at"))
+        .agg(*first_time_when({f"{k}_ts": in_sql("current_state", v) for k, v in JOURNEY_STATES.items()}, "updated_at"))
     )
     hops = (
         leads.join(cand, ["connection_id"])
@@ -75,8 +74,8 @@ def lead_journey(
         .join(raw, ["execution_candidate_id"], "left")
     )
 
-    def shown(ts):
-        return display_ts(local_time(ts, cfg.offset_minutes))
+    def shown(ts: str):
+        return display_ts(shift_sql(ts, cfg.offset_minutes))
 
     return hops.select(
         "mobile",
@@ -88,7 +87,7 @@ def lead_journey(
         F.coalesce("nm", F.lit("?")).alias("entity"),
         F.coalesce("__enr", F.lit(0)).alias("enr"),
         shown("created_at").alias("sent"),
-        state.alias("state"),
+        F.col("current_state").alias("state"),
         *[shown(f"{k}_ts").alias(k) for k in JOURNEY_STATES],
         reason_text("failure_reason", "reason_code", "failure_subreason_code").alias("reason"),
         shown("updated_at").alias("upd"),

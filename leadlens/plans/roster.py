@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ANSWER_CODES, NOT_ANSWERED, OWNER_ROLES, SCREENS, FunnelConfig
+from ..functions.labels import in_sql
 from ..functions.maps import any_count_with_prefix, min_first_seen
 from ..functions.temporal import live_days, local_time
 from ..operators.dedup import latest_valid
@@ -48,24 +48,19 @@ def anchors(ids: DataFrame, optins: DataFrame, cfg: FunnelConfig) -> DataFrame:
     return ids.select("pid").join(first, ["pid"], "left").select("pid", F.coalesce("ad", launch).alias("ad"))
 
 
-def feedback(t: Tables, cfg: FunnelConfig, valid: Sequence[str] = ANSWER_CODES) -> DataFrame:
+def feedback(
+    t: Tables, cfg: FunnelConfig, valid: Sequence[str] = ANSWER_CODES, entity_dim: DataFrame | None = None
+) -> DataFrame:
     """Entity -> latest recognised answer of one of its owners."""
-    ident = F.col("pid").try_cast("bigint")
-    log = (
-        t.screen_log.filter(
-            (F.col("flow") == "3")
-            & ~F.col("pid").like("RAW%")
-            & (F.col("screen").like("f3a_%") | F.col("screen").like("f3b_%"))
-        )
-        .select(ident.alias("identity"), F.substring("screen", 5, 1 << 30).alias("cat"), "ts")
-        .filter(F.col("identity").isNotNull() & ~F.col("identity").isin(list(cfg.test_identities)))
-    )
+    log = t.screen_log.filter(
+        "flow = '3' AND pid NOT LIKE 'RAW%' AND (screen LIKE 'f3a_%' OR screen LIKE 'f3b_%')"
+    ).selectExpr("try_cast(pid AS BIGINT) AS identity", "substring(screen, 5) AS cat", "ts")
+    log = log.filter(F.col("identity").isNotNull() & ~F.col("identity").isin(list(cfg.test_identities)))
     # Latest answer per identity first, so a busy identity is one row before the join.
-    per_identity = log.filter(F.col("cat").isin(list(valid))).groupBy("identity").agg(
-        F.max(F.struct("ts", "cat")).alias("last")
-    ).select("identity", "last.ts", "last.cat")
-    owners = resolve_identity(t.users, t.entity_dim, OWNER_ROLES, integer_ids=True)
-    return latest_valid(per_identity.join(owners, ["identity"]), "pid", "ts", "cat", valid)
+    last = log.filter(in_sql("cat", valid)).groupBy("identity").agg(F.max(F.struct("ts", "cat")).alias("last"))
+    owners = resolve_identity(t.users, t.entity_dim if entity_dim is None else entity_dim, OWNER_ROLES, integer_ids=True)
+    answers = last.select("identity", "last.ts", "last.cat").join(owners, ["identity"])
+    return latest_valid(answers, "pid", "ts", "cat", valid)
 
 
 def profile_flags(profiles: DataFrame, prefixes: dict[str, str] = EVENT_PREFIXES) -> DataFrame:
@@ -88,8 +83,8 @@ def merge_identities(flags: DataFrame, key: str, names: Sequence[str] = ENGAGEME
     )
 
 
-def engagement(t: Tables) -> DataFrame:
-    owners = resolve_identity(t.users, t.entity_dim, OWNER_ROLES)
+def engagement(t: Tables, entity_dim: DataFrame | None = None) -> DataFrame:
+    owners = resolve_identity(t.users, t.entity_dim if entity_dim is None else entity_dim, OWNER_ROLES)
     return merge_identities(profile_flags(t.profiles).join(owners, ["identity"]), "pid")
 
 
@@ -130,11 +125,10 @@ def build_roster(
     )
 
 
-def owner_scope(t: Tables, ids: DataFrame) -> Tables:
-    """Answers and engagement are only looked up for the owners of enrolled entities."""
+def owner_scope(t: Tables, ids: DataFrame) -> DataFrame:
+    """The entity dimension of the enrolled entities: only their owners are looked up."""
     key = F.col("partner_id").cast("string")
-    dim = t.entity_dim.withColumn("pid", key).join(ids.select("pid"), ["pid"], "left_semi").drop("pid")
-    return replace(t, entity_dim=dim)
+    return t.entity_dim.withColumn("pid", key).join(ids.select("pid"), ["pid"], "left_semi").drop("pid")
 
 
 def roster(t: Tables, cfg: FunnelConfig, mg: DataFrame | None = None) -> DataFrame:
@@ -142,7 +136,13 @@ def roster(t: Tables, cfg: FunnelConfig, mg: DataFrame | None = None) -> DataFra
     scope = owner_scope(t, ids)
     f2 = t.cohorts.filter(F.col("flow") == "flow2")
     return build_roster(
-        anchors(ids, t.optins, cfg), feedback(scope, cfg), engagement(scope), f2, cfg.as_of, mg, cfg.screens
+        anchors(ids, t.optins, cfg),
+        feedback(t, cfg, entity_dim=scope),
+        engagement(t, entity_dim=scope),
+        f2,
+        cfg.as_of,
+        mg,
+        cfg.screens,
     )
 
 

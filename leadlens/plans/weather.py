@@ -20,30 +20,27 @@ def daily_weather(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     The night is the previous *present* day's rain from 21h plus this day's rain up to 06h.
     The lag runs over day rows, which are already one per site and day.
     """
-    hour = F.hour("ts")
-    daytime = hour.between(9, 18)
-    zero = F.lit(0.0)
+    daytime = "hour(ts) BETWEEN 9 AND 18"
 
-    def rain(cond):
-        return F.sum(F.when(cond, F.coalesce(F.col("precip"), zero)).otherwise(0.0))
+    def rain(cond: str):
+        return F.expr(f"sum(CASE WHEN {cond} THEN coalesce(precip, 0D) ELSE 0D END)")
 
     days = hourly.groupBy(*keys, F.to_date("ts").alias("day")).agg(
         rain(daytime).alias("day_rain"),
-        rain(hour >= 21).alias("late_rain"),
-        rain(hour <= 6).alias("early_rain"),
-        F.coalesce(F.avg(F.when(daytime, F.coalesce(F.col("cloud"), zero))), zero).alias("day_cloud"),
+        rain("hour(ts) >= 21").alias("late_rain"),
+        rain("hour(ts) <= 6").alias("early_rain"),
+        F.expr(f"coalesce(avg(CASE WHEN {daytime} THEN coalesce(cloud, 0D) END), 0D)").alias("day_cloud"),
     )
     carried = previous_value(days, list(keys), "day", "late_rain", "prev_late", 0.0)
-    night = F.col("prev_late") + F.col("early_rain")
-    day_rain = F.col("day_rain")
+    night = "prev_late + early_rain"
     weather = stage_depth(
         [
-            (day_rain >= STORM_MM, F.lit("storm")),
-            (day_rain >= RAIN_MM, F.lit("rain")),
-            (day_rain >= SHOWERS_MM, F.lit("showers")),
-            (night >= WET_NIGHT_MM, F.lit("wet_night")),
-            (F.col("day_cloud") >= CLOUDY_PCT, F.lit("cloudy")),
+            (f"day_rain >= {STORM_MM}", "storm"),
+            (f"day_rain >= {RAIN_MM}", "rain"),
+            (f"day_rain >= {SHOWERS_MM}D", "showers"),
+            (f"{night} >= {WET_NIGHT_MM}", "wet_night"),
+            (f"day_cloud >= {CLOUDY_PCT}", "cloudy"),
         ],
-        F.lit("clear"),
+        "clear",
     )
-    return carried.select(*keys, "day", "day_rain", night.alias("night_rain"), "day_cloud", weather.alias("weather"))
+    return carried.select(*keys, "day", "day_rain", F.expr(night).alias("night_rain"), "day_cloud", weather.alias("weather"))
