@@ -209,15 +209,14 @@ def _(r):
 
 @register(
     "semi_reduce",
-    """SELECT l_orderkey, count(*) AS n_lines FROM lineitem
-WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY 1""",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
 )
 def _(r):
     urgent = r.table("orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("o_orderkey").alias("l_orderkey")
     )
-    lines = J.semi(r.table("lineitem", "l_orderkey"), urgent, ["l_orderkey"])
-    return lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    return J.semi(r.table("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), urgent, ["l_orderkey"])
 
 
 @register(
@@ -785,7 +784,7 @@ def _booking_cuts(r, flows_out: bool = False):
     if flows_out:
         base = P.without_flows(base, CONFIG)
     found = stage(found, "classes")
-    return P.funnel_cuts(DOC._relabel(base, found), P.RULES_BOOKING), people, found
+    return P.funnel_cuts(DOC.relabel(base, found), P.RULES_BOOKING), people, found
 
 
 @register("funnel_cuts", f"SELECT period, dim, key, {O.MEASURES} FROM cut2")
@@ -796,7 +795,7 @@ def _(r):
 @register("funnel_cuts_entity", f"SELECT period, dim, key, {O.MEASURES} FROM cuts_e")
 def _(r):
     _t, _people, _rows, entity, found = _with_classes(r)
-    return P.funnel_cuts(DOC._relabel(entity, found), P.RULES_ENTITY)
+    return P.funnel_cuts(DOC.relabel(entity, found), P.RULES_ENTITY)
 
 
 @register("funnel_cuts_filtered", f"SELECT * FROM ({O.cuts('base2g', O.RULES_BOOKING, where=O.NO_GH)})")
@@ -807,7 +806,7 @@ def _(r):
 @register("funnel_cuts_entity_filtered", f"SELECT * FROM ({O.cuts('ebaseg', O.RULES_ENTITY, where=O.NO_GH)})")
 def _(r):
     _t, _people, _rows, entity, found = _with_classes(r, True)
-    return P.funnel_cuts(DOC._relabel(entity, found), P.RULES_ENTITY)
+    return P.funnel_cuts(DOC.relabel(entity, found), P.RULES_ENTITY)
 
 
 @register(
@@ -1091,10 +1090,10 @@ def _(r):
     return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, T.NIGHT)
 
 
-@register("lead_journey_hour", O.journey("hour(d.bt) = 9"))
+@register("lead_journey_hour", O.journey("hour(d.bt) = 11"))
 def _(r):
     t = r
-    return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, 9)
+    return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, 11)
 
 
 _CONV_DAY = "CAST(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(turn AS INTEGER)) AS TIMESTAMP)"
@@ -1127,18 +1126,11 @@ def _(r):
 
 @register("cohort_file", "SELECT pid, flow FROM cohorts")
 def _(r):
-    """One {flow1: [...], flow2: [...]} document per first character of the id, written and read back."""
+    """One small {flow1: [...], flow2: [...]} document per entity, written as JSON lines and read back."""
     path = fresh_path(r.spark, "cohort_files")
-    head = F.substring("pid", 1, 3).alias("head")
-    docs = r.cohorts.groupBy(head).agg(
-        *[F.collect_list(F.when(F.col("flow") == f, F.col("pid"))).alias(f) for f in ("flow1", "flow2")]
-    )
-    docs.drop("head").write.json(path)
-    # Spark writes JSON lines: one document per line.
-    lines = r.spark.read.text(path).select("value")
-    parts = fresh_path(r.spark, "cohort_docs")
-    lines.write.option("maxRecordsPerFile", 1).text(parts)
-    return read_cohorts(r.spark, parts)
+    own = [F.expr(f"IF(bool_or(flow = '{f}'), array(pid), array())").alias(f) for f in ("flow1", "flow2")]
+    r.cohorts.groupBy("pid").agg(*own).drop("pid").write.json(path)
+    return read_cohorts(r.spark, path, lines=True)
 
 
 @register(

@@ -23,6 +23,10 @@ def bucket_of(ts: str, minutes: int) -> Column:
     return F.coalesce(time_bucket(ts, minutes), F.lit(-1).cast("bigint"))
 
 
+def _keyed(keys: Sequence[str]) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in keys)
+
+
 def next_event(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,7 +35,10 @@ def next_event(
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
 ) -> DataFrame:
-    """Adds the time of the key's next row in (ts, tiebreak) order; NULL for the last one."""
+    """Adds the time of the key's next row in (ts, tiebreak) order; NULL for the last one.
+
+    Rows without a key have no next row.
+    """
     src = df.withColumn(_B, bucket_of(ts, bucket_minutes))
     inside = W.partitionBy(*keys, _B).orderBy(F.asc(ts), *[F.asc(c) for c in tiebreak])
     main = src.withColumn(_IN, F.lead(ts).over(inside))
@@ -44,7 +51,7 @@ def next_event(
     )
     return (
         main.join(carry, [*keys, _B], "left")
-        .withColumn(name, F.coalesce(_IN, _CARRY))
+        .withColumn(name, F.expr(f"CASE WHEN {_keyed(keys)} THEN coalesce({_IN}, {_CARRY}) END"))
         .select(*df.columns, name)
     )
 
@@ -57,7 +64,10 @@ def running_number(
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
 ) -> DataFrame:
-    """Adds the 1-based position of each row inside its key (rows without a time first)."""
+    """Adds the 1-based position of each row inside its key (rows without a time first).
+
+    Rows without a key have no position.
+    """
     src = df.withColumn(_B, bucket_of(ts, bucket_minutes))
     inside = W.partitionBy(*keys, _B).orderBy(F.asc_nulls_first(ts), *[F.asc_nulls_last(c) for c in tiebreak])
     main = src.withColumn(_IN, F.row_number().over(inside))
@@ -68,8 +78,8 @@ def running_number(
         .select(*keys, _B, F.coalesce(F.sum("__n").over(before), F.lit(0).cast("bigint")).alias(_CARRY))
     )
     return (
-        main.join(carry, [*keys, _B], "inner")
-        .withColumn(name, F.col(_IN).cast("bigint") + F.col(_CARRY))
+        main.join(carry, [*keys, _B], "left")
+        .withColumn(name, F.expr(f"CASE WHEN {_keyed(keys)} THEN {_IN} + {_CARRY} END"))
         .select(*df.columns, name)
     )
 

@@ -60,9 +60,9 @@ def requests_by_subject(t: Tables, min_subject: str | None, subjects: DataFrame
     pairs = distinct_keys(accounts, ["mobile", F.col("account_id").cast("string").alias("account_id")])
     conns = live(t.connections, "active", "current").select(
         "connection_id", F.col("customer_id").cast("string").alias("account_id")
-    ).distinct()
+    )
     events = live(t.event_history, "deleted").filter(F.col("event_type") == "CONNECTION_REQUEST")
-    # Repeated requests of one connection at one time collapse before the joins.
+    # Copies of a request collapse in the map tasks.
     events = events.select("connection_id", F.col("event_timestamp").alias("request_ts")).distinct()
     return events.join(conns, ["connection_id"]).join(pairs, ["account_id"]).select(
         "mobile", "request_ts", "connection_id"
@@ -283,17 +283,14 @@ def entity_base(
 ) -> DataFrame:
     """Entity grain: a booking sent to n entities counts n times, each with its own stage.
 
-    With ``attributed`` (a staged table) the history is first reduced to its connections; without
-    it the reduction would evaluate the whole attribution twice, so the join alone does the work.
+    The history is aggregated before it meets the bookings: map tasks combine the states of a
+    (connection, entity), so a busy connection reaches the join as one row per entity.
     """
-    history = t.history
-    if attributed is not None:
-        wanted = attributed.select("connection_id").filter(F.col("connection_id").isNotNull()).distinct()
-        history = history.join(wanted, ["connection_id"], "left_semi")
     rows = attributed_since(t, cfg, date_from) if attributed is None else attributed
     rows = rows.filter(F.col("connection_id").isNotNull()).select(*BOOKING_KEY, "bt", "bflow", "connection_id")
-    stages = entity_stages(history, ["connection_id", "csp_id"])
-    rows = rows.join(latest_allocations(t), ["connection_id"], "left").join(stages, ["connection_id"])
+    stages = entity_stages(t.history, ["connection_id", "csp_id"])
+    rows = lookup(rows, latest_allocations(t), ["connection_id"], row_id=BOOKING_KEY)
+    rows = rows.join(stages, ["connection_id"])
     row_id = [*BOOKING_KEY, "csp_id"]
     rows = lookup(rows, entity_lookup(t), ["csp_id"], row_id=BOOKING_KEY)
     rows = attach_roster(rows, roster.select("pid", "ad", *ROSTER_COLUMNS), "partner_id", row_id=row_id)

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..config import ANSWER_LABELS, CLASS_LABELS, FunnelConfig
 from ..operators.aggregates import complement_count
+from ..operators.joins import lookup
 from ..session import stage
 from . import classes as C
 from . import engagement as E
 from . import funnel as P
 from . import installs as I
-from .base import attributed_since, booking_base, booking_base_v1, entity_base
+from .base import BOOKING_KEY, attributed_since, booking_base, booking_base_v1, entity_base
 from .roster import enrolled, longest_live_days, roster, with_class
 from .tables import Tables
 
@@ -43,10 +44,10 @@ def build_bases(t: Tables, cfg: FunnelConfig) -> Bases:
     )
 
 
-def _relabel(base: DataFrame, classes: DataFrame) -> DataFrame:
-    """Late join of the actual class onto a staged base."""
+def relabel(base: DataFrame, classes: DataFrame) -> DataFrame:
+    """Late join of the actual class onto a base; bookings of other entities have no ``mgpid``."""
     label = classes.select(F.col("pid").alias("mgpid"), "mg")
-    return base.drop("mg").join(label, ["mgpid"], "left")
+    return lookup(base.drop("mg"), label, ["mgpid"], row_id=BOOKING_KEY)
 
 
 def grain_panels(
@@ -54,7 +55,7 @@ def grain_panels(
 ) -> dict[str, DataFrame]:
     """Cohort, category, screen, engagement and class panels of one grain."""
     labelled = with_class(people, classes, "mg")
-    cuts = stage(P.funnel_cuts(_relabel(base, classes), rules), "cuts")
+    cuts = stage(P.funnel_cuts(relabel(base, classes), rules), "cuts")
     actual = cuts.filter(F.col("dim") == "mg").drop("dim").withColumnRenamed("key", "mg")
     projected = P.class_cut(base, classes, "mgp", rules)
     return {

@@ -61,10 +61,10 @@ def open_rates(t: Tables, roster: DataFrame, cfg: FunnelConfig, date_from: dt.da
     per_role = rows.groupBy("period", "rg").agg(
         F.sum("n").cast("bigint").alias("opens"), F.count(F.lit(1)).alias("active_days")
     )
-    size = roster.filter(F.col("days") >= 1).agg(
-        F.sum("days").cast("bigint").alias("entity_days"), F.count(F.lit(1)).alias("entities")
+    live_roster = roster.filter(F.col("days") >= 1)
+    rated = per_role.withColumn("entities", live_roster.select(F.count(F.lit(1))).scalar()).withColumn(
+        "entity_days", live_roster.select(F.sum("days")).scalar()
     )
-    rated = per_role.withColumn("__one", F.lit(1)).join(size.withColumn("__one", F.lit(1)), ["__one"], "left")
     return rated.withColumn("opens_d", whole("opens * entities", "entity_days")).select(
         "period", "rg", "opens", "active_days", "opens_d"
     )
@@ -91,7 +91,7 @@ def view_actions(
     entity = entity_lookup(t).join(
         views.select(F.col("pid").alias("partner_id")).distinct(), ["partner_id"], "left_semi"
     )
-    # Equal (entity, time) actions collapse before the look-up.
+    # Copies of an action collapse in the map tasks.
     by_entity = actions.distinct().join(entity, ["csp_id"]).select(F.col("partner_id").alias("pid"), "a_ts")
     hits = first_after(views, by_entity, ["pid"], "view_ts", "a_ts", "action_ts")
     minutes = F.round(second_diff("view_ts", "action_ts") / F.lit(60.0)).cast("bigint")

@@ -85,9 +85,7 @@ def rates_v1(block: DataFrame, n_days: int, n_entities: DataFrame) -> DataFrame:
 
     ``n_entities`` is a one-row frame with column ``entities``.
     """
-    rows = block.withColumn("__one", F.lit(1)).join(
-        n_entities.select(F.lit(1).alias("__one"), "entities"), ["__one"], "left"
-    )
+    rows = block.withColumn("entities", n_entities.select("entities").scalar())
     return rows.select(
         *block.columns,
         *[whole(c, str(n_days)).alias(f"{c}_d") for c in ("received", "slot", "confirm", "install", "assign")],
@@ -126,9 +124,7 @@ def lag_cohorts(daily: DataFrame, cfg: FunnelConfig, n_entities: DataFrame) -> D
     """Enrolled bookings of 1, 2, 3, 7, 14 days ago as they stand now; missing days are skipped."""
     lag = F.datediff(F.lit(cfg.today), F.col("booking_date"))
     rows = daily.filter((F.col("coh") == "E") & lag.isin(list(cfg.lags))).withColumn("lag", lag)
-    rows = rows.withColumn("__one", F.lit(1)).join(
-        n_entities.select(F.lit(1).alias("__one"), "entities"), ["__one"], "left"
-    )
+    rows = rows.withColumn("entities", n_entities.select("entities").scalar())
     return rows.select(
         "lag",
         "booking_date",

@@ -106,7 +106,9 @@ def collect_journey(
 
     A row holds at most ``max_hops`` hops; a longer journey continues on rows with
     ``part`` 1, 2, ... so no task ever builds an unbounded list and no hop is lost.
+    Rows without a lead key belong to no journey.
     """
+    hops = hops.dropna(subset=list(keys))
     numbered = running_number(hops, keys, order, "hop_no", tiebreak)
     part = F.call_function("div", F.col("hop_no") - 1, F.lit(int(max_hops)))
     entry = F.struct("hop_no", *fields)

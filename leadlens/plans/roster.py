@@ -14,6 +14,7 @@ from ..functions.maps import any_count_with_prefix, min_first_seen
 from ..functions.temporal import live_days, local_time
 from ..operators.dedup import latest_valid
 from ..operators.joins import resolve_identity, semi
+from ..session import stage
 from .tables import Tables
 
 ENGAGEMENT_FLAGS = ["viewed", "scrolled", "tapped", "ticket"]
@@ -132,7 +133,11 @@ def owner_scope(t: Tables, ids: DataFrame) -> DataFrame:
 
 
 def roster(t: Tables, cfg: FunnelConfig, mg: DataFrame | None = None) -> DataFrame:
-    ids = enrolled(t, cfg)
+    """The enrolled entities with anchor, answer, engagement and flow.
+
+    The enrolment set (one id per entity) feeds three branches, so it is written once.
+    """
+    ids = stage(enrolled(t, cfg), "enrolled")
     scope = owner_scope(t, ids)
     f2 = t.cohorts.filter(F.col("flow") == "flow2")
     return build_roster(

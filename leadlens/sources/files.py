@@ -31,10 +31,15 @@ def scan(
     return df.select(*cols) if cols else df
 
 
-def read_cohorts(spark: SparkSession, path: str, flows: Sequence[str] = ("flow1", "flow2")) -> DataFrame:
-    """``{flow1: [id], flow2: [id]}`` documents -> (entity, flow) rows."""
+def read_cohorts(
+    spark: SparkSession, path: str, flows: Sequence[str] = ("flow1", "flow2"), lines: bool = False
+) -> DataFrame:
+    """``{flow1: [id], flow2: [id]}`` documents -> (entity, flow) rows.
+
+    One document per file, or (``lines``) one per line, which splits over tasks.
+    """
     schema = T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in flows])
-    docs = spark.read.schema(schema).json(path, multiLine=True)
+    docs = spark.read.schema(schema).json(path, multiLine=not lines)
 
     def tagged(flow: str) -> Column:
         ids = F.coalesce(F.col(flow), F.array().cast("array<string>"))
