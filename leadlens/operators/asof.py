@@ -3,8 +3,8 @@
 A range condition on top of an equi join compares every pair inside a key, which
 is quadratic for a hot key. Here left and right rows are laid out together in
 time order and the answer is the next right row seen, so the work is linear in
-the rows. The layout is partitioned by (key, time bucket); a per-bucket summary
-carries the first right row back to earlier buckets, which splits hot keys too.
+the rows. Hot keys are cut into time buckets, and a per-bucket summary carries
+the first right row back to the earlier buckets of the key.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.temporal import minute_number_sql, shift_sql
-from .ordered import BUCKET_MINUTES
+from .ordered import BUCKET_MINUTES, HOT_SHARE, all_set, mark_hot
 
 _B, _T, _KIND, _L, _R = "__bucket", "__time", "__kind", "__left", "__right"
 _NULL_BUCKETS = 256
@@ -33,6 +33,7 @@ def first_at_or_after(
     tiebreak: Sequence[str] = (),
     strict: bool = False,
     bucket_minutes: int = BUCKET_MINUTES,
+    hot_share: int = HOT_SHARE,
     row_id: Sequence[str] = (),
 ) -> DataFrame:
     """All left rows; ``payload`` columns of the earliest right row at/after (``strict``: after) ``left_time``.
@@ -43,28 +44,33 @@ def first_at_or_after(
     on = list(on)
     time_type = left.selectExpr(f"{left_time} AS {_T}").schema[_T].dataType
     body = [c for c in left.columns if c not in on]
-    has_key = " AND ".join(f"{c} IS NOT NULL" for c in on)
-    # Left rows that can never match are spread over buckets after every right row.
-    spread = f"{_NEVER}L + pmod(xxhash64({', '.join(row_id or left.columns)}), {_NULL_BUCKETS}L)"
-    bucket = f"{minute_number_sql(_T)} div {int(bucket_minutes)}L"
+    has_key = all_set(on)
     lrows = left.selectExpr("*", f"{left_time} AS {_T}").selectExpr(
         *on,
-        f"CASE WHEN {has_key} AND {_T} IS NOT NULL THEN {bucket} ELSE {spread} END AS {_B}",
         _T,
         f"0 AS {_KIND}",
-        f"struct(1 AS __present, {', '.join(body)}) AS {_L}" if body else f"struct(1 AS __present) AS {_L}",
+        # Spreads the left rows that can never match (no key or no time).
+        f"pmod(xxhash64({', '.join(row_id or left.columns)}), {_NULL_BUCKETS}L) AS __salt",
+        f"struct({', '.join(['1 AS __present', *body])}) AS {_L}",
     )
     fields = [_T, *[f"{c} AS __t{i}" for i, c in enumerate(tiebreak)], *[f"{c} AS __p{i}" for i, c in enumerate(payload)]]
     rrows = right.filter(f"{has_key} AND {right_time} IS NOT NULL").withColumn(_T, F.col(right_time).cast(time_type))
     rrows = rrows.selectExpr(
         *on,
-        f"{bucket} AS {_B}",
         _T,
         # At equal times a right row is seen by the left row, unless strict.
         f"{-1 if strict else 1} AS {_KIND}",
         f"struct({', '.join(fields)}) AS {_R}",
     )
-    both = lrows.unionByName(rrows, allowMissingColumns=True)
+    both = mark_hot(lrows.unionByName(rrows, allowMissingColumns=True), on, hot_share)
+    bucket = f"{minute_number_sql(_T)} div {int(bucket_minutes)}L"
+    both = both.withColumn(
+        _B,
+        F.expr(
+            f"""CASE WHEN NOT ({has_key} AND {_T} IS NOT NULL) THEN {_NEVER}L + __salt
+                WHEN __hot THEN {bucket} ELSE 0L END"""
+        ),
+    )
 
     backwards = (
         W.partitionBy(*on, _B)
@@ -73,14 +79,12 @@ def first_at_or_after(
     )
     main = both.withColumn("__in", F.last(_R, ignorenulls=True).over(backwards)).filter(F.col(_L).isNotNull())
 
-    firsts = lrows.select(*on, _B).distinct().unionByName(
-        rrows.groupBy(*on, _B).agg(F.min(_R).alias(_R)), allowMissingColumns=True
-    )
-    later = W.partitionBy(*on).orderBy(F.desc(_B)).rangeBetween(W.unboundedPreceding, -1)
+    later = W.partitionBy(*on).orderBy(F.desc(_B)).rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        firsts.withColumn("__carry", F.last(_R, ignorenulls=True).over(later))
-        .filter(F.col("__carry").isNotNull() & F.col(_R).isNull())
-        .select(*on, _B, "__carry")
+        both.filter("__hot")
+        .groupBy(*on, _B)
+        .agg(F.min(_R).alias("__first"))
+        .select(*on, _B, F.last("__first", ignorenulls=True).over(later).alias("__carry"))
     )
     picked = [f"coalesce(__in, __carry).__p{i} AS {c}" for i, c in enumerate(payload)]
     out = main.join(carry, [*on, _B], "left").selectExpr(*on, *[f"{_L}.{c} AS {c}" for c in body], *picked)
@@ -99,6 +103,7 @@ def attribute_first(
     next_ts: str | None = None,
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
+    hot_share: int = HOT_SHARE,
     row_id: Sequence[str] = (),
 ) -> DataFrame:
     """Earliest right row in [left_ts - before, left_ts + after] and strictly before ``next_ts``.
@@ -120,6 +125,7 @@ def attribute_first(
         [*payload, "__rts"],
         tiebreak,
         bucket_minutes=bucket_minutes,
+        hot_share=hot_share,
         row_id=row_id,
     )
     ok = "__rts <= __hi AND (__next IS NULL OR __rts < __next)"
@@ -134,7 +140,10 @@ def first_after(
     right_ts: str,
     name: str,
     bucket_minutes: int = BUCKET_MINUTES,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Adds the first right time strictly after ``left_ts`` (NULL when there is none)."""
     right = right.withColumn(name, F.col(right_ts))
-    return first_at_or_after(left, right, on, left_ts, name, [name], strict=True, bucket_minutes=bucket_minutes)
+    return first_at_or_after(
+        left, right, on, left_ts, name, [name], strict=True, bucket_minutes=bucket_minutes, hot_share=hot_share
+    )
