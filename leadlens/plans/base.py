@@ -26,6 +26,7 @@ from ..operators.aggregates import first_time_when
 from ..operators.asof import attribute_first
 from ..operators.dedup import distinct_keys, earliest_by, latest_by, one_per, order_key
 from ..operators.joins import SPREAD, anti_keep_null, attach_roster, lookup, unique_side
+from ..session import stage
 from .tables import Tables
 
 BOOKING_KEY = ["mobile", "booking_date"]
@@ -72,13 +73,18 @@ def requests_by_subject(t: Tables, min_subject: str | None, subjects: DataFrame
 def attributed_bookings(
     t: Tables, cfg: FunnelConfig, booking_filter: Column, bookings: DataFrame | None = None, **request_scope
 ) -> DataFrame:
-    """Clean bookings with the connection of their first request (``connection_id`` NULL when none)."""
+    """Clean bookings with the connection of their first request (``connection_id`` NULL when none).
+
+    Both sides come out of joins and are read three times by the attribution (hot keys, layout,
+    carry), so each is written once.
+    """
     if bookings is None:
         bookings = clean_bookings(t, booking_filter)
+    requests = requests_by_subject(t, **{"min_subject": cfg.min_subject, **request_scope})
     utc = -cfg.offset_minutes
     return attribute_first(
-        bookings,
-        requests_by_subject(t, **{"min_subject": cfg.min_subject, **request_scope}),
+        stage(bookings, "bookings"),
+        stage(requests, "requests"),
         ["mobile"],
         shift_sql("bt", utc),
         "request_ts",
