@@ -17,6 +17,8 @@ def build_session(app: str = "leadlens", master: str | None = None, **conf) -> S
         .config("spark.ui.showConsoleProgress", "false")
         # Skips the per-call stack capture of Column functions: plans are built much faster.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # A document compiles several hundred stages; the default cache of 100 recompiles them on each refresh.
+        .config("spark.sql.codegen.cache.maxEntries", "4000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
