@@ -47,8 +47,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         picked = F.filter("spans", lambda s: s["kind"].isin(*kinds)) if kinds else F.col("spans")
         return F.array_join(F.transform(picked, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = ("assign", "access", "hex")
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in base]
+    counts = [count(kind) for kind in base]
     return found.select(F.col("row.doc_id").alias("doc_id"), *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(None).alias("spans"))
 
 
