@@ -191,4 +191,5 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2, key: str = "doc_i
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "place")).alias("first")
     lowest = prints.groupBy("fp").agg(first).join(linked, "fp", "left")
     kept = lowest.groupBy(F.coalesce("group", "fp").alias("group")).agg(F.min("first").alias("first")).select("first.place")
-    return rows.join(stage(kept, "kept"), "place", "left_semi").select("row.*")
+    # One row a component: a share of the input, so it is never broadcast, also where it happens to be small.
+    return rows.join(stage(kept, "kept").hint("merge"), "place", "left_semi").select("row.*")
