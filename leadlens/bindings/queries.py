@@ -501,12 +501,14 @@ def _(r):
 @register(
     "nearest_rank",
     """SELECT l_returnflag, list_sort(list(l_quantity))[CAST(floor(count(*) * 0.5) AS BIGINT) + 1] AS p50,
-  list_sort(list(l_quantity))[CAST(floor(count(*) * 0.75) AS BIGINT) + 1] AS p75 FROM lineitem GROUP BY 1""",
+  list_sort(list(l_quantity))[CAST(floor(count(*) * 0.7) AS BIGINT) + 1] AS p70,
+  list_sort(list(l_quantity))[CAST(floor(count(*) * 0.75) AS BIGINT) + 1] AS p75,
+  list_sort(list(l_quantity))[CAST(floor(count(*) * 0.9) AS BIGINT) + 1] AS p90 FROM lineitem GROUP BY 1""",
 )
 def _(r):
     lines = r.table("lineitem", "l_returnflag", "l_quantity")
     return lines.groupBy("l_returnflag").agg(
-        A.nearest_rank("l_quantity", 0.5).alias("p50"), A.nearest_rank("l_quantity", 0.75).alias("p75")
+        *[A.nearest_rank("l_quantity", p).alias(f"p{round(100 * p)}") for p in (0.5, 0.7, 0.75, 0.9)]
     )
 
 
@@ -813,7 +815,7 @@ def _(r):
     "grouping_flags",
     """SELECT o_orderpriority, o_orderstatus, yr, CAST(grouping(o_orderstatus) AS INTEGER) AS g_o_orderstatus,
   CAST(grouping(yr) AS INTEGER) AS g_yr, CAST(sum(CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END) AS BIGINT) AS big,
-  round(median(CASE WHEN o_totalprice > 200000 THEN CAST(floor(o_totalprice) AS DOUBLE) END)) AS mid
+  round(median(CASE WHEN o_totalprice > 200000 THEN CAST(o_totalprice AS DOUBLE) END)) AS mid
 FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders)
 GROUP BY GROUPING SETS ((o_orderpriority, o_orderstatus), (o_orderpriority, yr))""",
 )
@@ -825,7 +827,7 @@ def _(r):
         ["o_orderpriority"],
         ["o_orderstatus", "yr"],
         {"big": big},
-        {"mid": (big, "floor(o_totalprice)")},
+        {"mid": (big, "o_totalprice")},
     )
 
 
@@ -849,8 +851,10 @@ def _(r):
 
 @register(
     "entity_class_counts",
-    """SELECT 'actual' AS kind, mg AS key, count(*) AS entities FROM cls GROUP BY 2
-UNION ALL SELECT 'projected', mgp, count(*) FROM cls GROUP BY 2""",
+    """SELECT 'actual' AS kind, key, count(pid) AS entities
+FROM (VALUES ('mg_lo'), ('mg_hi'), ('no_mg')) v(key) LEFT JOIN cls ON mg = key GROUP BY 2
+UNION ALL SELECT 'projected', key, count(pid)
+FROM (VALUES ('mg_lo'), ('mg_hi'), ('no_mg'), ('too_early')) v(key) LEFT JOIN cls ON mgp = key GROUP BY 2""",
 )
 def _(r):
     found = stage(_with_classes(r)[4], "classes")
@@ -1031,7 +1035,8 @@ def _(r):
 
 @register(
     "open_totals",
-    "SELECT period, CAST(nullif(sum(opens_d), 0) AS BIGINT) AS total_d FROM rates_o GROUP BY 1",
+    """SELECT v.period, CAST(nullif(sum(opens_d), 0) AS BIGINT) AS total_d
+FROM (VALUES ('PRE'), ('POST')) v(period) LEFT JOIN rates_o r ON r.period = v.period GROUP BY 1""",
 )
 def _(r):
     t = r

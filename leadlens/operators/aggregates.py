@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,12 @@ def median_round(cond: str, value: str) -> Column:
 
 
 def nearest_rank(value: str, p: float) -> Column:
-    """``sorted(values)[int(n * p)]``: a discrete percentile counted from the top."""
-    return F.expr(f"percentile_disc({1 - p}) WITHIN GROUP (ORDER BY {value} DESC)")
+    """``sorted(values)[int(n * p)]`` for p below 1, n * p taken exactly: a discrete percentile counted from the top.
+
+    1 - p is a decimal, less a hair, so that n * (1 - p) never rounds up past a whole number (for n below 10 ** 9).
+    """
+    from_top = max(Decimal(1) - Decimal(str(p)) - Decimal("1e-11"), Decimal(0))
+    return F.expr(f"percentile_disc({from_top:f}D) WITHIN GROUP (ORDER BY {value} DESC)")
 
 
 def group_funnel(df: DataFrame, keys: Sequence[str], counts: Counts, medians: Medians) -> DataFrame:
@@ -46,15 +51,15 @@ _M, _V, _FREQ = "__measure", "__minute", "__freq"
 
 
 def funnel_cells(df: DataFrame, keys: Sequence[str], counts: Counts, medians: Medians) -> DataFrame:
-    """Facts reduced to (all keys, measure, minute): counts plus a frequency table per median.
+    """Facts reduced to (all keys, measure, value): counts plus a frequency table per median, fractions kept.
 
     One narrow hash aggregation with map-side combine. Cuts are then built from these
     cells, so grouping sets multiply a small table instead of the facts.
     """
     # Measure -1 stands for the row itself and carries the counts.
-    observed = [(-1, "CAST(NULL AS BIGINT)")]
+    observed = [(-1, "CAST(NULL AS DOUBLE)")]
     observed += [
-        (i, f"CAST(CASE WHEN {cond} THEN {value} END AS BIGINT)") for i, (cond, value) in enumerate(medians.values())
+        (i, f"CAST(CASE WHEN {cond} THEN {value} END AS DOUBLE)") for i, (cond, value) in enumerate(medians.values())
     ]
     structs = ", ".join(f"named_struct('{_M}', {i}, '{_V}', {value})" for i, value in observed)
     flat = df.selectExpr(

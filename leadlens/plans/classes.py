@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import FunnelConfig
+from ..config import CLASS_LABELS, FunnelConfig
 from ..operators.aggregates import count_if
 from ..operators.joins import zero_fill
 
@@ -39,7 +39,11 @@ def classify_entities(entity_base: DataFrame, roster: DataFrame, cfg: FunnelConf
 
 
 def class_counts(classes: DataFrame, label: str) -> DataFrame:
-    return classes.groupBy(F.col(label).alias("key")).agg(F.count(F.lit(1)).alias("entities"))
+    """Entities of each class, 0 for classes without any; only the projected label has ``too_early``."""
+    keys = [k for k in CLASS_LABELS if label == "mgp" or k != "too_early"]
+    found = classes.groupBy(F.col(label).alias("key")).agg(F.count(F.lit(1)).alias("entities"))
+    every = classes.sparkSession.createDataFrame([(k,) for k in keys], "key string")
+    return every.join(found, "key", "left").select("key", F.coalesce("entities", F.lit(0).cast("bigint")).alias("entities"))
 
 
 def projection_totals(classes: DataFrame, cfg: FunnelConfig) -> DataFrame:

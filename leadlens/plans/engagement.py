@@ -71,8 +71,9 @@ def open_rates(t: Tables, roster: DataFrame, cfg: FunnelConfig, date_from: dt.da
 
 
 def open_totals(rates: DataFrame) -> DataFrame:
-    """Total opens per day over the roles; NULL when every role rounds to zero."""
-    return rates.groupBy("period").agg(F.nullif(F.sum("opens_d"), F.lit(0).cast("bigint")).alias("total_d"))
+    """Total opens per day over the roles, a row for either period; NULL without roles or when every role rounds to zero."""
+    found = rates.groupBy("period").agg(F.nullif(F.sum("opens_d"), F.lit(0).cast("bigint")).alias("total_d"))
+    return rates.sparkSession.createDataFrame([("PRE",), ("POST",)], "period string").join(found, "period", "left")
 
 
 def viewers(roster: DataFrame) -> DataFrame:

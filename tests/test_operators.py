@@ -209,12 +209,16 @@ def test_median_rounding(frame):
     assert values(got, "k", "m") == [("a", 2.0), ("b", 7.0), ("c", None)]
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
-@pytest.mark.parametrize("p", [0.5, 0.75])
-def test_nearest_rank(frame, n, p):
-    nums = list(range(10, 10 + n))
-    df = frame([(v,) for v in nums], "v int")
-    assert df.agg(A.nearest_rank("v", p)).first()[0] == sorted(nums)[int(n * p)]
+def test_nearest_rank(frame):
+    shares = [5 * k for k in range(2, 20)]  # in hundredths, so that the wanted rank is exact
+    df = frame([(n, v) for n in range(1, 41) for v in range(n)], "n int, v int")
+    got = df.groupBy("n").agg(*[A.nearest_rank("v", p / 100).alias(f"p{p}") for p in shares]).collect()
+    assert all(r[f"p{p}"] == r.n * p // 100 for r in got for p in shares)
+
+
+def test_cut_medians_keep_fractions(frame):
+    df = frame([("x", "k", v) for v in (1.5, 2.5, 2.9)], "f string, d string, v double")
+    assert [r.m for r in A.cut_by(df, ["f"], ["d"], {}, {"m": ("true", "v")}).collect()] == [3.0]
 
 
 def test_cuts_separate_null_keys_from_rolled_up_ones(frame):
