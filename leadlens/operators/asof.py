@@ -19,7 +19,7 @@ from ..functions.temporal import minute_number_sql, shift_sql
 from .ordered import BUCKET_MINUTES, HOT_SHARE, all_set, mark_hot
 
 _B, _T, _KIND, _L, _R = "__bucket", "__time", "__kind", "__left", "__right"
-_NULL_BUCKETS = 256
+_NULL_BUCKETS = 1 << 40
 _NEVER = 1 << 40
 
 

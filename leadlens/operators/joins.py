@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPREAD = "__spread"
-_SPREAD_OVER = 128
 
 
 def _all_set(on: Sequence[str]) -> str:
@@ -21,7 +20,7 @@ def unique_side(df: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def _spread_side(df: DataFrame, on: Sequence[str], row_id: Sequence[str]) -> DataFrame:
-    salt = f"1L + pmod(xxhash64({', '.join(row_id or df.columns)}), {_SPREAD_OVER}L)"
+    salt = f"xxhash64({', '.join(row_id or df.columns)}) | 1L"  # the whole hash, never 0
     return df.withColumn(SPREAD, F.expr(f"CASE WHEN {_all_set(on)} THEN 0L ELSE {salt} END"))
 
 

@@ -31,9 +31,11 @@ def build_session(app: str = "leadlens", master: str | None = None, **conf) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is configured (tests)."""
+    """The cluster's checkpoint folder; a temporary one only in a local session without any (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="leadlens-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
