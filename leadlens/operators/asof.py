@@ -3,7 +3,7 @@
 A range condition on top of an equi join compares every pair inside a key, which
 is quadratic for a hot key. Here left and right rows are laid out together in
 time order and the answer is the next right row seen, so the work is linear in
-the rows. Hot keys are cut into time buckets, and a per-bucket summary carries
+the rows. Every key is cut into time buckets, and a per-bucket summary carries
 the first right row back to the earlier buckets of the key.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.temporal import minute_number_sql, shift_sql
-from .ordered import BUCKET_MINUTES, HOT_SHARE, all_set, mark_hot
+from ..functions.temporal import shift_sql
+from .ordered import BUCKET_MINUTES, all_set, bucket_sql
 
 _B, _T, _KIND, _L, _R = "__bucket", "__time", "__kind", "__left", "__right"
 _NULL_BUCKETS = 1 << 40
@@ -33,7 +33,6 @@ def first_at_or_after(
     tiebreak: Sequence[str] = (),
     strict: bool = False,
     bucket_minutes: int = BUCKET_MINUTES,
-    hot_share: int = HOT_SHARE,
     row_id: Sequence[str] = (),
 ) -> DataFrame:
     """All left rows; ``payload`` columns of the earliest right row at/after (``strict``: after) ``left_time``.
@@ -62,13 +61,11 @@ def first_at_or_after(
         f"{-1 if strict else 1} AS {_KIND}",
         f"struct({', '.join(fields)}) AS {_R}",
     )
-    both = mark_hot(lrows.unionByName(rrows, allowMissingColumns=True), on, hot_share)
-    bucket = f"{minute_number_sql(_T)} div {int(bucket_minutes)}L"
-    both = both.withColumn(
+    usable = f"{has_key} AND {_T} IS NOT NULL"
+    both = lrows.unionByName(rrows, allowMissingColumns=True).withColumn(
         _B,
         F.expr(
-            f"""CASE WHEN NOT ({has_key} AND {_T} IS NOT NULL) THEN {_NEVER}L + __salt
-                WHEN __hot THEN {bucket} ELSE 0L END"""
+            f"CASE WHEN {usable} THEN {bucket_sql(_T, bucket_minutes)} ELSE {_NEVER}L + __salt END"
         ),
     )
 
@@ -81,7 +78,7 @@ def first_at_or_after(
 
     later = W.partitionBy(*on).orderBy(F.desc(_B)).rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        both.filter("__hot")
+        both.filter(usable)
         .groupBy(*on, _B)
         .agg(F.min(_R).alias("__first"))
         .select(*on, _B, F.last("__first", ignorenulls=True).over(later).alias("__carry"))
@@ -103,7 +100,6 @@ def attribute_first(
     next_ts: str | None = None,
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
-    hot_share: int = HOT_SHARE,
     row_id: Sequence[str] = (),
 ) -> DataFrame:
     """Earliest right row in [left_ts - before, left_ts + after] and strictly before ``next_ts``.
@@ -125,7 +121,6 @@ def attribute_first(
         [*payload, "__rts"],
         tiebreak,
         bucket_minutes=bucket_minutes,
-        hot_share=hot_share,
         row_id=row_id,
     )
     ok = "__rts <= __hi AND (__next IS NULL OR __rts < __next)"
@@ -140,10 +135,9 @@ def first_after(
     right_ts: str,
     name: str,
     bucket_minutes: int = BUCKET_MINUTES,
-    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Adds the first right time strictly after ``left_ts`` (NULL when there is none)."""
     right = right.withColumn(name, F.col(right_ts))
     return first_at_or_after(
-        left, right, on, left_ts, name, [name], strict=True, bucket_minutes=bucket_minutes, hot_share=hot_share
+        left, right, on, left_ts, name, [name], strict=True, bucket_minutes=bucket_minutes
     )

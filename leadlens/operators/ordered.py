@@ -1,9 +1,10 @@
-"""Ordered numbering inside a key, with hot keys split by time.
+"""Ordered numbering inside a key, every key split by time.
 
-A plain window over a key sends the whole key to one task. Keys that hold a large share
-of the rows are therefore cut into time buckets: the window runs over (key, bucket) and a
-per-bucket summary of the hot keys carries the result from bucket to bucket. Every other
-key stays whole and needs no summary.
+A plain window over a key sends the whole key to one task. Here every key is laid out in (key, time bucket)
+groups, whatever its size: the window runs inside a bucket, and one summary row per bucket carries the result
+from bucket to bucket of the key. The summaries of a key are bounded by the minutes it spans, not by its rows.
+
+``bucket_minutes`` sets the width. A minute is the smallest; rows of one key that share a minute stay together.
 """
 
 from __future__ import annotations
@@ -16,31 +17,24 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import minute_number_sql
 
-BUCKET_MINUTES = 60
-# A key is hot when it holds more than 1/HOT_SHARE of the rows. There are fewer than
-# HOT_SHARE such keys whatever the data, which bounds the broadcast of the hot keys.
-HOT_SHARE = 4096
-_B, _IN, _CARRY, _HOT = "__bucket", "__in", "__carry", "__hot"
+BUCKET_MINUTES = 1
+_B, _IN, _CARRY = "__bucket", "__in", "__carry"
+# Before the bucket of any time.
+_NO_TIME = -(1 << 40)
 
 
 def all_set(keys: Sequence[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in keys)
 
 
-def mark_hot(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Adds ``__hot``: TRUE for rows of keys that hold more than 1/share of the rows, else NULL."""
-    counts = df.filter(all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.select(F.sum("__n")).scalar()
-    hot = counts.filter(F.col("__n") * F.lit(share) > total).select(*keys, F.lit(True).alias(_HOT))
-    return df.join(F.broadcast(hot), list(keys), "left")
+def bucket_sql(ts: str, minutes: int) -> str:
+    return f"{minute_number_sql(ts)} div {int(minutes)}L"
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], ts: str, minutes: int, share: int) -> DataFrame:
-    """Adds the bucket: the time bucket for rows of hot keys and rows without a key, 0 for the others."""
-    bucket = f"coalesce({minute_number_sql(ts)} div {int(minutes)}L, -1L)"
-    return mark_hot(df, keys, share).withColumn(
-        _B, F.expr(f"CASE WHEN {_HOT} OR NOT ({all_set(keys)}) THEN {bucket} ELSE 0L END")
-    )
+def _laid_out(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str], ordered: str, bucket: str) -> DataFrame:
+    """Adds the bucket; rows outside the order are spread by the whole hash of key, time and ``tiebreak``."""
+    salt = f"xxhash64({', '.join([*keys, ts, *tiebreak])})"
+    return df.withColumn(_B, F.expr(f"CASE WHEN {ordered} THEN {bucket} ELSE {salt} END"))
 
 
 def next_event(
@@ -50,25 +44,25 @@ def next_event(
     name: str,
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
-    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Adds the time of the key's next row in (ts, tiebreak) order; NULL for the last one.
 
-    Rows without a key have no next row.
+    Rows without a key or without a time have no next row.
     """
-    src = split_hot(df, keys, ts, bucket_minutes, hot_share)
+    ordered = f"{all_set(keys)} AND {ts} IS NOT NULL"
+    src = _laid_out(df, keys, ts, tiebreak, ordered, bucket_sql(ts, bucket_minutes))
     inside = W.partitionBy(*keys, _B).orderBy(F.asc(ts), *[F.asc(c) for c in tiebreak])
     main = src.withColumn(_IN, F.lead(ts).over(inside))
     across = W.partitionBy(*keys).orderBy(_B)
     carry = (
-        src.filter(_HOT)
+        src.filter(ordered)
         .groupBy(*keys, _B)
         .agg(F.min(ts).alias("__first"))
         .select(*keys, _B, F.lead("__first").over(across).alias(_CARRY))
     )
     return (
         main.join(carry, [*keys, _B], "left")
-        .withColumn(name, F.expr(f"CASE WHEN {all_set(keys)} THEN coalesce({_IN}, {_CARRY}) END"))
+        .withColumn(name, F.expr(f"CASE WHEN {ordered} THEN coalesce({_IN}, {_CARRY}) END"))
         .select(*df.columns, name)
     )
 
@@ -80,25 +74,25 @@ def running_number(
     name: str,
     tiebreak: Sequence[str] = (),
     bucket_minutes: int = BUCKET_MINUTES,
-    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Adds the 1-based position of each row inside its key (rows without a time first).
 
     Rows without a key have no position.
     """
-    src = split_hot(df, keys, ts, bucket_minutes, hot_share)
+    ordered = all_set(keys)
+    src = _laid_out(df, keys, ts, tiebreak, ordered, f"coalesce({bucket_sql(ts, bucket_minutes)}, {_NO_TIME}L)")
     inside = W.partitionBy(*keys, _B).orderBy(F.asc_nulls_first(ts), *[F.asc_nulls_last(c) for c in tiebreak])
     main = src.withColumn(_IN, F.row_number().over(inside))
     before = W.partitionBy(*keys).orderBy(_B).rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        src.filter(_HOT)
+        src.filter(ordered)
         .groupBy(*keys, _B)
         .agg(F.count(F.lit(1)).alias("__n"))
         .select(*keys, _B, F.sum("__n").over(before).alias(_CARRY))
     )
     return (
         main.join(carry, [*keys, _B], "left")
-        .withColumn(name, F.expr(f"CASE WHEN {all_set(keys)} THEN {_IN} + coalesce({_CARRY}, 0L) END"))
+        .withColumn(name, F.expr(f"CASE WHEN {ordered} THEN {_IN} + coalesce({_CARRY}, 0L) END"))
         .select(*df.columns, name)
     )
 

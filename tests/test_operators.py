@@ -11,7 +11,7 @@ from leadlens.operators import dedup as U
 from leadlens.operators import joins as J
 from leadlens.operators.asof import attribute_first, first_after
 from leadlens.operators.cells import tagged_cells
-from leadlens.operators.ordered import mark_hot, next_event, running_number
+from leadlens.operators.ordered import next_event, running_number
 
 from conftest import plan_of, values
 
@@ -78,11 +78,11 @@ def brute(left, right, before, after):
     return sorted(out, key=repr)
 
 
-def attribute(frame, left, right, before, after, bucket, share=4096):
+def attribute(frame, left, right, before, after, bucket):
     ldf = frame(left, "k string, bt timestamp_ntz, nb timestamp_ntz")
     rdf = frame(right, "k string, rt timestamp_ntz, id int")
     return attribute_first(
-        ldf, rdf, ["k"], "bt", "rt", ["id"], before, after, "nb", ["id"], bucket_minutes=bucket, hot_share=share
+        ldf, rdf, ["k"], "bt", "rt", ["id"], before, after, "nb", ["id"], bucket_minutes=bucket
     )
 
 
@@ -95,26 +95,24 @@ def test_attribution_edges(frame):
     assert got == {"low": 1, "high": 2, "next": None, "tie": 4, "none": None, None: None, "notime": None}
 
 
-@pytest.mark.parametrize("share", [1, 3, 4096])  # no key, only the hot one, every key is hot
 @pytest.mark.parametrize("bucket", [1, 60, 100000])
-def test_attribution_equals_brute_force_with_a_hot_key(frame, bucket, share):
+def test_attribution_equals_brute_force_with_a_hot_key(frame, bucket):
     rng = random.Random(bucket)
     keys = ["hot"] * 10 + [f"k{i}" for i in range(12)] + [None]
     left = [(rng.choice(keys), at(rng.randrange(6000)), None) for _ in range(300)]
     left = [(k, t, at((t - T0).total_seconds() // 60 + rng.randrange(1, 900)) if rng.random() < 0.7 else None) for k, t, _ in left]
     right = [(rng.choice(keys), at(rng.randrange(7000)), i) for i in range(300)]
-    got = attribute(frame, left, right, 120, 600, bucket, share)
+    got = attribute(frame, left, right, 120, 600, bucket)
     assert values(got, "k", "bt", "id") == brute(left, right, 120, 600)
 
 
 def test_attribution_has_no_pairwise_join(spark, frame):
-    # Only the bounded hot-key list may be broadcast.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(attribute(frame, [("a", at(1), None)], [("a", at(2), 1)], 10, 10, 60))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan and "Broadcast" not in plan
     # The only shuffled join meets the per-bucket summary on the partitioning the window already has.
     assert plan.count("SortMergeJoin") == 1
 
@@ -129,9 +127,8 @@ def test_first_after_is_strict(frame):
 # ---- ordered numbering ---------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("share", [1, 3, 4096])
 @pytest.mark.parametrize("bucket", [1, 60])
-def test_next_event_and_running_number(frame, bucket, share):
+def test_next_event_and_running_number(frame, bucket):
     rng = random.Random(3)
     rows = [(rng.choice(["hot", "hot", "hot", "a", "b"]), at(rng.randrange(3000)), i) for i in range(400)]
     df = frame(rows, "k string, ts timestamp_ntz, id int")
@@ -141,15 +138,42 @@ def test_next_event_and_running_number(frame, bucket, share):
         for n, (t, i) in enumerate(mine):
             want_next.append((i, mine[n + 1][0] if n + 1 < len(mine) else None))
             want_no.append((i, n + 1))
-    assert values(next_event(df, ["k"], "ts", "nx", ["id"], bucket, share), "id", "nx") == sorted(want_next, key=repr)
-    assert values(running_number(df, ["k"], "ts", "no", ["id"], bucket, share), "id", "no") == sorted(want_no, key=repr)
+    assert values(next_event(df, ["k"], "ts", "nx", ["id"], bucket), "id", "nx") == sorted(want_next, key=repr)
+    assert values(running_number(df, ["k"], "ts", "no", ["id"], bucket), "id", "no") == sorted(want_no, key=repr)
 
 
-def test_hot_keys_are_few_whatever_the_data(frame):
-    df = frame([(f"k{i % 50}",) for i in range(200)] + [("hot",)] * 100 + [(None,)] * 500, "k string")
-    hot = mark_hot(df, ["k"], share=5).filter("__hot").select("k").distinct()
-    assert values(hot, "k") == [("hot",)]
-    assert mark_hot(df, ["k"], share=10**6).filter("__hot").select("k").distinct().count() == 51
+def test_half_of_the_rows_in_one_hour_of_one_key(frame):
+    rng = random.Random(9)
+    rows = [("hot", at(rng.randrange(60)), i) for i in range(300)] + [(f"k{i % 40}", at(rng.randrange(9000)), 300 + i) for i in range(300)]
+    df = frame(rows, "k string, ts timestamp_ntz, id int")
+    out = next_event(df, ["k"], "ts", "nx", ["id"])
+    want = []
+    for key in {k for k, _, _ in rows}:
+        mine = sorted((t, i) for k, t, i in rows if k == key)
+        want += [(i, mine[n + 1][0] if n + 1 < len(mine) else None) for n, (t, i) in enumerate(mine)]
+    assert values(out, "id", "nx") == sorted(want, key=repr)
+    assert "__bucket" in plan_of(out)
+
+
+def test_rows_without_a_key_or_time_are_spread(spark, frame):
+    width, n = 1000, 20000
+    df = spark.range(n).selectExpr("IF(id < 0, 'x', NULL) AS k", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id")
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = next_event(df, ["k"], "ts", "nx", ["id"])
+        used = out.select("nx", F.spark_partition_id().alias("p")).where("nx IS NULL").select("p").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert used > 0.9 * width
+
+
+def test_rows_without_a_time(frame):
+    df = frame([("a", None, 1), ("a", None, 2), ("a", at(-5000000), 3), ("a", at(7), 4)], "k string, ts timestamp_ntz, id int")
+    before = at(7)
+    assert values(next_event(df, ["k"], "ts", "nx", ["id"]), "id", "nx") == [(1, None), (2, None), (3, before), (4, None)]
+    assert values(running_number(df, ["k"], "ts", "no", ["id"]), "id", "no") == [(1, 1), (2, 2), (3, 3), (4, 4)]
 
 
 def test_rows_without_a_key_have_no_order(frame):
