@@ -75,8 +75,8 @@ def attributed_bookings(
 ) -> DataFrame:
     """Clean bookings with the connection of their first request (``connection_id`` NULL when none).
 
-    Both sides come out of joins and are read three times by the attribution (hot keys, layout,
-    carry), so each is written once.
+    Both sides come out of joins and are read twice by the attribution (layout, carry), so each
+    is written once.
     """
     if bookings is None:
         bookings = clean_bookings(t, booking_filter)
