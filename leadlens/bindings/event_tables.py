@@ -23,6 +23,9 @@ CONFIG = FunnelConfig(
     as_of=dt.date(2024, 1, 27),
     campaign="C1",
     test_identities=(7, 11),
+    # The derived profiles name their fields and events in their own way.
+    screen_fields=("screen_real", "screen"),
+    event_prefixes={"viewed": "View_", "scrolled": "Scroll_", "tapped": "TapGuarantee_", "ticket": "Ticket_"},
 )
 # No entity can be live for longer than since launch, so this bound needs no look at the roster.
 DATE_FROM = CONFIG.scan_from(CONFIG.n_days)

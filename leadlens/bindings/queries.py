@@ -473,7 +473,7 @@ def _(r):
     "SELECT identity, screen, viewed, scrolled, tapped, ticket, view_fs FROM flags",
 )
 def _(r):
-    return R.profile_flags(r.profiles)
+    return R.profile_flags(r.profiles, CONFIG.event_prefixes)
 
 
 @register(
@@ -555,7 +555,7 @@ def _(r):
 )
 def _(r):
     t = r
-    return R.engagement(t, R.owner_scope(t, R.enrolled(t, CONFIG)))
+    return R.engagement(t, R.owner_scope(t, R.enrolled(t, CONFIG)), CONFIG.event_prefixes)
 
 
 @register(
@@ -567,7 +567,7 @@ FROM flags JOIN (SELECT u.id AS identity, min(d.partner_id) AS pid FROM users u
 GROUP BY 1""",
 )
 def _(r):
-    return R.engagement(r)
+    return R.engagement(r, prefixes=CONFIG.event_prefixes)
 
 
 _ROSTER_SQL = "pid, ad, cat, screen, viewed, scrolled, tapped, ticket, flow, CAST(days AS INTEGER) AS days, view_fs"
@@ -596,15 +596,9 @@ def _(r):
   CAST(coalesce(max(days), 1) AS INTEGER) AS n_max FROM roster WHERE days >= 1""",
 )
 def _(r):
-    people = R.roster(r, CONFIG).filter(F.col("days") >= 1)
-    n_max = F.coalesce(F.max("days"), F.lit(1))
-    return people.agg(n_max.alias("n_max")).select(
-        F.lit(CONFIG.as_of).alias("as_of"),
-        F.lit(CONFIG.pre_start).alias("pre_start"),
-        F.lit(CONFIG.pre_end).alias("pre_end"),
-        F.date_sub(F.lit(CONFIG.launch), F.col("n_max") + 1).alias("scan_from"),
-        "n_max",
-    )
+    found = R.windows(R.roster(r, CONFIG), CONFIG)
+    names = ("as_of", "pre_start", "pre_end", "scan_from", "n_max")
+    return r.spark.range(1).select(*[F.lit(found[name]).alias(name) for name in names])
 
 
 @register(
@@ -1101,6 +1095,23 @@ def _(r):
     return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, 11)
 
 
+@register(
+    "lead_journey_document",
+    f"""SELECT mobile, masked, booked, (hop_no - 1) // 2 AS part, count(*) AS n_hops,
+  string_agg(concat_ws(':', hop_no, entity, enr, coalesce(sent, ''), coalesce(state, ''), reason), '>' ORDER BY hop_no) AS path
+FROM (SELECT *, row_number() OVER (PARTITION BY mobile ORDER BY created_at, execution_candidate_id) AS hop_no
+  FROM ({O.journey("hour(d.bt) <= 7")})) GROUP BY 1, 2, 3, 4""",
+)
+def _(r):
+    """The nested journey; two hops a row, so that longer ones go on."""
+    nested = JO.journey_document(JO.lead_journey(r, CONFIG, R.roster(r, CONFIG), DRILL_DAY, T.NIGHT), max_hops=2)
+
+    def shown(h):
+        return F.concat_ws(":", h["hop_no"], h["entity"], h["enr"], F.coalesce(h["sent"], F.lit("")), F.coalesce(h["state"], F.lit("")), h["reason"])
+
+    return nested.select("mobile", "masked", "booked", "part", "n_hops", F.array_join(F.transform("hops", shown), ">").alias("path"))
+
+
 _CONV_DAY = "CAST(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(turn AS INTEGER)) AS TIMESTAMP)"
 
 
@@ -1145,7 +1156,7 @@ def _(r):
 def _(r):
     path = fresh_path(r.spark, "profiles")
     r.profile_documents.write.json(path)
-    return R.profile_flags(read_profiles(r.spark, path))
+    return R.profile_flags(read_profiles(r.spark, path, CONFIG.screen_fields), CONFIG.event_prefixes)
 
 
 @register(

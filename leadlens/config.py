@@ -84,6 +84,9 @@ NOT_ANSWERED = "not_answered"
 ANSWER_CODES = [code for code in ANSWER_LABELS if code != NOT_ANSWERED]
 # Banner screens that make an entity "targeted".
 SCREENS = ["keepgoing", "almost", "secured", "noleads"]
+# Fields of a profile that hold its screen, and key prefixes of its events by engagement flag.
+SCREEN_FIELDS = ["mbg_screen_real", "mbg_screen"]
+EVENT_PREFIXES = {"viewed": "MBG_View_", "scrolled": "MBG_Scroll_", "tapped": "MBG_TapGuarantee_", "ticket": "MBG_Ticket_"}
 # Guarantee classes and their labels.
 CLASS_LABELS = {
     "mg_lo": "Getting MG · <3 leads",
@@ -127,6 +130,8 @@ class FunnelConfig:
     campaign: str = "C1"
     test_identities: tuple[int, ...] = ()
     screens: tuple[str, ...] = field(default=tuple(SCREENS))
+    screen_fields: tuple[str, ...] = field(default=tuple(SCREEN_FIELDS))
+    event_prefixes: dict[str, str] = field(default_factory=lambda: dict(EVENT_PREFIXES), hash=False)
 
     def __post_init__(self) -> None:
         if self.as_of < self.launch:

@@ -25,7 +25,7 @@ from ..functions.temporal import (
 from ..operators.aggregates import first_time_when
 from ..operators.asof import attribute_first
 from ..operators.dedup import distinct_keys, earliest_by, latest_by, one_per, order_key
-from ..operators.joins import SPREAD, anti_keep_null, attach_roster, lookup, unique_side
+from ..operators.joins import anti_keep_null, attach_roster, lookup
 from ..session import stage
 from .tables import Tables
 
@@ -48,10 +48,18 @@ def clean_bookings(t: Tables, booking_filter: Column) -> DataFrame:
     return anti_keep_null(joined, t.test_accounts, ["lco_account_id"], row_id=BOOKING_KEY)
 
 
-def requests_by_subject(t: Tables, min_subject: str | None, subjects: DataFrame | None = None) -> DataFrame:
+def requests_by_subject(
+    t: Tables,
+    min_subject: str | None,
+    subjects: DataFrame | None = None,
+    since: str | None = None,
+    until: str | None = None,
+) -> DataFrame:
     """Connection requests with the subject they belong to: event -> connection -> account -> subject.
 
-    Equi joins only; the time window is applied afterwards by the attribution.
+    Equi joins only; the time window of a booking is applied afterwards by the attribution. ``since`` and ``until`` are
+    literal times that bound all windows, so that they reach the scan. With ``subjects`` the events are reduced to
+    the connections of these before anything is shuffled for their copies.
     """
     accounts = t.all_accounts.filter(F.col("account_id").isNotNull())
     if min_subject is not None:
@@ -62,25 +70,49 @@ def requests_by_subject(t: Tables, min_subject: str | None, subjects: DataFrame
     conns = live(t.connections, "active", "current").select(
         "connection_id", F.col("customer_id").cast("string").alias("account_id")
     )
+    owned = conns.join(pairs, ["account_id"]).select("mobile", "connection_id")
     events = live(t.event_history, "deleted").filter(F.col("event_type") == "CONNECTION_REQUEST")
+    if since is not None:
+        events = events.filter(f"event_timestamp >= {since}")
+    if until is not None:
+        events = events.filter(f"event_timestamp <= {until}")
+    if subjects is not None:
+        events = events.join(owned.select("connection_id").distinct(), ["connection_id"], "left_semi")
     # Copies of a request collapse in the map tasks.
     events = events.select("connection_id", F.col("event_timestamp").alias("request_ts")).distinct()
-    return events.join(conns, ["connection_id"]).join(pairs, ["account_id"]).select(
-        "mobile", "request_ts", "connection_id"
-    )
+    return events.join(owned, ["connection_id"]).select("mobile", "request_ts", "connection_id")
+
+
+def request_bounds(cfg: FunnelConfig, first_day: dt.date | None, last_day: dt.date | None) -> dict[str, str]:
+    """``since`` and ``until``: the times of requests that bookings of these local days can meet."""
+    out = {}
+    if first_day is not None:
+        out["since"] = shift_sql(instant_sql(first_day), -cfg.offset_minutes - 60 * cfg.before_hours)
+    if last_day is not None:
+        day_end = instant_sql(last_day + dt.timedelta(days=1))
+        out["until"] = shift_sql(day_end, 1440 * cfg.after_days - cfg.offset_minutes)
+    return out
 
 
 def attributed_bookings(
-    t: Tables, cfg: FunnelConfig, booking_filter: Column, bookings: DataFrame | None = None, **request_scope
+    t: Tables,
+    cfg: FunnelConfig,
+    booking_filter: Column,
+    bookings: DataFrame | None = None,
+    first_day: dt.date | None = None,
+    last_day: dt.date | None = None,
+    **request_scope,
 ) -> DataFrame:
     """Clean bookings with the connection of their first request (``connection_id`` NULL when none).
 
+    ``first_day`` and ``last_day`` repeat what ``booking_filter`` says of ``booking_date``, the local day of ``bt``.
     Both sides come out of joins and are read twice by the attribution (layout, carry), so each
     is written once.
     """
     if bookings is None:
         bookings = clean_bookings(t, booking_filter)
-    requests = requests_by_subject(t, **{"min_subject": cfg.min_subject, **request_scope})
+    scope = {"min_subject": cfg.min_subject, **request_bounds(cfg, first_day, last_day), **request_scope}
+    requests = requests_by_subject(t, **scope)
     utc = -cfg.offset_minutes
     return attribute_first(
         stage(bookings, "bookings"),
@@ -99,14 +131,21 @@ def attributed_bookings(
 
 def attributed_since(t: Tables, cfg: FunnelConfig, date_from: dt.date) -> DataFrame:
     """Attributed bookings from ``date_from`` on: the common input of every base."""
-    return attributed_bookings(t, cfg, F.col("booking_date") >= F.lit(date_from))
+    return attributed_bookings(t, cfg, F.col("booking_date") >= F.lit(date_from), first_day=date_from)
 
 
-def first_event(t: Tables, event_type: str, name: str) -> DataFrame:
-    events = unique_side(
-        live(t.event_history, "deleted").filter(F.col("event_type") == event_type), ["connection_id"]
-    )
-    return events.groupBy("connection_id", SPREAD).agg(F.min("event_timestamp").alias(name))
+def connections_of(rows: DataFrame) -> DataFrame:
+    """The connections that attributed bookings met, each once."""
+    return rows.filter(F.col("connection_id").isNotNull()).select("connection_id").distinct()
+
+
+def _only(df: DataFrame, connections: DataFrame | None) -> DataFrame:
+    return df if connections is None else df.join(connections, ["connection_id"], "left_semi")
+
+
+def first_event(t: Tables, event_type: str, name: str, connections: DataFrame | None = None) -> DataFrame:
+    events = live(t.event_history, "deleted").filter(F.col("event_type") == event_type)
+    return _only(events, connections).groupBy("connection_id").agg(F.min("event_timestamp").alias(name))
 
 
 ANY_INSTALL = "(coalesce(otp_verified, false) OR installation_completed_at IS NOT NULL OR coalesce(completed_step >= 7, false))"
@@ -123,8 +162,10 @@ LATEST = [
 ]
 
 
-def candidate_facts(t: Tables, date_from: dt.date, cfg: FunnelConfig) -> DataFrame:
-    """One row per connection from one pass over the candidates.
+def candidate_facts(
+    t: Tables, date_from: dt.date, cfg: FunnelConfig, connections: DataFrame | None = None
+) -> DataFrame:
+    """One row per connection (of ``connections``, where given) from one pass over the candidates.
 
     Latest current row, any-install flag and first creation over the current rows, and the
     first assignment over all rows (history included) created since shortly before the scan start.
@@ -134,8 +175,8 @@ def candidate_facts(t: Tables, date_from: dt.date, cfg: FunnelConfig) -> DataFra
     order = order_key("updated_at", "first", ["execution_candidate_id"], where=current)
     since = instant_sql(date_from - dt.timedelta(days=cfg.assigned_lookback_days))
     assigned = f"current_state = 'TECHNICIAN_ASSIGNED' AND created_at >= {since}"
-    grouped = unique_side(t.candidates, ["connection_id"]).groupBy("connection_id", SPREAD)
-    facts = grouped.agg(
+    # Grouped by the connection alone: the join with the bookings then has its own exchange, which adaptive execution can split.
+    facts = _only(t.candidates, connections).groupBy("connection_id").agg(
         F.max_by(F.struct(*LATEST), order).alias("latest"),
         F.expr(f"max(CASE WHEN {current} THEN 1 END)").alias("has_candidate"),
         F.expr(f"max(CASE WHEN {current} AND {ANY_INSTALL} THEN 1 ELSE 0 END)").alias("inst_any"),
@@ -144,7 +185,6 @@ def candidate_facts(t: Tables, date_from: dt.date, cfg: FunnelConfig) -> DataFra
     )
     return facts.selectExpr(
         "connection_id",
-        SPREAD,
         "latest.current_state AS cs",
         "latest.csp_id AS csp_id",
         "latest.created_at AS cur_created",
@@ -192,10 +232,16 @@ def ladder7() -> Column:
     )
 
 
+def _attributed(t: Tables, cfg: FunnelConfig, date_from: dt.date, attributed: DataFrame | None) -> DataFrame:
+    """The attributed bookings as given, or written once: they are read for their connections and for their rows."""
+    return stage(attributed_since(t, cfg, date_from), "attributed") if attributed is None else attributed
+
+
 def _booking_rows(t: Tables, cfg: FunnelConfig, date_from: dt.date, attributed: DataFrame | None) -> DataFrame:
-    rows = attributed_since(t, cfg, date_from) if attributed is None else attributed
-    per_connection = candidate_facts(t, date_from, cfg).join(
-        first_event(t, "ALLOCATION_ACCEPTED", "accepted_at"), ["connection_id", SPREAD], "full"
+    rows = _attributed(t, cfg, date_from, attributed)
+    met = connections_of(rows)
+    per_connection = candidate_facts(t, date_from, cfg, met).join(
+        first_event(t, "ALLOCATION_ACCEPTED", "accepted_at", met), ["connection_id"], "full"
     )
     rows = lookup(rows, per_connection, ["connection_id"], row_id=BOOKING_KEY)
     return lookup(rows, entity_lookup(t), ["csp_id"], row_id=BOOKING_KEY).withColumn(
@@ -274,10 +320,10 @@ def entity_stages(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def latest_allocations(t: Tables) -> DataFrame:
+def latest_allocations(t: Tables, connections: DataFrame | None = None) -> DataFrame:
     accepted = live(t.allocations, "active", "current").filter(F.col("acceptance_timestamp").isNotNull())
     return latest_by(
-        accepted.select("connection_id", "assigned_at", "acceptance_timestamp"),
+        _only(accepted, connections).select("connection_id", "assigned_at", "acceptance_timestamp"),
         ["connection_id"],
         "assigned_at",
         tiebreak=["acceptance_timestamp"],
@@ -289,13 +335,15 @@ def entity_base(
 ) -> DataFrame:
     """Entity grain: a booking sent to n entities counts n times, each with its own stage.
 
-    The history is aggregated before it meets the bookings: map tasks combine the states of a
-    (connection, entity), so a busy connection reaches the join as one row per entity.
+    History and allocations are reduced to the connections that were met. The history is aggregated before it meets
+    the bookings: map tasks combine the states of a (connection, entity), so a busy connection reaches the join as one
+    row per entity.
     """
-    rows = attributed_since(t, cfg, date_from) if attributed is None else attributed
+    rows = _attributed(t, cfg, date_from, attributed)
     rows = rows.filter(F.col("connection_id").isNotNull()).select(*BOOKING_KEY, "bt", "bflow", "connection_id")
-    stages = entity_stages(t.history, ["connection_id", "csp_id"])
-    rows = lookup(rows, latest_allocations(t), ["connection_id"], row_id=BOOKING_KEY)
+    met = connections_of(rows)
+    stages = entity_stages(_only(t.history, met), ["connection_id", "csp_id"])
+    rows = lookup(rows, latest_allocations(t, met), ["connection_id"], row_id=BOOKING_KEY)
     rows = rows.join(stages, ["connection_id"])
     row_id = [*BOOKING_KEY, "csp_id"]
     rows = lookup(rows, entity_lookup(t), ["csp_id"], row_id=BOOKING_KEY)

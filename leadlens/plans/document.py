@@ -103,8 +103,9 @@ def fixed_window_document(t: Tables, cfg: FunnelConfig) -> dict[str, DataFrame]:
     """The fixed-window funnel: PRE/POST blocks, declines, installs, daily trends and lag cohorts."""
     ids = stage(enrolled(t, cfg), "enrolled")
     size = ids.agg(F.count(F.lit(1)).alias("entities"))
-    base = booking_base_v1(t, cfg, ids, cfg.pre_start)
-    recent = booking_base_v1(t, cfg, ids, cfg.daily_from)
+    rows = stage(attributed_since(t, cfg, min(cfg.pre_start, cfg.daily_from)), "attributed")
+    base = booking_base_v1(t, cfg, ids, cfg.pre_start, rows.filter(F.col("booking_date") >= F.lit(cfg.pre_start)))
+    recent = booking_base_v1(t, cfg, ids, cfg.daily_from, rows.filter(F.col("booking_date") >= F.lit(cfg.daily_from)))
     daily = stage(P.daily_funnel(recent, cfg), "daily")
     return {
         "pre_post": P.rates_v1(P.funnel_pre_post(base, cfg), cfg.n_days, size),

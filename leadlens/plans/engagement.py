@@ -92,8 +92,8 @@ def view_actions(
     entity = entity_lookup(t).join(
         views.select(F.col("pid").alias("partner_id")).distinct(), ["partner_id"], "left_semi"
     )
-    # Copies of an action collapse in the map tasks.
-    by_entity = actions.distinct().join(entity, ["csp_id"]).select(F.col("partner_id").alias("pid"), "a_ts")
+    # Only actions of viewers are shuffled for their copies, and these collapse in the map tasks first.
+    by_entity = actions.join(entity, ["csp_id"]).select(F.col("partner_id").alias("pid"), "a_ts").distinct()
     hits = first_after(views, by_entity, ["pid"], "view_ts", "a_ts", "action_ts")
     minutes = F.round(second_diff("view_ts", "action_ts") / F.lit(60.0)).cast("bigint")
     return hits.withColumn("mins", minutes)

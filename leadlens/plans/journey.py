@@ -38,7 +38,7 @@ def lead_journey(
     chosen = (F.col("booking_date") == F.lit(day)) & hour_bucket("bt", bucket)
     bookings = clean_bookings(t, chosen)
     subjects = t.bookings.filter(chosen).select("mobile").distinct()
-    conn = attributed_bookings(t, cfg, chosen, bookings, min_subject=None, subjects=subjects).filter(
+    conn = attributed_bookings(t, cfg, chosen, bookings, day, day, min_subject=None, subjects=subjects).filter(
         F.col("connection_id").isNotNull()
     ).select("mobile", "bt", "connection_id")
     # One hour of bookings feeds four branches: written once, so that the facts are scanned once.
@@ -115,3 +115,14 @@ def collect_journey(
     return numbered.groupBy(*keys, part.alias("part")).agg(
         F.count(F.lit(1)).alias("n_hops"), F.sort_array(F.collect_list(entry)).alias("hops")
     )
+
+
+HOP_FIELDS = ["entity", "enr", "sent", "state", *JOURNEY_STATES, "reason", "upd"]
+
+
+def journey_document(hops: DataFrame, max_hops: int = MAX_HOPS_PER_ROW) -> DataFrame:
+    """``lead_journey`` nested: mobile, masked, booked, part, n_hops, hops (in order of their creation).
+
+    The key is (mobile, part): a lead has one row for each ``max_hops`` hops.
+    """
+    return collect_journey(hops, ["mobile", "masked", "booked"], "created_at", HOP_FIELDS, ["execution_candidate_id"], max_hops)

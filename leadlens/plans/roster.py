@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ANSWER_CODES, NOT_ANSWERED, OWNER_ROLES, SCREENS, FunnelConfig
+from ..config import ANSWER_CODES, EVENT_PREFIXES, NOT_ANSWERED, OWNER_ROLES, SCREENS, FunnelConfig
 from ..functions.labels import in_sql
 from ..functions.maps import any_count_with_prefix, min_first_seen
 from ..functions.temporal import live_days, local_time
@@ -18,8 +18,6 @@ from ..session import stage
 from .tables import Tables
 
 ENGAGEMENT_FLAGS = ["viewed", "scrolled", "tapped", "ticket"]
-# Key prefixes of the profile events, per engagement flag.
-EVENT_PREFIXES = {"viewed": "View_", "scrolled": "Scroll_", "tapped": "TapGuarantee_", "ticket": "Ticket_"}
 
 
 def opted(optins: DataFrame, program: str) -> DataFrame:
@@ -84,9 +82,11 @@ def merge_identities(flags: DataFrame, key: str, names: Sequence[str] = ENGAGEME
     )
 
 
-def engagement(t: Tables, entity_dim: DataFrame | None = None) -> DataFrame:
+def engagement(
+    t: Tables, entity_dim: DataFrame | None = None, prefixes: dict[str, str] = EVENT_PREFIXES
+) -> DataFrame:
     owners = resolve_identity(t.users, t.entity_dim if entity_dim is None else entity_dim, OWNER_ROLES)
-    return merge_identities(profile_flags(t.profiles).join(owners, ["identity"]), "pid")
+    return merge_identities(profile_flags(t.profiles, prefixes).join(owners, ["identity"]), "pid")
 
 
 def build_roster(
@@ -143,7 +143,7 @@ def roster(t: Tables, cfg: FunnelConfig, mg: DataFrame | None = None) -> DataFra
     return build_roster(
         anchors(ids, t.optins, cfg),
         feedback(t, cfg, entity_dim=scope),
-        engagement(t, entity_dim=scope),
+        engagement(t, entity_dim=scope, prefixes=cfg.event_prefixes),
         f2,
         cfg.as_of,
         mg,

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import SCREEN_FIELDS
+
 
 def scan(
     spark: SparkSession,
@@ -61,7 +63,7 @@ def profile_schema(screen_fields: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField("identity", T.StringType()), T.StructField("record", record)])
 
 
-def read_profiles(spark: SparkSession, path: str, screen_fields: Sequence[str] = ("screen_real", "screen")) -> DataFrame:
+def read_profiles(spark: SparkSession, path: str, screen_fields: Sequence[str] = SCREEN_FIELDS) -> DataFrame:
     """JSON lines of profiles -> identity, screen (first non-empty field), events map.
 
     Identities without a record are dropped, as a failed look-up is.
