@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadlens.bindings.event_tables import CONFIG, DATE_FROM, EventRoles
 from leadlens.config import FunnelConfig
+from leadlens.operators.joins import lookup
 from leadlens.plans import base as B
 from leadlens.plans import classes as C
 from leadlens.plans import document as DOC
@@ -172,6 +173,47 @@ def test_a_hot_subject_gets_the_same_result(spark):
         assert got[(b.mobile, b.booking_date)] == (hits[0][1] if hits else None)
 
 
+def test_requests_are_bounded_in_the_scan(spark):
+    t = EventRoles(spark, SMALL)
+    bounds = B.request_bounds(CONFIG, dt.date(2024, 1, 20), dt.date(2024, 1, 20))
+    bounded = B.requests_by_subject(t, CONFIG.min_subject, **bounds)
+    low, high = "2024-01-19 16:30:00", "2024-02-03 18:30:00"  # 2 hours before and 14 days after, in UTC
+    assert low in plan_of(bounded) and high in plan_of(bounded)
+    every = [r for r in B.requests_by_subject(t, CONFIG.min_subject).collect() if low <= str(r.request_ts) <= high]
+    assert sorted(map(tuple, bounded.collect())) == sorted(map(tuple, every))
+
+
+def test_only_connections_that_were_met_are_aggregated(spark, frame):
+    t = EventRoles(spark, SMALL)
+    some = t.candidates.select("connection_id").distinct().orderBy("connection_id").limit(5)
+    ids = {r.connection_id for r in some.collect()}
+    every, few = B.candidate_facts(t, DATE_FROM, CONFIG), B.candidate_facts(t, DATE_FROM, CONFIG, some)
+    assert "LeftSemi" in plan_of(few) and "LeftSemi" not in plan_of(every)
+    assert sorted(map(str, few.collect())) == sorted(str(r) for r in every.collect() if r.connection_id in ids)
+
+
+def test_a_hot_connection_is_split(spark):
+    """Aggregated look-up side: the join has an exchange of its own, so adaptive execution deals the hot key anew."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    try:
+        rows = spark.range(0, 300_000, 1, 8).selectExpr("if(id % 3 < 2, 1, id) AS connection_id", "uuid() AS body")
+        facts = spark.range(0, 300_000, 1, 8).selectExpr("id AS connection_id", "id % 7 AS x").groupBy("connection_id").agg(F.max("x").alias("x"))
+        joined = lookup(rows, facts, ["connection_id"], row_id=["body"])
+        assert joined.where("x IS NOT NULL").count() == 300_000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        for k in ("skewedPartitionThresholdInBytes", "skewedPartitionFactor"):
+            spark.conf.unset(f"spark.sql.adaptive.skewJoin.{k}")
+
+
 def test_dashboard_panels(spark):
     panels = DOC.dashboard(EventRoles(spark, SMALL), CONFIG, "%nation_1%")
     assert len(panels) >= 30
@@ -204,9 +246,9 @@ def test_profile_documents(spark, tmp_path):
         '{"identity": "2", "record": {"profileData": {"screen_real": "secured", "screen": "almost"}}}\n'
         '{"identity": "3"}\n'
     )
-    df = read_profiles(spark, str(path))
+    df = read_profiles(spark, str(path), CONFIG.screen_fields)
     assert values(df, "identity", "screen") == [("1", "almost"), ("2", "secured")]
-    assert values(R.profile_flags(df), "identity", "viewed", "view_fs") == [("1", 1, None), ("2", 0, None)]
+    assert values(R.profile_flags(df, CONFIG.event_prefixes), "identity", "viewed", "view_fs") == [("1", 1, None), ("2", 0, None)]
 
 
 def test_hourly_document(spark, tmp_path):
