@@ -29,7 +29,7 @@ from ..plans import journey as JO
 from ..plans import roster as R
 from ..plans.weather import daily_weather
 from ..session import fresh_path, stage
-from ..sources import publish_json, read_cohorts, read_hourly, read_profiles
+from ..sources import publish_json, published, read_cohorts, read_hourly, read_profiles
 from ..streaming import events as S
 from . import oracles as O
 from .event_tables import CONFIG, DATE_FROM, DRILL_DAY, PARTNER, EventRoles
@@ -1185,7 +1185,7 @@ def _(r):
     cells = stage(_cells(r), "cells")
     panels = {"daily": I.daily_panel(cells, CONFIG), "hourly": I.hourly_panel(cells, CONFIG)}
     publish_json(panels, path, require=["daily"], order={"daily": ["d"]})
-    return r.spark.read.schema("d date, b bigint, i bigint, j bigint").json(f"{path}/daily")
+    return r.spark.read.schema("d date, b bigint, i bigint, j bigint").json(f"{published(r.spark, path)}/daily")
 
 
 @register("stream_dedup", "SELECT event_id, user_id, ts, event_type FROM events")

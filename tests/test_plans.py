@@ -17,7 +17,7 @@ from leadlens.plans.journey import collect_journey
 from leadlens.plans.tables import Tables
 from leadlens.plans.weather import daily_weather
 from leadlens.session import shared_dir, stage
-from leadlens.sources import publish_json, read_cohorts, read_hourly, read_profiles
+from leadlens.sources import publish_json, published, read_cohorts, read_hourly, read_profiles
 from leadlens.sources.publish import EmptyPanel
 
 from conftest import SMALL, plan_of, values
@@ -257,13 +257,24 @@ def test_hourly_document(spark, tmp_path):
     assert values(read_hourly(spark, str(path)), "ts", "precip", "cloud") == [(D(2024, 1, 1), 0.0, 10.0), (D(2024, 1, 1, 1), 1.5, 0.0)]
 
 
-def test_publish_gate(frame, tmp_path):
-    full, empty = frame([(2,), (1,)], "n int"), frame([], "n int")
+def test_publish_gate(spark, frame, tmp_path):
+    full, empty, out = frame([(2,), (1,)], "n int"), frame([], "n int"), str(tmp_path / "out")
+    failing = full.select(F.raise_error(F.lit("no such section")).alias("n"))
     with pytest.raises(EmptyPanel):
-        publish_json({"a": full, "b": empty}, str(tmp_path / "out"), require=["a", "b"])
-    assert not (tmp_path / "out").exists()
-    publish_json({"a": full, "b": empty}, str(tmp_path / "out"), require=["a"], order={"a": ["n"]})
-    assert (tmp_path / "out" / "a").exists()
+        publish_json({"a": full, "b": empty}, out, require=["a", "b"])
+    assert published(spark, out) is None
+    publish_json({"a": full, "b": empty}, out, require=["a"], order={"a": ["n"]})
+    first = published(spark, out)
+    assert [r.n for r in spark.read.schema("n int").json(f"{first}/a").collect()] == [1, 2]
+    with pytest.raises(Exception, match="no such section"):
+        publish_json({"a": failing}, out, require=["a"])
+    assert published(spark, out) == first
+    # A panel that is not required and fails is left out and noted; the others are published.
+    assert len(publish_json({"bad": failing, "a": lambda: full}, out, require=["a"])) == 1
+    second = published(spark, out)
+    assert second > first and spark.read.schema("n int").json(f"{second}/a").count() == 2
+    noted = spark.read.json(f"{out}/versions").orderBy("version").collect()[-1].failed
+    assert [n.partition(":")[0] for n in noted] == ["bad"]
 
 
 def test_shared_folder_comes_from_the_session(spark):
