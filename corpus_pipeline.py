@@ -32,7 +32,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents at the weights of their sources: each once at least, those of small sources up to twice."""
+    """Documents at the weights of their sources: each once at least, those of small sources up to twice; in the order of the mix."""
     return mixing.mix_rows(docs, MIX)
 
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 from .common import WORD, packed
@@ -149,21 +150,40 @@ def _slice_of(at: Column, bits: Column) -> Column:
     return F.expr("shiftrightunsigned(at ^ -9223372036854775808, 64 - least(greatest(bits, 1), 62)) * if(bits = 0, 0, 1)").cast("long")
 
 
-def _streams(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """``rows`` (source, n, at, ...) with the weights of their source and ``start``, their tokens' place in an epoch."""
-    drawn = rows.join(table.withColumn("bits", _slices(table)), F.col("rows.source").eqNullSafe(F.col("table.source")))
+def _sliced(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` (source, n, at, ...) with the weights of their source and their hash slice of it."""
+    drawn = rows.alias("rows").join(table.withColumn("bits", _slices(table)).alias("table"), F.col("rows.source").eqNullSafe(F.col("table.source")))
     drawn = drawn.select("rows.*", "table.tokens", "table.quota", "table.weight", "bits")
-    drawn = drawn.withColumn("slice", _slice_of(F.col("at"), F.col("bits"))).drop("bits")
-    sums = drawn.groupBy("source", "slice").agg(F.sum("n").alias("own"))
+    return drawn.withColumn("slice", _slice_of(F.col("at"), F.col("bits"))).drop("bits")
+
+
+def _streams(rows: DataFrame, table: DataFrame, narrow: DataFrame | None = None, order: str = "at") -> DataFrame:
+    """``rows`` (source, n, at, ...) with the weights of their source and ``start``, their tokens' place in an epoch.
+
+    ``narrow``: the same rows, for the sums of slices; sources are not null then, so that the join needs no exchange beside the
+    window's. ``order`` begins with ``at``.
+    """
+    drawn = _sliced(rows, table)
+    sums = (drawn if narrow is None else _sliced(narrow, table)).groupBy("source", "slice").agg(F.sum("n").alias("own"))
     before = sums.select("source", "slice", F.expr("sum(own) over (partition by source order by slice) - own").alias("before"))
     inside = drawn.withColumn(
-        # Ties (equal rows) are told apart by nothing, so they keep any order.
-        "inside", F.expr("sum(n) over (partition by source, slice order by at rows between unbounded preceding and current row) - n")
+        # Ties (equal rows) are told apart by nothing but ``order``, else they keep any order.
+        "inside", F.expr(f"sum(n) over (partition by source, slice order by {order} rows between unbounded preceding and current row) - n")
     )
-    joined = inside.alias("i").join(before.alias("b"), F.expr("i.source <=> b.source and i.slice = b.slice"))
+    joined = inside.alias("i").join(before.alias("b"), F.expr(f"i.source {'<=>' if narrow is None else '='} b.source and i.slice = b.slice"))
     return joined.select("i.*", (F.col("inside") + F.col("before")).alias("start")).drop("inside", "slice")
 
 
+def _drawn(placed: DataFrame, mix: Mix) -> DataFrame:
+    """``placed`` once for each epoch drawn, with ``epoch``, ``block`` and ``mixed``, whose order is that in a block."""
+    # Epoch e of a document starts at e * tokens + start of its source's stream, and is drawn while that is within the quota.
+    epochs = F.greatest(F.ceil((F.col("quota") - F.col("start")) / F.col("tokens")), F.lit(0)).cast("int")
+    drawn = placed.withColumn("epoch", F.explode(F.when(epochs > 0, F.sequence(F.lit(0), epochs - 1)).otherwise(F.array().cast("array<int>"))))
+    place = F.col("epoch") * F.col("tokens") + F.col("start")
+    drawn = drawn.withColumn("block", F.floor(place / (F.col("weight") * mix.block_tokens)).cast("long"))
+    return drawn.withColumn("mixed", F.xxhash64(F.lit(mix.seed), "block", "epoch", "at"))
+
+
 def mix_plan(docs: DataFrame, mix: Mix, source: str = "source", key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document and epoch drawn: ``key``, ``source``, ``weight``, ``epoch``, ``block``, ``position``, ``n_words``.
 
@@ -171,36 +191,26 @@ def mix_plan(docs: DataFrame, mix: Mix, source: str = "source", key: str = "doc_
     """
     rows = stage(_rows(docs, mix, source, key, text).select("key", "source", "n", "at"), "rows")
     table = stage(weights(stage(source_table(rows), "sources"), mix), "weights")
-    placed = _streams(rows.alias("rows"), table.alias("table"))
-    # Epoch e of a document starts at e * tokens + start of its source's stream, and is drawn while that is within the quota.
-    epochs = F.greatest(F.ceil((F.col("quota") - F.col("start")) / F.col("tokens")), F.lit(0)).cast("int")
-    drawn = placed.withColumn("epoch", F.explode(F.when(epochs > 0, F.sequence(F.lit(0), epochs - 1)).otherwise(F.array().cast("array<int>"))))
-    place = F.col("epoch") * F.col("tokens") + F.col("start")
-    drawn = drawn.select(
-        "key", "source", "weight", "epoch", F.floor(place / (F.col("weight") * mix.block_tokens)).cast("long").alias("block"), F.col("n").alias("n_words"), "at"
-    )
-    mixed = drawn.withColumn("mixed", F.xxhash64(F.lit(mix.seed), "block", "epoch", "at"))
+    mixed = _drawn(_streams(rows, table), mix)
     return mixed.withColumn("position", F.expr("cast(row_number() over (partition by block order by mixed, key) - 1 as long)")).select(
-        F.col("key").alias(key), F.col("source").alias(source), "weight", "epoch", "block", "position", "n_words"
+        F.col("key").alias(key), F.col("source").alias(source), "weight", "epoch", "block", "position", F.col("n").alias("n_words")
     )
 
 
+def _hashable(kind: T.DataType) -> bool:
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+
+
 def mix_rows(docs: DataFrame, mix: Mix, source: str = "source", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as it is drawn.
+    """The rows of ``docs``, each as often as it is drawn, in the order of ``mix_plan``: by block, and by position in it.
 
-    Equal to ``mix_plan`` without the order: a source's last epoch takes the rows up to a place of its hash order, so each row
-    is decided by its own hash, and whole rows are joined with the table of sources only.
+    Partitions are ranges of that order, and rows are sorted in them; whole rows are dealt out twice, by slice of a source and by
+    range. Rows of equal key and text are told apart by a hash of their other columns, so that a retried task places them alike.
     """
-    rows = _rows(docs, mix, source, key, text)
+    other = [F.col(f"row.`{f.name}`") for f in docs.schema.fields if _hashable(f.dataType)]
+    rows = _rows(docs, mix, source, key, text).withColumn("tie", F.xxhash64(*other))
+    rows = rows.withColumn("source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
     narrow = stage(rows.select("source", "n", "at"), "rows")
     table = stage(weights(stage(source_table(narrow), "sources"), mix), "weights")
-    placed = _streams(narrow.alias("rows"), table.alias("table"))
-    rest = F.col("quota") - F.floor(F.col("quota") / F.col("tokens")) * F.col("tokens")
-    cut = placed.where(F.col("start") < rest).groupBy("source").agg(F.max("at").alias("cut"))
-    limits = stage(
-        table.alias("t").join(cut.alias("c"), F.expr("t.source <=> c.source"), "left").select("t.source", F.floor(F.col("quota") / F.col("tokens")).cast("int").alias("epochs"), "cut"),
-        "limits",
-    )
-    times = F.col("epochs") + F.when(F.col("at") <= F.col("cut"), 1).otherwise(0)
-    drawn = rows.alias("r").join(limits.alias("l"), F.expr("r.source <=> l.source")).select("row", times.alias("times"))
-    return drawn.select("row", F.explode(F.array_repeat(F.lit(True), F.col("times"))).alias("drawn")).select("row.*")
+    drawn = _drawn(_streams(rows, table, narrow, "at, tie"), mix).select("row", "key", "tie", "block", "mixed")
+    return drawn.repartitionByRange("block", "mixed").sortWithinPartitions("block", "mixed", "key", "tie").select("row.*")

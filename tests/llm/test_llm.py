@@ -202,6 +202,18 @@ def test_mix_covers_and_limits(spark, docs):
     assert Counter(r.doc_id for r in mixing.mix_rows(docs, mix).collect()) == drawn
 
 
+def test_mix_rows_are_in_the_order_of_the_plan(spark, docs, tmp_path):
+    clustered = docs.withColumn("source", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 > 0, "hot").otherwise("rare")).orderBy("source").coalesce(1)
+    clustered.write.parquet(path := str(tmp_path / "clustered"))
+    clustered, mix = spark.read.parquet(path), mixing.Mix(most_epochs=2.0, block_tokens=20_000)
+    plan = sorted(mixing.mix_plan(clustered, mix).collect(), key=lambda r: (r.block, r.position))
+    got = mixing.mix_rows(clustered, mix).collect()
+    assert [(r.doc_id, r.source) for r in got] == [(r.doc_id, r.source) for r in plan]
+    assert max(r.epoch for r in plan) == 1 and all(a.doc_id != b.doc_id for a, b in zip(got, got[1:]))
+    where = [k for k, r in enumerate(got) if r.source == "rare"]  # no long stretch without the small source
+    assert max(b - a for a, b in zip([0, *where], [*where, len(got)])) < len(got) / 4
+
+
 def test_exponent_meets_targets(spark):
     rows = [(s, 1, 10 ** k) for k, s in enumerate("abcde", 1)]
     sources = spark.createDataFrame(rows, "source string, docs long, tokens long")
