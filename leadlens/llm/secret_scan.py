@@ -7,7 +7,9 @@ are folded with them. A literal is reported as ``literal`` (or ``constant``, whe
 literal) if its name says that it is sensitive and its form does not say that it is a placeholder or prose.
 
 Spans are in code points with exclusive ends; spans added to the base ones never overlap one another, and add
-characters that no base span covers. Quoted literals over 4,000 characters are not taken for secrets.
+characters that no base span covers. Names and literals may have any length. Values up to ``WHOLE`` characters are carried on as text;
+longer ones as counts of their characters and both ends, which say the same of their form, so that ``a = a + a`` repeated doesn't
+double a text each time; references in them are resolved part by part where they are written.
 Null and empty texts have no spans; repeated rows are scanned alike; long texts are scanned whole, in time linear in
 their length; input columns stay in ``row``.
 """
@@ -18,6 +20,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -45,15 +48,21 @@ HARMLESS = {"name", "file", "path", "url", "uri", "length", "size", "type", "fie
 PLACEHOLDER = re.compile(r"(?i)^(?:x{3,}|\*+|\.+|<.*>|\$\{?\w+\}?|%\w*%|changeme|example\w*|your\W?\w*|none|null|true|false|todo|test|dummy|placeholder|undefined|redacted|\[.*\])$")
 #: A literal is reported from this score on.
 REPORT_FROM = 4.0
+#: Characters of both ends of a long value that are kept; more than any fixed form of ``PLACEHOLDER`` needs.
+ENDS = 16
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,80}"
-_QUOTED = r"\"(?:[^\"\\\n]|\\.){0,4000}\"|'(?:[^'\\\n]|\\.){0,4000}'"
+#: Values up to so many characters are carried on as text, longer ones as ``Long``.
+WHOLE = 4000
+
+# Runs are possessive: nothing that follows a name or a literal could begin inside it, so no character is tried twice for one.
+_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+_QUOTED = r"\"[^\"\\\n]*+(?:\\.[^\"\\\n]*+)*+\"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
 _BARE = r"[^\s\"',;:(){}\[\]<>=+&|#]{4,}+(?![:=])"
 _PART = rf"(?:{_QUOTED}|{_NAME})"
 _PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?<![A-Za-z0-9_.\-])(?P<name>{_NAME})(?P=q)[\x20\t]*(?::=|=>|[:=](?!=))[\x20\t]*"
-    rf"(?P<value>{_QUOTED}(?:[\x20\t]*\+?[\x20\t]*{_PART}(?![\x20\t]*[:=]))*|{_NAME}(?:[\x20\t]*\+[\x20\t]*{_PART})+|{_BARE})"
-    rf"|<(?P<tag>{_NAME})>(?P<inner>[^<>\n]{{4,400}})</(?P=tag)>"
+    rf"(?P<q>[\"']?)(?<![A-Za-z0-9_.\-])(?P<name>{_NAME})(?P=q)[\x20\t]*+(?::=|=>|[:=](?!=))[\x20\t]*"
+    rf"(?P<value>(?:{_QUOTED})(?:[\x20\t]*+(?:\+[\x20\t]*+)?{_PART}(?![\x20\t]*[:=]))*|{_NAME}(?:[\x20\t]*\+[\x20\t]*{_PART})+|{_BARE})"
+    rf"|<(?P<tag>{_NAME})>(?P<inner>[^<>\n]{{4,}}+)</(?P=tag)>"
     rf"|\(\s*(?P<set>[\"']{_NAME}[\"'])\s*,\s*(?P<given>{_QUOTED})\s*\)"
 )
 _PIECE = re.compile(rf"(?P<text>{_QUOTED})|(?P<name>{_NAME})")
@@ -77,14 +86,58 @@ def name_score(name: str) -> float:
     return score
 
 
-def literal_score(value: str) -> float:
+@dataclass(frozen=True)
+class Long:
+    """What ``literal_score`` needs of a long value: characters by first place, both ends, and spaces in the blanks at the ends."""
+
+    length: int
+    counts: Counter
+    head: str
+    tail: str
+    lead: int
+    trail: int
+
+    @staticmethod
+    def of(value: str) -> "Long":
+        spaces = value.count(" ")
+        lead, trail = spaces - value.lstrip().count(" "), spaces - value.rstrip().count(" ")
+        return Long(len(value), Counter(value), value[:ENDS], value[-ENDS:], lead, trail)
+
+    @staticmethod
+    def joined(parts: "list[str | Long]") -> "Long":
+        """Of the parts one after the other; one step a part and distinct character of it."""
+        counts, length, head, tail, lead, trail, blank = Counter(), 0, "", "", 0, 0, True
+        for part in parts:
+            x = Long.of(part) if isinstance(part, str) else part
+            alone = not any(not c.isspace() for c in x.counts)
+            head += x.head[: ENDS - len(head)]
+            tail = (tail + x.tail)[-ENDS:]
+            lead += x.lead if blank else 0
+            trail = trail + x.trail if alone else x.trail
+            blank = blank and alone
+            for c, n in x.counts.items():
+                counts[c] += n
+            length += x.length
+        return Long(length, counts, head, tail, lead, trail)
+
+    def short(self) -> str:
+        """A value with these ends and the same characters between, each once: ``PLACEHOLDER`` fits it where it fits the whole."""
+        ends = Counter(self.head + self.tail)
+        return self.head + "".join(c for c, n in self.counts.items() if n > ends[c]) + self.tail
+
+
+def literal_score(value: "str | Long") -> float:
     """How much a value looks generated: length, mixed classes and entropy; very low for placeholders and prose."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or " " in value.strip():
+    if isinstance(value, Long):
+        size, counts, form = value.length, value.counts, value.short()
+        prose = any(not c.isspace() for c in counts) and counts[" "] > value.lead + value.trail
+    else:
+        size, counts, form, prose = len(value), Counter(value), value, " " in value.strip()
+    if size < 6 or PLACEHOLDER.match(form) or prose:
         return -10.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    classes = sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(len(value), 32) / 16 + (entropy - 2.0) / 2 + (classes - 1) * 0.75
+    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
+    classes = sum(bool(re.search(c, form)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return min(size, 32) / 16 + (entropy - 2.0) / 2 + (classes - 1) * 0.75
 
 
 def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
@@ -96,44 +149,62 @@ def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
                 break
 
 
-def _fold(value: str, constants: dict[str, str]) -> tuple[str, bool]:
+def _joined(parts: "list[str | Long]") -> "str | Long":
+    """One text where that isn't long or isn't made of parts."""
+    if len(parts) == 1:
+        return parts[0]
+    size = sum(len(x) if isinstance(x, str) else x.length for x in parts)
+    return "".join(parts) if size <= WHOLE else Long.joined(parts)
+
+
+def _referred(value: str, constants: "dict[str, str | Long]") -> "tuple[list[str | Long], bool]":
+    """The parts of a text with its references to constants put in, and whether there are any."""
+    parts, at, carried = [], 0, False
+    for m in _REFER.finditer(value) if "{" in value else ():
+        known = constants.get(m[1] or m[2])
+        if known is not None:
+            parts += [value[at : m.start()], known]
+            at, carried = m.end(), True
+    return ([x for x in [*parts, value[at:]] if not isinstance(x, str) or x] or [""]) if carried else [value], carried
+
+
+def _fold(value: str, constants: "dict[str, str | Long]") -> "tuple[str | Long, bool]":
     """The text of a value expression, and whether a constant went into it."""
     if value[0] not in "\"'" and "+" not in value:
         if value in constants:
             return constants[value], True
-        plain, carried = value, False
+        parts, carried = [value], False
     else:
-        plain, carried = "", False
+        parts, carried = [], False
         for m in _PIECE.finditer(value):
             if m["text"]:
-                plain += m["text"][1:-1]
+                parts.append(m["text"][1:-1])
             elif m["name"] in constants:
-                plain, carried = plain + constants[m["name"]], True
-
-    def put(m: re.Match) -> str:
-        nonlocal carried
-        known = constants.get(m[1] or m[2])
-        carried = carried or known is not None
-        return known if known is not None else m[0]
-
-    return _REFER.sub(put, plain) if "{" in plain else plain, carried
+                parts.append(constants[m["name"]])
+                carried = True
+    plain = _joined(parts or [""])
+    out: list[str | Long] = []
+    for part in [plain] if isinstance(plain, str) else parts:
+        put, more = _referred(part, constants) if isinstance(part, str) else ([part], False)
+        out += put
+        carried = carried or more
+    return _joined(out), carried
 
 
 def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of sensitive literals that assignments give, constants carried on in text order."""
     if "=" not in text and ":" not in text and "<" not in text and "(" not in text:
         return []
-    constants: dict[str, str] = {}
+    constants: dict[str, str | Long] = {}
     where: dict[str, tuple[int, int]] = {}
     out: set[tuple[int, int, str]] = set()
     for name, value, start, end in pairs(text):
         plain, carried = _fold(value, constants)
         if re.fullmatch(_QUOTED, value):
             start, end = start + 1, end - 1  # without the quotes
-        if len(plain) <= 4000:
-            constants[name] = plain
-            if not carried:
-                where[name] = (start, end)
+        constants[name] = Long.of(plain) if isinstance(plain, str) and len(plain) > WHOLE else plain
+        if not carried:
+            where[name] = (start, end)
         by_name = name_score(name)
         if by_name >= 2 and by_name + literal_score(plain) >= REPORT_FROM:
             out.add((start, end, "constant" if carried else "literal"))

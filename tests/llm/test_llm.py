@@ -160,6 +160,47 @@ def test_lexed_spans(text, found):
     assert [text[s:e] for s, e, k in secret_scan.scan(text) if k in ("literal", "constant")] == found
 
 
+def random_key(size, seed=11):
+    import random
+
+    return "".join(random.Random(seed).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789/_", k=size))
+
+
+@pytest.mark.parametrize("size", [360, 1600, 10_000, 100_000])
+def test_literals_of_any_length(size):
+    key = random_key(size)
+    for before, after in (("<privateKey>", "</privateKey>"), ('private_key = "', '"'), ("{'signingKey': '", "'}"), ("set('client_secret', '", "')"), ("db_credentials=", "\n"), (f'{"a" * 100}_passphrase = "', '"')):
+        text = f"{before}{key}{after}\nand more"
+        found = [text[s:e] for s, e, k in secret_scan.scan(text) if k == "literal"]
+        assert found == [key]
+        assert key[:40] not in secret_scan.masked(text, secret_scan.scan(text))
+    text = f'part = "{key}"\nauth_key = part + "f5g4h3"\nprivate_key = "${{part}}"\n'
+    assert [text[s:e] for s, e, k in secret_scan.scan(text) if k == "constant"] == ['part + "f5g4h3"', "${part}"]
+    assert [e - s for s, e, k in secret_scan.scan(text) if k == "literal"] == [size]
+
+
+def test_long_values_score_as_their_text():
+    import random
+
+    rng = random.Random(4)
+    ends = ["x" * 20, "X" * 9, "<a b", "c>", "[", "]", "${", "$a", "}", "%", "*" * 20, "." * 30, "example_1", "your-key", "your", "word", "   ", "\t ", "aB3+", random_key(30), "x y", "undefined", "é"]
+    for _ in range(4000):
+        parts = rng.choices(ends, k=rng.randint(1, 4)) if rng.random() < 0.7 else [rng.choice(ends)] * 5
+        parts = [parts[0], "ab_9" * 10 if rng.random() < 0.5 else parts[0][-1] * 40, *parts[1:]]
+        whole = "".join(parts)
+        assert secret_scan.literal_score(secret_scan.Long.joined(parts)) == secret_scan.literal_score(whole) == secret_scan.literal_score(secret_scan.Long.of(whole)), whole
+
+
+def test_long_scans_are_linear():
+    import time
+
+    junk = ['key="' * 60_000, "a" * 300_000, "<" + "a" * 300_000, 'a="b"' + " " * 300_000, 'a = "xy"\n' + "a = a + a\n" * 5000, "a='\\" * 60_000, "('a','" * 50_000, "<ab>" + "c" * 300_000, 'a="\\"' * 60_000]
+    start = time.process_time()
+    for text in junk:
+        secret_scan.scan(text)
+    assert time.process_time() - start < 20
+
+
 def test_redaction(clash):
     done = secret_scan.redact(clash)
     assert done.columns == clash.columns and done.count() == len(AWKWARD)
