@@ -34,13 +34,18 @@ TRAIN_PAGES = 150
 
 # Element names of HTML by how they are laid out.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object xmp noembed noframes".split())
+#: Their contents are no markup. Scripts, styles and titles are no page text; the others' contents are text as it stands.
+RAW = frozenset("script style title textarea xmp".split())
+NO_TEXT = frozenset("script style title".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img "
+    "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd maction "
+    "semantics annotation annotation-xml "
+    "svg g defs symbol use path rect circle ellipse line polyline polygon text tspan textpath lineargradient radialgradient stop clippath mask marker pattern filter desc foreignobject".split()
 )
 #: An open element of the key is closed by a start of one of these, up to the nearest of the stops.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
-STOPS = {"ul", "ol", "dl", "table", "body", "article", "div", "section"}
+STOPS = {"ul", "ol", "dl", "table", "body", "article", "div", "section", "object", "template", "select", "noscript", "iframe", "noembed", "noframes", *RAW}
 
 BOILERPLATE_TAGS = frozenset("nav header footer aside form button menu dialog figure".split())
 BOILERPLATE_WORDS = frozenset(
@@ -49,10 +54,11 @@ BOILERPLATE_WORDS = frozenset(
 )
 ARTICLE_TAGS = frozenset(("article", "main"))
 
-# Quoted values are looked at for 2,000 characters, so that stray quotes cost no second look at the whole page.
+# Quoted values are read to their closing quote. A quote swaps "outside" with "inside" of its kind, so at any place at most three of the
+# tags tried before it are still being read, each in another state: stray quotes cost no more looks than that.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/><]*)((?:[^<>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}')*+|[^<>]*)>|[^<]+|<",
+    r"|<(/?)([A-Za-z][^\s/><]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^<>]*+)>|[^<]+|<",
     re.S,
 )
 _ATTR = re.compile(r"(class|id|role|itemprop|data-part)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -78,6 +84,7 @@ def parse(source: str) -> Page:
     stack = [0]
     run: list[str] = []
     linked, links = 0, 0
+    unclosed: set[str] = set()  # raw elements without an end tag from here on
 
     def flush() -> None:
         nonlocal linked
@@ -112,10 +119,13 @@ def parse(source: str) -> Page:
                         links = 0
                         break
             continue
-        if tag in RAW:
-            if not m[3].endswith("/") or tag not in ("svg", "math"):
-                stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = stop.end() if stop else size
+        stop = None
+        if tag in RAW and tag not in unclosed:
+            stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(source, at)
+            if stop is None:  # read on as in any element
+                unclosed.add(tag)
+        if stop and tag in NO_TEXT:
+            at = stop.end()
             if tag not in ("script", "style"):
                 run.append(" ")
             continue
@@ -150,6 +160,10 @@ def parse(source: str) -> Page:
         page.parents.append(stack[-1])
         page.marks.append(mark)
         stack.append(len(page.tags) - 1)
+        if stop:
+            content = source[at : stop.start()]
+            run.append(html.escape(content) if tag == "xmp" else content)
+            at = stop.start()
     flush()
     return page
 

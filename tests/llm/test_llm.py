@@ -400,6 +400,41 @@ def test_main_text_of_unseen_layouts(pages):
     assert wrong <= 0.02 * total
 
 
+def test_main_text_drops_no_element(pages):
+    texts = lambda source: [t for _, t, _ in html_text.parse(source).blocks]
+    for tag in "noscript template select object math svg xmp textarea iframe noembed noframes script style title".split():
+        start = f"<{tag} data='x'/>" if tag == "object" else f"<{tag}>"
+        assert "the article" in texts(f"<p>before</p>{start}<article><p>the article</p></article>"), tag
+        if tag not in ("script", "style", "title"):
+            assert "inside" in " ".join(texts(f"<article><p>a</p><{tag}>inside</{tag}><p>b</p></article>")), tag
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["so x=1 holds"]
+    assert texts("<xmp>if a < b && c: <b>&lt;</b></xmp><p>b") == ["if a < b && c: <b>&lt;</b>", "b"]
+    assert texts("<script>a<p>b</script><style>c</style><title>d</title><p>e") == ["e"]
+    source = next(r.html for r in pages.collect() if "<article>" in r.html)
+    model = html_text.fit(pages)
+    want = model.texts([html_text.parse(source)])[0]
+    for start in ("<noscript>", "<select>", "<object data='x'/>"):
+        assert len(model.texts([html_text.parse(source.replace("<article>", start + "<article>"))])[0]) > 0.9 * len(want) > 0, start
+
+
+@pytest.mark.parametrize("size", [100, 2001, 100_000])
+def test_quoted_values_of_any_length(size):
+    for quote in "\"'":
+        value = "a > b <b> " + "x" * size + " <p> c > d"
+        page = html_text.parse(f"<p data-x={quote}{value}{quote} class='y'>text</p>")
+        assert [t for _, t, _ in page.blocks] == ["text"] and page.words[1] == ["y"]
+
+
+def test_parse_is_linear():
+    import time
+
+    start = time.process_time()
+    for junk in ("<b '", "<b \"", "<b '\"", "<a \"<a '", "<script>", "<xmp>", "<b" + "'\" ", "<p x='\"<p y=\"'"):
+        html_text.parse(junk * 30_000)
+    html_text.parse("<" + "a" * 200_000 + "<b x='" + "y" * 200_000)
+    assert time.process_time() - start < 20
+
+
 def test_main_text_awkward(spark, pages):
     rows = [(1, None), (2, ""), (3, "just text &amp; more"), (4, "<div>" * 5000 + "deep words here, and there."), (5, "<p>a<p>b &lt;c&gt;<script>x</script>"), (5, "<p>a<p>b &lt;c&gt;<script>x</script>"), (None, "<b '<b '")]
     frame = spark.createDataFrame(rows, "page_id long, html string").withColumns({"text": F.lit(1), "row": F.lit(2)})
