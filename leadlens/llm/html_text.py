@@ -5,7 +5,7 @@ its siblings, and the learned weights of its tag and of the words of its class,
 log-odds of being part of the article; decoding picks the set of nodes with the largest total in which every kept
 node's ancestors are kept as well. The text of kept nodes, block by block, is the result.
 
-The model is fitted on the driver on a bounded sample (``TRAIN_PAGES`` pages drawn by hash). Their own markup labels them
+The model is fitted on the driver on a bounded sample (``TRAIN_PAGES`` distinct pages drawn by hash). Their own markup labels them
 weakly (article against navigation, footers and the like), and layouts made from their texts add what the sample may lack: pages without
 an article element, sidebars, notices, forms, comments.
 
@@ -346,12 +346,13 @@ def fit_on(sources: list[str], layouts: int = 3, seed: int = 7) -> Model:
 
 
 def fit(pages: DataFrame, source: str = "html", sample: int = TRAIN_PAGES) -> Model:
-    """A model from about ``sample`` pages, drawn by a hash of their source; no more reach the driver."""
-    some = pages.select(F.col(source).alias("source")).where("length(source) > 0")
-    count = some.count()
-    if count > sample:
-        some = some.where(F.pmod(F.xxhash64("source"), F.lit(1_000_000)) < max(1, int(1_500_000 * sample / count)))
-    return fit_on(sorted(r["source"] for r in some.limit(sample).collect()))
+    """A model from the ``sample`` distinct pages with the least hash of their source, or all if there are fewer."""
+    some = pages.select(F.col(source).alias("source")).where("length(source) > 0").withColumn("hash", F.xxhash64("source"))
+    drawn = [r["hash"] for r in some.select("hash").distinct().orderBy("hash").limit(sample).collect()]
+    if not drawn:
+        return fit_on([])
+    # Only the drawn pages are dealt out, each task's copies once.
+    return fit_on(sorted(r["source"] for r in some.where(F.col("hash").isin(drawn)).dropDuplicates(["hash"]).collect()))
 
 
 def extract(pages: DataFrame, model: Model, source: str = "html", group: int = 128) -> DataFrame:

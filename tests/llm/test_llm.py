@@ -417,6 +417,19 @@ def test_main_text_drops_no_element(pages):
         assert len(model.texts([html_text.parse(source.replace("<article>", start + "<article>"))])[0]) > 0.9 * len(want) > 0, start
 
 
+def test_main_text_sample_of_copies(spark, pages, monkeypatch):
+    got = []
+    monkeypatch.setattr(html_text, "fit_on", got.append)
+    few = pages.select("html").dropDuplicates(["html"]).orderBy("html").limit(3)
+    few = spark.createDataFrame(few.collect(), few.schema)
+    copied = few.crossJoin(spark.range(4000)).select("html")  # each of the 3 was drawn with a chance of 225 in 12,000
+    hot = few.limit(1).crossJoin(spark.range(2000)).select("html").union(pages.crossJoin(spark.range(10)).select(F.concat("html", F.col("id").cast("string"))))
+    for frame in (copied, hot, copied.limit(0)):
+        html_text.fit(frame)
+    want = sorted({r.html for r in few.collect()})
+    assert got[0] == want and len(got[1]) == len(set(got[1])) == html_text.TRAIN_PAGES and got[2] == []
+
+
 @pytest.mark.parametrize("size", [100, 2001, 100_000])
 def test_quoted_values_of_any_length(size):
     for quote in "\"'":
