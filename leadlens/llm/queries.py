@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import html_text, katz, merkle, mixing, packing, quality, secret_scan, simhash, urls, warc
+from . import fim, html_text, katz, merkle, mixing, packing, quality, secret_scan, simhash, urls, warc
 from .common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def digest(value):
+        return F.sha2(value.cast("binary"), 256)
+
+    return made.select(
+        "row.doc_id",
+        F.col("units").alias("n"),
+        "form",
+        F.length("prefix").cast("long").alias("prefix_chars"),
+        F.length("middle").cast("long").alias("middle_chars"),
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restore(F.col("form"), F.col("output"))).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -115,6 +132,7 @@ REGISTRY: dict[str, Run] = {
         op8_merkle_fingerprints,
         op9_warc_bundles,
         op10_url_filter,
+        op11_fill_in_middle,
         pipeline,
     )
 }
@@ -122,4 +140,28 @@ REGISTRY: dict[str, Run] = {
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: DuckDB statements, where SQL can express the whole result. The other queries are tested against brute force in tests/llm.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_fill_in_middle": r"""
+    WITH source AS (
+        SELECT doc_id, coalesce(text, '') AS value, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+            regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+        FROM documents
+    ), drawn AS (
+        SELECT *, len(units) AS n, ('0x' || digest[1:8])::BIGINT % (len(units) + 1) AS one, ('0x' || digest[9:16])::BIGINT % (len(units) + 1) AS two,
+            CASE WHEN value = '' OR contains(value, '<P>') OR contains(value, '<S>') OR contains(value, '<M>') OR ('0x' || digest[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+                WHEN ('0x' || digest[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM source
+    ), pieces AS (
+        SELECT *, array_to_string(units[1:least(one, two)], '') AS prefix,
+            array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle, array_to_string(units[greatest(one, two) + 1:], '') AS suffix
+        FROM drawn
+    )
+    SELECT doc_id, n, form,
+        CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN value WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(CASE form WHEN 'plain' THEN value ELSE prefix || middle || suffix END) AS restored_sha256
+    FROM pieces
+    """,
+}
