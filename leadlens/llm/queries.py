@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import fim, html_text, katz, merkle, mixing, packing, quality, secret_scan, simhash, urls, warc
+from . import balltree, fim, html_text, katz, merkle, mixing, packing, quality, secret_scan, simhash, urls, warc
 from .common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -133,6 +137,7 @@ REGISTRY: dict[str, Run] = {
         op9_warc_bundles,
         op10_url_filter,
         op11_fill_in_middle,
+        op12_ball_tree_search,
         pipeline,
     )
 }
@@ -164,4 +169,25 @@ SQL: dict[str, str] = {
         sha256(CASE form WHEN 'plain' THEN value ELSE prefix || middle || suffix END) AS restored_sha256
     FROM pieces
     """,
+    "op12_ball_tree_search": r"""
+    WITH terms AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+    ), asked AS (
+        SELECT item_id, term, count(*) AS repeats FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+    ), lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+    total AS (SELECT count(*) AS N_docs, sum(n)::BIGINT AS L FROM lengths),
+    counts AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(N_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, total GROUP BY term
+    ), scores AS (
+        SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * N_docs) // L)))))::BIGINT AS score
+        FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (doc_id), total GROUP BY ALL
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
