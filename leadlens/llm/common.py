@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -35,3 +37,14 @@ def packed(df: DataFrame) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def stage_free(df: DataFrame, name: str) -> DataFrame:
+    """``stage``, and the shuffle files of the write are removed when it ends: what is read later is the written table."""
+    conf, setting = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(setting, None)
+    conf.set(setting, "true")
+    try:
+        return stage(df, name)
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)

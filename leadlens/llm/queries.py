@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import balltree, fim, html_text, katz, merkle, mixing, packing, quality, secret_scan, simhash, urls, warc
+from . import balltree, fim, html_text, katz, merkle, mixing, packing, quality, secret_scan, simhash, suffix_dedup, urls, warc
 from .common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,11 @@ def op12_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -138,6 +143,7 @@ REGISTRY: dict[str, Run] = {
         op10_url_filter,
         op11_fill_in_middle,
         op12_ball_tree_search,
+        op13_suffix_dedup,
         pipeline,
     )
 }
