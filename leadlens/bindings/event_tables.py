@@ -290,14 +290,22 @@ class EventRoles:
 
     @cached_property
     def app_profiles(self) -> DataFrame:
-        role = by_type("guest", click="owner", view="Manager", purchase="MANAGER_PLUS", error="Technician")
-        return self.events.filter("value > 100").selectExpr(
+        role = "element_at(array('owner', 'Manager', 'MANAGER_PLUS', 'Technician', 'guest'), CAST(user_id % 5 + 1 AS INT))"
+        return self.events.selectExpr(
             "CAST(user_id AS STRING) AS device_id",
             f"{CSP} AS csp_id",
             f"{role} AS role",
             "CASE WHEN value < 200 THEN value > 180 END AS deleted",
         )
 
+    @cached_property
+    def hourly(self) -> DataFrame:
+        """Values of an hour as its rain, the mean k as its cloud; each subject is a site."""
+        hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+        return self.events.groupBy(F.col("user_id").alias("site"), hour.alias("ts")).agg(
+            (F.sum(F.floor("value")) / F.lit(16.0)).alias("precip"), (F.sum("k") / F.count(F.lit(1))).alias("cloud")
+        )
+
     @cached_property
     def cities(self) -> DataFrame:
         nation = self.table("nation", F.col("n_nationkey").alias("c_nationkey"), "n_name")

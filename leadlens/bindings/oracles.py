@@ -264,9 +264,9 @@ CTES = {
     CASE WHEN value >= 50 THEN value > 150 END AS deleted, ts + to_hours(c) AS synced
   FROM ev, (VALUES (1), (2)) AS copies(c) WHERE event_type IN ('click', 'signup') AND (c = 1 OR value < 20)""",
     "app_profiles": """SELECT CAST(user_id AS VARCHAR) AS device_id, 'e' || num AS csp_id,
-    CASE event_type WHEN 'click' THEN 'owner' WHEN 'view' THEN 'Manager' WHEN 'purchase' THEN 'MANAGER_PLUS'
-      WHEN 'error' THEN 'Technician' ELSE 'guest' END AS role,
-    CASE WHEN value < 200 THEN value > 180 END AS deleted FROM ev WHERE value > 100""",
+    CASE user_id % 5 WHEN 0 THEN 'owner' WHEN 1 THEN 'Manager' WHEN 2 THEN 'MANAGER_PLUS'
+      WHEN 3 THEN 'Technician' ELSE 'guest' END AS role,
+    CASE WHEN value < 200 THEN value > 180 END AS deleted FROM ev""",
     # ---- people ---------------------------------------------------------------------------
     "opted": """SELECT partner_id AS pid, min(first_opted_at) AS first_opted_at FROM optins
   WHERE program = 'MG' AND first_opted_at IS NOT NULL GROUP BY 1""",

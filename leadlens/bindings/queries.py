@@ -664,14 +664,14 @@ def _v1_rates(counts) -> str:
     return ", ".join(f"{O.pct(c, 'received', '0.0')} AS {c}_pct" for c in counts)
 
 
-@register(
-    "funnel_pre_post_rates",
-    f"""SELECT f.*, {", ".join(f"CAST({O.half_up(c, str(CONFIG.n_days), 0)} AS BIGINT) AS {c}_d"
+_PRE_POST_RATES = f"""SELECT f.*, {", ".join(f"CAST({O.half_up(c, str(CONFIG.n_days), 0)} AS BIGINT) AS {c}_d"
                                for c in ("received", "slot", "confirm", "install", "assign"))},
   {_v1_rates(("slot", "confirm", "assign", "install"))}, {O.pct('install', 'confirm', '0.0')} AS install_ratio,
   {O.half_up('received', f'{CONFIG.n_days} * (SELECT count(*) FROM enrolled)', 2)} AS per_entity_d
-FROM ({_PRE_POST}) f""",
-)
+FROM ({_PRE_POST}) f"""
+
+
+@register("funnel_pre_post_rates", _PRE_POST_RATES)
 def _(r):
     t = r
     ids = stage(R.enrolled(t, CONFIG), "enrolled")
@@ -679,14 +679,14 @@ def _(r):
     return P.rates_v1(block, CONFIG.n_days, ids.agg(F.count(F.lit(1)).alias("entities")))
 
 
-@register(
-    "decline_rate",
-    f"""SELECT period, coh, count(*) AS offers, {O.cnt("current_state = 'DECLINED'", 'declined')},
+_DECLINES = f"""SELECT period, coh, count(*) AS offers, {O.cnt("current_state = 'DECLINED'", 'declined')},
   {O.pct("count(*) FILTER (WHERE current_state = 'DECLINED')", 'count(*)', '0.0')} AS decline_pct
 FROM (SELECT {O.fixed_period('CAST(c.created_at AS DATE)')} AS period, c.current_state,
     CASE WHEN csp.partner_id IN (SELECT pid FROM enrolled) THEN 'E' ELSE 'N' END AS coh
-  FROM candidates c JOIN csp USING (csp_id) WHERE c.etl_current) WHERE period IS NOT NULL GROUP BY 1, 2""",
-)
+  FROM candidates c JOIN csp USING (csp_id) WHERE c.etl_current) WHERE period IS NOT NULL GROUP BY 1, 2"""
+
+
+@register("decline_rate", _DECLINES)
 def _(r):
     t = r
     return I.decline_rate(t, R.enrolled(t, CONFIG), CONFIG)
@@ -992,6 +992,114 @@ def _(r):
     return P.class_panel(block, found, "mgp", CLASS_LABELS)
 
 
+_HOURLY_SQL = """(SELECT user_id AS site, date_trunc('hour', ts) AS ts, sum(floor(value)) / 16.0 AS precip,
+  sum(k) / count(*) AS cloud FROM ev GROUP BY 1, 2)"""
+
+
+# ---- panels of the whole document, each built from its section alone ----
+
+
+def _section(r, name: str):
+    return DOC.sections(r, CONFIG, "%nation_1%")[name]()
+
+
+_DAYS_MG = "SELECT {0} AS key, CAST(sum(days) AS BIGINT) AS entity_days, count(*) AS entities FROM {1} WHERE days >= 1 GROUP BY 1"
+_ACTUAL = ", ".join(f"('{k}', '{CLASS_LABELS[k]}')" for k in DOC.ACTUAL)
+
+
+def _mg_cut(src: str) -> str:
+    return f"SELECT key, period, {O.MEASURES} FROM {src} WHERE dim = 'mg'"
+
+
+def _cohorts_sql(cuts: str, classes: str) -> str:
+    return f"""SELECT key, period, entity_days, entities, {O.MEASURES}, {O.RATES}, {O.PER_DAY},
+  CASE WHEN key = 'N' THEN {CONFIG.n_days} END AS non_days
+FROM (SELECT period, key, {O.MEASURES} FROM {cuts} WHERE dim IN ('coh', 'flow')) LEFT JOIN (
+  SELECT 'E' AS key, CAST(sum(days) AS BIGINT) AS entity_days, count(*) AS entities FROM roster WHERE days >= 1
+  UNION ALL {_DAYS_BY.format('flow', 'roster')}) dd USING (key)"""
+
+
+@register(
+    "class_panel",
+    _panel_sql(f"(VALUES {_ACTUAL}) AS lab(key, label)", _mg_cut("cut2"), _DAYS_MG.format("mg", "cls"), "key, label"),
+)
+def _(r):
+    return _section(r, "booking_classes")
+
+
+@register(
+    "class_panel_entity",
+    _panel_sql(f"(VALUES {_ACTUAL}) AS lab(key, label)", _mg_cut("cuts_e"), _DAYS_MG.format("mg", "cls"), "key, label"),
+)
+def _(r):
+    return _section(r, "entity_classes")
+
+
+@register("rate_panel_entity", _cohorts_sql("cuts_e", "cls"))
+def _(r):
+    return _section(r, "entity_cohorts")
+
+
+@register("rate_panel_filtered", _cohorts_sql(f"({O.cuts('base2g', O.RULES_BOOKING, where=O.NO_GH)})", "cls_gh"))
+def _(r):
+    return _section(r, "booking_cohorts_noflow")
+
+
+@register(
+    "class_panel_entity_filtered",
+    _panel_sql(
+        f"(VALUES {_ACTUAL}) AS lab(key, label)",
+        _mg_cut(f"({O.cuts('ebaseg', O.RULES_ENTITY, where=O.NO_GH)})"),
+        _DAYS_MG.format("mg", "cls_gh"),
+        "key, label",
+    ),
+)
+def _(r):
+    return _section(r, "entity_classes_noflow")
+
+
+@register(
+    "document_summary",
+    f"""SELECT CAST(NULL AS TIMESTAMP) AS generated, DATE '{CONFIG.as_of}' AS as_of, DATE '{CONFIG.launch}' AS launch,
+  DATE '{CONFIG.launch}' - (CAST(coalesce(max(days), 1) AS INTEGER) + 1) AS date_from, count(*) AS enrolled,
+  count(screen) AS targeted, true AS anchored, {CONFIG.gate_percent} AS gate_percent, {CONFIG.early_days} AS early_days,
+  {CONFIG.month_remaining} AS month_remaining, {CONFIG.n_days} AS non_days FROM roster WHERE days >= 1""",
+)
+def _(r):
+    return _section(r, "summary")
+
+
+@register(
+    "document_weather",
+    f"""SELECT site, day, day_rain, night_rain, day_cloud, CASE WHEN day_rain >= 15 THEN 'storm' WHEN day_rain >= 2.5 THEN 'rain'
+  WHEN day_rain >= 0.3 THEN 'showers' WHEN night_rain >= 1 THEN 'wet_night' WHEN day_cloud >= 70 THEN 'cloudy'
+  ELSE 'clear' END AS weather
+FROM (SELECT site, day, day_rain, coalesce(day_cloud, 0.0) AS day_cloud,
+    coalesce(lag(late) OVER (PARTITION BY site ORDER BY day), 0) + early AS night_rain
+  FROM (SELECT site, CAST(ts AS DATE) AS day, coalesce(sum(precip) FILTER (WHERE hour(ts) BETWEEN 9 AND 18), 0) AS day_rain,
+      coalesce(sum(precip) FILTER (WHERE hour(ts) >= 21), 0) AS late, coalesce(sum(precip) FILTER (WHERE hour(ts) <= 6), 0) AS early,
+      round(avg(cloud) FILTER (WHERE hour(ts) BETWEEN 9 AND 18), 6) AS day_cloud FROM {_HOURLY_SQL}
+    WHERE CAST(ts AS DATE) BETWEEN (SELECT min(d) FROM days_panel) - 1 AND DATE '{CONFIG.today}' GROUP BY 1, 2))""",
+)
+def _(r):
+    return _section(r, "weather").withColumn("day_cloud", F.round("day_cloud", 6))
+
+
+@register(
+    "fixed_window_summary",
+    f"""SELECT {CONFIG.n_days} AS n_days, DATE '{CONFIG.pre_start}' AS pre_start, DATE '{CONFIG.pre_end}' AS pre_end,
+  DATE '{CONFIG.launch}' AS post_start, DATE '{CONFIG.as_of}' AS post_end, DATE '{CONFIG.month_start}' AS month_start,
+  count(*) AS entities FROM enrolled""",
+)
+def _(r):
+    return DOC.fixed_window_sections(r, CONFIG)["summary"]()
+
+
+@register("pre_post_block", f"SELECT f.*, offers AS decline_offers, declined AS decline_count, decline_pct FROM ({_PRE_POST_RATES}) f LEFT JOIN ({_DECLINES}) d USING (period, coh)")
+def _(r):
+    return DOC.fixed_window_sections(r, CONFIG)["pre_post"]()
+
+
 # ---- cells ----
 
 
@@ -1054,15 +1162,6 @@ def _(r):
 
 # ---- weather ----
 
-_HOURLY_SQL = """(SELECT user_id AS site, date_trunc('hour', ts) AS ts, sum(floor(value)) / 16.0 AS precip,
-  sum(k) / count(*) AS cloud FROM ev GROUP BY 1, 2)"""
-
-
-def _hourly(r):
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    return r.events.groupBy(F.col("user_id").alias("site"), hour.alias("ts")).agg(
-        (F.sum(F.floor("value")) / F.lit(16.0)).alias("precip"), (F.sum("k") / F.count(F.lit(1))).alias("cloud")
-    )
 
 
 @register(
@@ -1077,7 +1176,7 @@ FROM (SELECT site, day, day_rain, coalesce(day_cloud, 0.0) AS day_cloud,
       round(avg(cloud) FILTER (WHERE hour(ts) BETWEEN 9 AND 18), 6) AS day_cloud FROM {_HOURLY_SQL} GROUP BY 1, 2))""",
 )
 def _(r):
-    return daily_weather(_hourly(r), ["site"]).withColumn("day_cloud", F.round("day_cloud", 6))
+    return daily_weather(r.hourly, ["site"]).withColumn("day_cloud", F.round("day_cloud", 6))
 
 
 # ---- journeys ----
@@ -1166,7 +1265,7 @@ def _(r):
 def _(r):
     """Parallel arrays per site and day (at most 24 entries each), written as JSON and read back."""
     path = fresh_path(r.spark, "hourly")
-    arrays = _hourly(r).groupBy("site", F.to_date("ts").alias("day")).agg(
+    arrays = r.hourly.groupBy("site", F.to_date("ts").alias("day")).agg(
         F.sort_array(F.collect_list(F.struct("ts", "precip", "cloud"))).alias("h")
     )
     hourly = F.struct(

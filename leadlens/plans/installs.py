@@ -48,6 +48,12 @@ def decline_rate(t: Tables, roster_ids: DataFrame, cfg: FunnelConfig) -> DataFra
     return out.withColumn("decline_pct", pct("declined", "offers", zero_den=0.0))
 
 
+def with_declines(block: DataFrame, declines: DataFrame) -> DataFrame:
+    """PRE/POST blocks with the declines of the same period and cohort; NULL where no lead was offered."""
+    found = declines.select("period", "coh", F.col("offers").alias("decline_offers"), F.col("declined").alias("decline_count"), "decline_pct")
+    return block.join(found, ["period", "coh"], "left")
+
+
 def _first_installs(t: Tables, cfg: FunnelConfig, date_from: dt.date) -> DataFrame:
     """First completion per connection, in local time, from ``date_from`` on."""
     done = live(t.candidates, "etl_current", "current").filter(F.col("installation_completed_at").isNotNull())

@@ -33,6 +33,7 @@ class Tables:
     screen_log      pid, screen, flow, ts
     cohorts         pid, flow
     profiles        identity, screen, events (map)
+    hourly          ts (local hour), precip, cloud; site where there are several
     """
 
     bookings: DataFrame | None = None
@@ -55,3 +56,4 @@ class Tables:
     screen_log: DataFrame | None = None
     cohorts: DataFrame | None = None
     profiles: DataFrame | None = None
+    hourly: DataFrame | None = None

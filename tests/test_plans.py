@@ -224,9 +224,42 @@ def test_dashboard_panels(spark):
     assert panels["targeted"].count() == 1
 
 
+def test_a_failing_section_leaves_the_others(spark, tmp_path):
+    t = EventRoles(spark, SMALL)
+    broken = F.raise_error(F.lit("no app events")).cast("string")
+    t.__dict__["app_events"] = t.app_events.withColumn("device_id", broken)
+    every = DOC.sections(t, CONFIG, "%nation_1%", D(2024, 1, 28, 6))
+    wanted = ("summary", "app_opens", "app_opens_total", "non_enrolled", "weather", "daily", "class_counts")
+    out = str(tmp_path / "document")
+    publish_json({name: every[name] for name in wanted}, out, require=["summary"])
+    noted = spark.read.json(f"{out}/versions").first().failed
+    assert sorted(n.partition(":")[0] for n in noted) == ["app_opens", "app_opens_total"]
+    now = published(spark, out)
+    row = spark.read.json(f"{now}/summary").first()
+    assert (row.generated[:10], row.as_of, row.gate_percent, row.month_remaining) == ("2024-01-28", str(CONFIG.as_of), 60, 4)
+    days = [r.d for r in spark.read.json(f"{now}/daily").collect()]
+    shown = {r.day for r in spark.read.json(f"{now}/weather").collect()}
+    assert min(shown) >= str(dt.date.fromisoformat(min(days)) - dt.timedelta(days=1)) and max(shown) <= str(CONFIG.today)
+    with pytest.raises(Exception, match="no app events"):
+        publish_json({name: every[name] for name in wanted}, out, require=["app_opens"])
+    assert published(spark, out) == now
+
+
+def test_weather_is_optional_and_of_one_site(spark, frame):
+    t = EventRoles(spark, SMALL)
+    t.__dict__["hourly"] = None
+    assert "weather" not in DOC.sections(t, CONFIG)
+    hours = [(D(2024, 1, day, hour), 0.5, 90.0) for day in range(9, 14) for hour in (3, 12, 22)]
+    hourly = frame(hours, "ts timestamp_ntz, precip double, cloud double")
+    daily = frame([(dt.date(2024, 1, 12),), (dt.date(2024, 1, 11),)], "d date")
+    got = DOC.weather_panel(hourly, daily, CONFIG, dt.date(2024, 1, 5))
+    # The tenth starts the series: the rain of the evening before it is not read.
+    assert values(got, "day", "night_rain") == [(dt.date(2024, 1, 10), 0.5), *[(dt.date(2024, 1, k), 1.0) for k in (11, 12, 13)]]
+
+
 def test_fixed_window_document(spark):
     panels = DOC.fixed_window_document(EventRoles(spark, SMALL), CONFIG)
-    assert set(panels) == {"pre_post", "declines", "installs_daily", "installs_hourly", "bookings_daily", "daily", "daily_non", "lag_cohorts"}
+    assert set(panels) == {"summary", "pre_post", "declines", "installs_daily", "installs_hourly", "bookings_daily", "daily", "daily_non", "lag_cohorts"}
     assert panels["pre_post"].count() > 0 and panels["lag_cohorts"].count() <= 5
 
 
