@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..config import ANSWER_LABELS, CLASS_LABELS, FunnelConfig
 from ..operators.aggregates import complement_count
 from ..operators.joins import lookup
-from ..session import stage
+from ..session import stage, staging
+from ..sources.publish import publish_json
 from . import classes as C
 from . import engagement as E
 from . import funnel as P
@@ -187,6 +188,19 @@ def dashboard(t: Tables, cfg: FunnelConfig, city_pattern: str = "%delhi%", gener
     return {name: build() for name, build in sections(t, cfg, city_pattern, generated).items()}
 
 
+#: Without this panel nothing is published.
+MAIN_PANEL = "booking_cohorts"
+
+
+def refresh(t: Tables, cfg: FunnelConfig, path: str, city_pattern: str = "%delhi%", generated: dt.datetime | None = None) -> list[str]:
+    """One refresh: publishes the sections as a new version below ``path`` and removes what was staged for it.
+
+    The main panel must be there and have rows, else the version before stays; any other section may fail.
+    """
+    with staging(t.bookings.sparkSession):
+        return publish_json(sections(t, cfg, city_pattern, generated), path, require=[MAIN_PANEL])
+
+
 def fixed_window_sections(t: Tables, cfg: FunnelConfig) -> dict[str, Section]:
     """The fixed-window funnel: PRE/POST blocks with declines, installs, daily trends and lag cohorts, and the windows."""
     ids = staged(lambda: enrolled(t, cfg), "enrolled")

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folder of the staging block that is open, if any.
+_BLOCK: ContextVar[str | None] = ContextVar("leadlens_staging", default=None)
+
 
 def build_session(app: str = "leadlens", master: str | None = None, **conf) -> SparkSession:
     """A session with UTC time and adaptive skew handling; ``conf`` keys use ``__`` for dots."""
@@ -42,7 +48,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/leadlens/{uuid.uuid4().hex}/{name}"
+    return f"{_BLOCK.get() or f'{shared_dir(spark)}/leadlens'}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside the block share one folder, which is removed when the block ends, also by an error.
+
+    Use their results inside the block, or publish them there. What is staged outside any block stays until the caller clears the
+    shared folder.
+    """
+    folder = f"{_BLOCK.get() or f'{shared_dir(spark)}/leadlens'}/block-{uuid.uuid4().hex}"
+    outer = _BLOCK.set(folder)
+    try:
+        yield folder
+    finally:
+        _BLOCK.reset(outer)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

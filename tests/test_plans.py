@@ -16,7 +16,7 @@ from leadlens.plans import roster as R
 from leadlens.plans.journey import collect_journey
 from leadlens.plans.tables import Tables
 from leadlens.plans.weather import daily_weather
-from leadlens.session import shared_dir, stage
+from leadlens.session import shared_dir, stage, staging
 from leadlens.sources import publish_json, published, read_cohorts, read_hourly, read_profiles
 from leadlens.sources.publish import EmptyPanel
 
@@ -245,6 +245,39 @@ def test_a_failing_section_leaves_the_others(spark, tmp_path):
     assert published(spark, out) == now
 
 
+def test_refresh_publishes_and_clears_what_it_staged(spark, tmp_path):
+    import os
+
+    def staged_blocks():
+        folder = f"{shared_dir(spark)}/leadlens"
+        return {name for name in os.listdir(folder) if name.startswith("block-")} if os.path.isdir(folder) else set()
+
+    out = str(tmp_path / "document")
+    written = DOC.refresh(EventRoles(spark, SMALL), CONFIG, out, "%nation_1%")
+    now = published(spark, out)
+    assert len(written) >= 30 and f"{now}/{DOC.MAIN_PANEL}" in written
+    assert spark.read.json(f"{out}/versions").first().failed == []
+    assert staged_blocks() == set()
+    nobody = CONFIG.with_(program="none")  # no one is enrolled, and no request is early enough for the main panel
+    t = EventRoles(spark, SMALL)
+    t.__dict__["bookings"] = t.bookings.limit(0)
+    with pytest.raises(EmptyPanel):
+        DOC.refresh(t, nobody, out)
+    assert published(spark, out) == now and staged_blocks() == set()
+
+
+def test_staging_blocks_nest(spark):
+    import os
+
+    with staging(spark) as outer:
+        kept = stage(spark.range(3), "outer")
+        with staging(spark) as inner:
+            assert inner.startswith(outer) and stage(spark.range(4), "inner").inputFiles()[0].removeprefix("file://").startswith(inner.removeprefix("file://"))
+        assert kept.count() == 3 and not os.path.exists(inner)
+    assert not os.path.exists(outer)
+    assert "block-" not in stage(spark.range(2), "after").inputFiles()[0]
+
+
 def test_weather_is_optional_and_of_one_site(spark, frame):
     t = EventRoles(spark, SMALL)
     t.__dict__["hourly"] = None
