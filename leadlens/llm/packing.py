@@ -6,7 +6,7 @@ one bitset a step, finds the multiset that comes closest to the capacity, and th
 best window still misses more than ``MOST_SLACK`` tokens, a remainder is cut to fill it. At the end of a task the rest that
 fills no window is cut into sequences whose lengths are powers of two, which need no padding.
 
-Memory is bounded by the pool (``POOL`` remainders of less than a window each), the cache of word ids (``CACHE`` words) and
+Memory is bounded by the pool (``POOL`` remainders of less than a window each), the cache of ids (``CACHE`` words and pieces) and
 one document. Null and empty texts are one piece, the end id alone. Repeated rows are packed once for each row. A retried
 task makes the same sequences from the same rows; extra columns are not carried.
 """
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 CAPACITY = 4096
 END_ID = 2
 POOL = 256
-CACHE = 600_000
+CACHE = 800_000
+#: Pieces that go through the tokenizer in one call.
+TOGETHER = 200
 MOST_SLACK = 4
 #: Documents encoded together.
 GROUP = 64
@@ -51,66 +53,84 @@ def cut_word(word: bytes) -> list[bytes]:
     return [x.encode() for x in m.groups() if x] if m and m[1].isalpha() and m[1].lower().isalpha() else []
 
 
+class Known(dict):
+    """Ids by word; words that are asked for and not there are noted as ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: set[bytes] = set()
+
+    def __missing__(self, word: bytes) -> None:
+        self.new.add(word)
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space and case.
 
-    Such a tokenizer never joins across white space, so it sees each distinct word once while that is in the cache; ASCII
-    words are cut into its pieces first, and many pieces go through it in one call, told apart by their word ends.
+    Such a tokenizer never joins across white space, so it sees each distinct word once while that is in the cache; words
+    are cut into its pieces first, and many pieces go through it in one call, told apart by their word ends. A piece of
+    letters a-z is one piece to the tokenizer as well, so these go through its model without its patterns.
     """
 
     def __init__(self, tokenizer_json: str, most: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.letters = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        for tokenizer in (self.tokenizer, self.letters):
+            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.known = Known()
         self.most = most
 
-    def _alone(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+    def _alone(self, words: list[bytes]) -> None:
         for first in range(0, len(words), 2000):
             part = words[first : first + 2000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                into[w] = np.array(e.ids, "<u4").tobytes()
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
 
-    def _together(self, pieces: list[bytes]) -> None:
-        for first in range(0, len(pieces), 4000):
-            part = pieces[first : first + 4000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+    def _together(self, tokenizer, pieces: list[bytes]) -> None:
+        for first in range(0, len(pieces), TOGETHER):
+            part = pieces[first : first + TOGETHER]
+            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) != len(part):  # not one word end a piece
-                self._alone(part, self.pieces)
+                self._alone(part)
                 continue
-            data, at = ids.tobytes(), 0
-            for piece, stop in zip(part, stops):
-                self.pieces[piece] = data[at:stop]
-                at = stop
-
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.words)
-        if not new:
-            return
-        if len(self.words) + len(new) > self.most:
-            self.words.clear()
-            new = words
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        cut = {w: ps for w in new if (ps := cut_word(w))}
-        self._together(sorted({p for ps in cut.values() for p in ps}.difference(self.pieces)))
-        known = self.pieces
+            data = ids.tobytes()
+            self.known.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def learn(self) -> None:
+        """Adds the new words. When the cache is full it starts afresh; what it gave before stays with the caller."""
+        known, new = self.known, self.known.new
+        known.new = set()
+        if len(known) + len(new) > self.most:
+            known.clear()
+        letters = [w for w in new if w.isalpha()]  # of bytes: a-z alone
+        cut = {w: cut_word(w) for w in new if not w.isalpha()}
+        pieces = {p for ps in cut.values() for p in ps if p not in known and not (p in new and p.isalpha())}
+        letters += [p for p in pieces if p.isalpha()]
+        self._together(self.letters, letters)
+        self._together(self.tokenizer, [p for p in pieces if not p.isalpha()])
         for w, ps in cut.items():
-            self.words[w] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
-        self._alone(sorted(w for w in new if w not in cut), self.words)
+            if ps:
+                known[w] = b"".join([known[p] for p in ps])
+        self._alone([w for w, ps in cut.items() if not ps])
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        ids_of = self.known.__getitem__
         split = [text.lower().split() for text in texts]  # A-Z, and at ASCII white space
-        self.learn(set().union(*split))
-        for words in split:
-            yield b"".join(map(self.words.__getitem__, words))
+        found = [list(map(ids_of, words)) for words in split]
+        self.learn()
+        for words, ids in zip(split, found):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                ids[at] = ids_of(words[at])
+            yield b"".join(ids)
 
 
 def encoder_for(tokenizer_json: str) -> Encoder:
