@@ -150,8 +150,71 @@ REGISTRY: dict[str, Run] = {
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+_STOP_WORDS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+
 #: DuckDB statements, where SQL can express the whole result. The other queries are tested against brute force in tests/llm.
 SQL: dict[str, str] = {
+    "op6_quality_rules": rf"""
+    WITH source AS (
+        SELECT doc_id, coalesce(text, '') AS value, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM source),
+    windows AS (
+        SELECT doc_id, i, word || ' ' || lead(word) OVER own || ' ' || lead(word, 2) OVER own AS triple FROM placed WINDOW own AS (PARTITION BY doc_id ORDER BY i)
+    ), twice AS (
+        SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, triple) AS n FROM windows WHERE triple IS NOT NULL) WHERE n > 1
+    ), covered AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (VALUES (0), (1), (2)) AS v(o) GROUP BY doc_id),
+    counted AS (
+        SELECT s.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+            len(regexp_extract_all(value, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+            list_filter(string_split(value, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+            coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(list_filter(words, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop
+        FROM source s LEFT JOIN covered c USING (doc_id)
+    ), judged AS (
+        SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words,
+            list_filter([
+                CASE WHEN n_words < 50 THEN 'length' END,
+                CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 'repeats' END,
+                CASE WHEN word_chars < 1.5 * n_words OR n_words = 0 OR word_chars > 20 * n_words THEN 'long_words' END,
+                CASE WHEN 10 * n_symbols > 3 * n_words THEN 'symbols' END,
+                CASE WHEN 2 * (len(lines) - len(list_distinct(lines))) > len(lines) THEN 'lines' END,
+                CASE WHEN 100 * n_stop < n_words OR n_words = 0 THEN 'stop_words' END
+            ], lambda x: x IS NOT NULL) AS failed
+        FROM counted
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        list_contains(failed, 'length') OR list_contains(failed, 'repeats') AS base_failed, len(failed) = 0 AS kept, array_to_string(failed, ',') AS failed_rules
+    FROM judged
+    """,
+    "op9_warc_bundles": """
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads)
+    SELECT page_id, payload_bytes, sha256(payload) AS payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM firsts
+    """,
+    "op13_suffix_dedup": """
+    WITH source AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, strlen(coalesce(text, ''))::BIGINT AS n_bytes FROM documents),
+    chunks AS (SELECT doc_id, c, substr(digits, 2 * c + 1, 2 * (500 + 99)) AS part, n_bytes FROM source, unnest(range(0, n_bytes, 500)) AS t(c)),
+    windows AS (
+        SELECT doc_id, c + p AS start, md5(substr(part, 2 * p + 1, 200)) AS bytes FROM chunks, unnest(range(0, 500)) AS t(p) WHERE c + p + 100 <= n_bytes
+    ), again AS (
+        SELECT doc_id, start FROM (SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, start) AS n FROM windows) WHERE n > 1
+    ), marked AS (
+        SELECT *, CASE WHEN start <= lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 100 THEN 0 ELSE 1 END AS opens FROM again
+    ), grouped AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM marked),
+    spans AS (SELECT doc_id, min(start) AS low, max(start) + 100 AS high FROM grouped GROUP BY doc_id, run),
+    edges AS (
+        SELECT doc_id, count(*) AS n_spans, sum(high - low)::BIGINT AS n_removed, list(low ORDER BY low) AS lows, list(high ORDER BY low) AS highs FROM spans GROUP BY doc_id
+    ), whole AS (
+        SELECT doc_id, digits, n_bytes, coalesce(n_spans, 0)::BIGINT AS n_spans, coalesce(n_removed, 0)::BIGINT AS n_removed,
+            list_concat([0::BIGINT], coalesce(highs, []::BIGINT[])) AS froms, list_concat(coalesce(lows, []::BIGINT[]), [n_bytes]) AS tos
+        FROM source LEFT JOIN edges USING (doc_id)
+    )
+    SELECT doc_id, n_bytes, n_removed, n_spans,
+        sha256(unhex(array_to_string(list_transform(range(1, len(froms) + 1), lambda k: substr(digits, 2 * froms[k] + 1, 2 * (tos[k] - froms[k]))), ''))) AS kept_sha256
+    FROM whole
+    """,
     "op11_fill_in_middle": r"""
     WITH source AS (
         SELECT doc_id, coalesce(text, '') AS value, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest,
