@@ -4,18 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import fresh_path
 
 
-def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """File stream over a parquet folder or a single parquet file."""
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    # A pattern that matches exactly this path: a plain path must be a folder.
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+def exactly(path: str) -> str:
+    """A file pattern that matches this path alone, whatever characters it has.
+
+    Streams take a plain path for a folder; a pattern may also name a single file.
+    """
+    plain = path.rstrip("/") or "/"
+    escaped = [f"\\{c}" if c in "{}[]*?\\," else c for c in plain]
+    if plain == escaped[-1] or len(escaped[-1]) > 1 or plain[-1] == "/":
+        return "".join(escaped)
+    return f"{''.join(escaped[:-1])}[{plain[-1]}]"
+
+
+def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int = 64, schema: T.StructType | str | None = None) -> DataFrame:
+    """File stream over a parquet folder or a single parquet file.
+
+    A folder that has no file yet needs ``schema``; otherwise the files' own is taken.
+    """
+    pattern = exactly(path)
+    if schema is None:
+        schema = spark.read.parquet(pattern).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(pattern)
 
 
 def _event_time(sdf: DataFrame, ts: str) -> DataFrame:
@@ -40,7 +57,8 @@ def stream_hourly_cells(sdf: DataFrame, ts: str, by: Sequence[str], delay: str)
 def run_available(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Process everything that is available now into the shared folder and read the result.
 
-    ``update`` results are upserted by batch: the caller picks the newest row per key from ``batch``.
+    ``update`` results are upserted by batch: the caller picks the newest row per key from ``batch``. Without input there
+    are no rows.
     """
     spark = sdf.sparkSession
     out, ckpt = fresh_path(spark, f"{name}/data"), fresh_path(spark, f"{name}/checkpoint")
@@ -58,4 +76,10 @@ def run_available(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
         query.awaitTermination()
     finally:
         query.stop()
-    return spark.read.parquet(out)
+    schema = sdf.schema if mode == "append" else T.StructType([*sdf.schema, T.StructField("batch", T.IntegerType())])
+    try:
+        return spark.read.schema(schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # no batch was written
+            raise
+        return spark.createDataFrame([], schema)
