@@ -28,7 +28,7 @@ from ..plans import installs as I
 from ..plans import journey as JO
 from ..plans import roster as R
 from ..plans.weather import daily_weather
-from ..session import fresh_path, stage
+from ..session import fresh_path, stage, together
 from ..sources import publish_json, published, read_cohorts, read_hourly, read_profiles
 from ..streaming import events as S
 from . import oracles as O
@@ -761,8 +761,10 @@ def _(r):
 
 def _with_classes(r, flows_out: bool = False):
     t = r
-    people = stage(R.roster(t, CONFIG), "roster")
-    rows = stage(B.attributed_since(t, CONFIG, DATE_FROM), "attributed")
+    people, rows = together(
+        lambda: stage(R.roster(t, CONFIG), "roster"),
+        lambda: stage(B.attributed_since(t, CONFIG, DATE_FROM), "attributed"),
+    )
     entity = stage(B.entity_base(t, CONFIG, people, DATE_FROM, rows), "entity_base")
     if flows_out:
         entity = P.without_flows(entity, CONFIG)

@@ -26,7 +26,7 @@ from ..operators.aggregates import first_time_when
 from ..operators.asof import attribute_first
 from ..operators.dedup import distinct_keys, earliest_by, latest_by, one_per, order_key
 from ..operators.joins import anti_keep_null, attach_roster, lookup
-from ..session import stage
+from ..session import stage, together
 from .tables import Tables
 
 BOOKING_KEY = ["mobile", "booking_date"]
@@ -114,9 +114,10 @@ def attributed_bookings(
     scope = {"min_subject": cfg.min_subject, **request_bounds(cfg, first_day, last_day), **request_scope}
     requests = requests_by_subject(t, **scope)
     utc = -cfg.offset_minutes
+    bookings, requests = together(lambda: stage(bookings, "bookings"), lambda: stage(requests, "requests"))
     return attribute_first(
-        stage(bookings, "bookings"),
-        stage(requests, "requests"),
+        bookings,
+        requests,
         ["mobile"],
         shift_sql("bt", utc),
         "request_ts",

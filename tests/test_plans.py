@@ -16,7 +16,7 @@ from leadlens.plans import roster as R
 from leadlens.plans.journey import collect_journey
 from leadlens.plans.tables import Tables
 from leadlens.plans.weather import daily_weather
-from leadlens.session import shared_dir, stage, staging
+from leadlens.session import shared_dir, stage, staging, together
 from leadlens.sources import publish_json, published, read_cohorts, read_hourly, read_profiles
 from leadlens.sources.publish import EmptyPanel
 
@@ -278,6 +278,25 @@ def test_staging_blocks_nest(spark):
     assert "block-" not in stage(spark.range(2), "after").inputFiles()[0]
 
 
+def test_steps_run_together_within_the_block(spark):
+    import threading
+
+    meet = threading.Barrier(3, timeout=60)  # passes only if all three run at once
+
+    def step(n):
+        meet.wait()
+        return stage(spark.range(n), f"step{n}")
+
+    with staging(spark) as folder:
+        made = together(*[lambda n=n: step(n) for n in (3, 1, 2)])
+        assert [df.count() for df in made] == [3, 1, 2]
+        assert all(folder.removeprefix("file://") in df.inputFiles()[0] for df in made if df.inputFiles())
+    ended = []
+    with pytest.raises(ValueError, match="first"):
+        together(lambda: (_ for _ in ()).throw(ValueError("first")), lambda: ended.append(spark.range(5).count()))
+    assert ended == [5]
+
+
 def test_weather_is_optional_and_of_one_site(spark, frame):
     t = EventRoles(spark, SMALL)
     t.__dict__["hourly"] = None
