@@ -1213,6 +1213,15 @@ def _(r):
     return nested.select("mobile", "masked", "booked", "part", "n_hops", F.array_join(F.transform("hops", shown), ">").alias("path"))
 
 
+@register(
+    "lead_drill_summary",
+    f"""SELECT DATE '{DRILL_DAY}' AS d, 'night' AS hr, count(DISTINCT mobile) AS leads, count(*) AS hops,
+  CAST(coalesce(sum(enr), 0) AS BIGINT) AS enrolled_hops FROM ({O.journey("hour(d.bt) <= 7")})""",
+)
+def _(r):
+    return JO.drill(r, CONFIG, R.roster(r, CONFIG), DRILL_DAY, T.NIGHT)["summary"]
+
+
 _CONV_DAY = "CAST(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(turn AS INTEGER)) AS TIMESTAMP)"
 
 

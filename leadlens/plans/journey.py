@@ -126,3 +126,13 @@ def journey_document(hops: DataFrame, max_hops: int = MAX_HOPS_PER_ROW) -> DataF
     The key is (mobile, part): a lead has one row for each ``max_hops`` hops.
     """
     return collect_journey(hops, ["mobile", "masked", "booked"], "created_at", HOP_FIELDS, ["execution_candidate_id"], max_hops)
+
+
+def drill(
+    t: Tables, cfg: FunnelConfig, roster_ids: DataFrame, day: dt.date, bucket: int | str, max_hops: int = MAX_HOPS_PER_ROW
+) -> dict[str, DataFrame]:
+    """The drill-down of a day and hour (or the night bucket): ``leads`` as nested journeys, and their number in ``summary``."""
+    hops = stage(lead_journey(t, cfg, roster_ids, day, bucket), "journey_hops")
+    counted = hops.agg(F.count_distinct("mobile").alias("leads"), F.count(F.lit(1)).alias("hops"), F.coalesce(F.sum("enr"), F.lit(0)).cast("bigint").alias("enrolled_hops"))
+    summary = counted.select(F.lit(day).alias("d"), F.lit(str(bucket)).alias("hr"), "leads", "hops", "enrolled_hops")
+    return {"summary": summary, "leads": journey_document(hops, max_hops)}
