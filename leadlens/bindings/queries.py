@@ -533,6 +533,19 @@ def _(r):
 # ======================================================================================
 
 
+def _based(t):
+    people, rows = _people_and_rows(t)
+    return people, DATE_FROM, rows
+
+
+def _people_and_rows(t):
+    """Roster and attributed bookings, which need nothing of each other."""
+    return together(
+        lambda: stage(R.roster(t, CONFIG), "roster"),
+        lambda: stage(B.attributed_since(t, CONFIG, DATE_FROM), "attributed"),
+    )
+
+
 @register("enrolled_set", "SELECT pid FROM enrolled")
 def _(r):
     return R.enrolled(r, CONFIG)
@@ -584,8 +597,8 @@ def _(r):
 )
 def _(r):
     t = r
-    people = stage(R.roster(t, CONFIG), "roster")
-    found = C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM), people, CONFIG)
+    people, rows = _people_and_rows(t)
+    found = C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM, rows), people, CONFIG)
     return R.with_class(people, found, "mg").select("pid", "ad", "cat", "screen", "flow", "mg")
 
 
@@ -632,8 +645,7 @@ _BASE_SQL = f"""mobile, booking_date, bhr, bflow, mgpid, coh, {O.ROSTER_COLS}, a
     f"SELECT {_BASE_SQL}, acc48, conf48, asgn48, inst48, tat_ta, tat_sc_m, tat_ca_m, tat_ai_m, inst_ts FROM base2",
 )
 def _(r):
-    t = r
-    return B.booking_base(t, CONFIG, R.roster(t, CONFIG), DATE_FROM).drop("mg")
+    return B.booking_base(r, CONFIG, *_based(r)).drop("mg")
 
 
 @register(
@@ -641,8 +653,7 @@ def _(r):
     f"""SELECT {_BASE_SQL}, csp_id, slot48, conf48, asgn48, reached48, inst48, tat_ta, tat_sc_m, tat_ca_m, tat_ai_m FROM ebase""",
 )
 def _(r):
-    t = r
-    return B.entity_base(t, CONFIG, R.roster(t, CONFIG), DATE_FROM).drop("mg")
+    return B.entity_base(r, CONFIG, *_based(r)).drop("mg")
 
 
 _V1 = f"""{O.cnt('cur_depth >= 2', 'received')}, {O.cnt('cur_depth >= 3', 'slot')}, {O.cnt('cur_depth >= 4', 'confirm')},
@@ -761,10 +772,7 @@ def _(r):
 
 def _with_classes(r, flows_out: bool = False):
     t = r
-    people, rows = together(
-        lambda: stage(R.roster(t, CONFIG), "roster"),
-        lambda: stage(B.attributed_since(t, CONFIG, DATE_FROM), "attributed"),
-    )
+    people, rows = _people_and_rows(t)
     entity = stage(B.entity_base(t, CONFIG, people, DATE_FROM, rows), "entity_base")
     if flows_out:
         entity = P.without_flows(entity, CONFIG)
@@ -832,16 +840,14 @@ _CLS = "pid, CAST(days AS INTEGER) AS days, received, confirmed, installed"
 
 @register("entity_classes", f"SELECT {_CLS}, mg, mgp FROM cls")
 def _(r):
-    t = r
-    people = stage(R.roster(t, CONFIG), "roster")
-    return C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM), people, CONFIG)
+    people, date_from, rows = _based(r)
+    return C.classify_entities(B.entity_base(r, CONFIG, people, date_from, rows), people, CONFIG)
 
 
 @register("entity_classes_filtered", f"SELECT {_CLS}, mg, mgp FROM cls_gh")
 def _(r):
-    t = r
-    people = stage(R.roster(t, CONFIG), "roster")
-    base = P.without_flows(B.entity_base(t, CONFIG, people, DATE_FROM), CONFIG)
+    people, date_from, rows = _based(r)
+    base = P.without_flows(B.entity_base(r, CONFIG, people, date_from, rows), CONFIG)
     return C.classify_entities(base, people, CONFIG)
 
 
@@ -868,11 +874,8 @@ _F = f"CASE WHEN days < 7 THEN 1.0 ELSE (days + {CONFIG.month_remaining}) / CAST
 FROM cls""",
 )
 def _(r):
-    t = r
-    people = stage(R.roster(t, CONFIG), "roster")
-    return C.projection_totals(
-        C.classify_entities(B.entity_base(t, CONFIG, people, DATE_FROM), people, CONFIG), CONFIG
-    )
+    people, date_from, rows = _based(r)
+    return C.projection_totals(C.classify_entities(B.entity_base(r, CONFIG, people, date_from, rows), people, CONFIG), CONFIG)
 
 
 def _class_sql(base: str, label: str, rules: str, where: str = "") -> str:
@@ -1106,8 +1109,7 @@ def _(r):
 
 
 def _cells(r):
-    t = r
-    return I.cells(B.booking_base(t, CONFIG, R.roster(t, CONFIG), DATE_FROM), DATE_FROM)
+    return I.cells(B.booking_base(r, CONFIG, *_based(r)), DATE_FROM)
 
 
 @register("day_hour_cells", "SELECT k, d, hr, n FROM cells")
@@ -1184,16 +1186,22 @@ def _(r):
 # ---- journeys ----
 
 
+def _rostered(t):
+    """Ids of rostered entities; a journey needs none of their attributes."""
+    return stage(R.enrolled(t, CONFIG), "enrolled")
+
+
+
 @register("lead_journey_flat", O.journey("hour(d.bt) <= 7"))
 def _(r):
     t = r
-    return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, T.NIGHT)
+    return JO.lead_journey(t, CONFIG, _rostered(t), DRILL_DAY, T.NIGHT)
 
 
 @register("lead_journey_hour", O.journey("hour(d.bt) = 11"))
 def _(r):
     t = r
-    return JO.lead_journey(t, CONFIG, R.roster(t, CONFIG), DRILL_DAY, 11)
+    return JO.lead_journey(t, CONFIG, _rostered(t), DRILL_DAY, 11)
 
 
 @register(
@@ -1205,7 +1213,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY mobile ORDER BY created_at, exec
 )
 def _(r):
     """The nested journey; two hops a row, so that longer ones go on."""
-    nested = JO.journey_document(JO.lead_journey(r, CONFIG, R.roster(r, CONFIG), DRILL_DAY, T.NIGHT), max_hops=2)
+    nested = JO.journey_document(JO.lead_journey(r, CONFIG, _rostered(r), DRILL_DAY, T.NIGHT), max_hops=2)
 
     def shown(h):
         return F.concat_ws(":", h["hop_no"], h["entity"], h["enr"], F.coalesce(h["sent"], F.lit("")), F.coalesce(h["state"], F.lit("")), h["reason"])
@@ -1219,7 +1227,7 @@ def _(r):
   CAST(coalesce(sum(enr), 0) AS BIGINT) AS enrolled_hops FROM ({O.journey("hour(d.bt) <= 7")})""",
 )
 def _(r):
-    return JO.drill(r, CONFIG, R.roster(r, CONFIG), DRILL_DAY, T.NIGHT)["summary"]
+    return JO.drill(r, CONFIG, _rostered(r), DRILL_DAY, T.NIGHT)["summary"]
 
 
 _CONV_DAY = "CAST(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(turn AS INTEGER)) AS TIMESTAMP)"

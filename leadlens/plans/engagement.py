@@ -17,6 +17,7 @@ from ..operators.aggregates import count_if, nearest_rank
 from ..operators.asof import first_after
 from ..operators.dedup import one_per
 from ..operators.joins import lookup
+from ..session import stage
 from .base import entity_lookup
 from .tables import Tables
 
@@ -85,7 +86,11 @@ def viewers(roster: DataFrame) -> DataFrame:
 def view_actions(
     views: DataFrame, t: Tables, cfg: FunnelConfig, states: Sequence[str] = ACTION_STATES
 ) -> DataFrame:
-    """pid, view_ts, first action strictly after the view, minutes between them."""
+    """pid, view_ts, first action strictly after the view, minutes between them.
+
+    Both sides are read twice by the as-of look-up (layout, carry), so each is written once.
+    """
+    views = stage(views, "views")
     actions = t.history.filter(
         f"created_at >= {instant_sql(cfg.launch)} AND {in_sql('current_state', states)}"
     ).select("csp_id", F.col("updated_at").alias("a_ts"))
@@ -94,7 +99,7 @@ def view_actions(
     )
     # Only actions of viewers are shuffled for their copies, and these collapse in the map tasks first.
     by_entity = actions.join(entity, ["csp_id"]).select(F.col("partner_id").alias("pid"), "a_ts").distinct()
-    hits = first_after(views, by_entity, ["pid"], "view_ts", "a_ts", "action_ts")
+    hits = first_after(views, stage(by_entity, "actions"), ["pid"], "view_ts", "a_ts", "action_ts")
     minutes = F.round(second_diff("view_ts", "action_ts") / F.lit(60.0)).cast("bigint")
     return hits.withColumn("mins", minutes)
 
