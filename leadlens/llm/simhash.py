@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
-from .common import packed
+from .common import packed, shuffle_width
 from .components import components
 
 BYTES = 8
@@ -78,6 +78,7 @@ def _masks(positions: tuple[int, ...]) -> int:
 def index(fps: DataFrame, bits: int) -> DataFrame:
     """``list`` and its ``members`` for each list with two fingerprints or more. ``fps``: distinct ``fp``."""
     shared = BYTES - bits
+    fps = fps.repartition(shuffle_width(fps.sparkSession), F.xxhash64("fp"))  # few bytes, of which adaptive execution would make a few tasks
     entries = F.array(
         *[
             F.struct(F.lit(k).cast("short").alias("at"), F.col("fp").bitwiseAND(F.lit(_masks(p)).cast("long")).alias("bytes"))
