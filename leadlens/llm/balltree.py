@@ -11,8 +11,9 @@ document. N, L and the document frequencies are aggregations of that table. Each
 
     item . centroid + |item| * radius
 
-Radius and bound are rounded up by more than the error of their floating-point sums, so no ball is left out that could hold a
-result; balls whose bound equals the last rank's score are opened, because a tie may rank higher. Leaves are
+and none has a higher one than the same with a radius for each component, item . (centroid + radii), which is the item's product
+with the highest components of the ball, an exact integer; the lower bound of the two counts. Radius and bound are rounded up by more than
+the error of their floating-point sums, so no ball is left out that could hold a result; balls whose bound equals the last rank's score are opened, because a tie may rank higher. Leaves are
 scored exactly in integers. The scores kept from one tree bound the next one. Each task returns ``k`` rows an item at most,
 and one window ranks them.
 
@@ -116,7 +117,7 @@ class BallTree:
         order = np.arange(len(rows.starts) - 1)
         self.spans: list[tuple[int, int]] = []
         self.children: list[tuple[int, int] | None] = []
-        centroids, radii = [], []
+        centroids, radii, tops = [], [], []
         error = (width + 16) * 2.3e-16  # of a sum of so many products, each part relative to its length
         squares = np.add.reduceat(rows.values.astype(float) ** 2, rows.starts[:-1])
 
@@ -129,6 +130,9 @@ class BallTree:
             square = float(centre @ centre)
             apart = lengths - 2 * part.dot(centre) + square
             slack = error * (np.sqrt(lengths) + math.sqrt(square)) ** 2
+            top = np.zeros(width, np.int32)  # a component is at most 10^6
+            np.maximum.at(top, part.terms, part.values.astype(np.int32))
+            tops.append(top)
             centroids.append(centre)
             radii.append(math.sqrt(float((np.maximum(apart, 0) + 2 * slack).max())) * (1 + 1e-12))
             if high - low > leaf and (apart > 4 * slack).any():
@@ -149,12 +153,14 @@ class BallTree:
         rows = Rows(rows.starts.copy(), rows.terms.copy(), rows.values.copy())
         build(0, len(order))
         self.rows, self.order, self.width = rows, order, width
-        self.centroids, self.radii = np.array(centroids), np.array(radii)
+        self.centroids, self.radii, self.tops = np.array(centroids), np.array(radii), np.array(tops)
 
     def search(self, terms: np.ndarray, values: np.ndarray, best: Best) -> int:
         """Offers the documents with the highest inner products to ``best``; returns the number of leaves it opened."""
         norm = math.sqrt(float((values.astype(float) ** 2).sum()))
-        bounds = ((self.centroids[:, terms] @ values.astype(float) + norm * self.radii) * (1 + 1e-9) + 1).tolist()
+        ball = self.centroids[:, terms] @ values.astype(float) + norm * self.radii
+        by_component = (self.tops[:, terms].astype(np.int64) * values).sum(1).astype(float)
+        bounds = (np.minimum(ball, by_component) * (1 + 1e-9) + 1).tolist()
         item = np.zeros(self.width, np.int64)
         item[terms] = values
         queue, opened = [(-bounds[0], 0)], 0

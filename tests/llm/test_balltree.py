@@ -121,8 +121,32 @@ def test_tree_is_exact_and_prunes():
 def test_bounds_hold():
     rng = np.random.default_rng(6)
     x, rows = random_rows(rng, 500, 60, 5)
-    rows.values *= 997
+    rows.values *= 997  # up to 997 million, within 32 bits
     tree = balltree.BallTree(rows, 60, leaf=8)
-    for (low, high), centre, radius in zip(tree.spans, tree.centroids, tree.radii):
+    for (low, high), centre, radius, top in zip(tree.spans, tree.centroids, tree.radii, tree.tops):
         inside = x[tree.order[low:high]] * 997_000.0
         assert (np.sqrt(((inside - centre) ** 2).sum(1)) <= radius).all()
+        assert (top == inside.max(0)).all()
+
+
+def test_documents_without_common_passages_are_pruned(spark):
+    """Texts of the supplied table, where balls are wide: the radii by component prune most leaves."""
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()]
+    asked = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    block = next(balltree.blocks(iter(asked)))
+    counted = [(key, *balltree.term_counts(x.encode())) for key, x in docs]
+    found = [(key, n, sorted((block.vocabulary[t], c) for t, c in counts.items() if t in block.vocabulary)) for key, n, counts in counted]
+    found = [f for f in found if f[2]][:8000]
+    sizes = np.array([len(f[2]) for f in found])
+    terms, tf = (np.array([p[k] for f in found for p in f[2]]) for k in (0, 1))
+    n = np.array([f[1] for f in found])
+    m = np.repeat(balltree.length_factor(n, len(n), int(n.sum())), sizes)
+    width, df = len(block.vocabulary), np.bincount(terms, minlength=len(block.vocabulary))
+    tree = balltree.BallTree(balltree.Rows(np.concatenate(([0], np.cumsum(sizes))), terms, balltree.component(tf, m)), width)
+    opened = 0
+    for _, _, repeats in block.items:
+        places = np.array(sorted(repeats))
+        best = balltree.Best(10)
+        best.keys = [f[0] for f in found]
+        opened += tree.search(places, np.array([balltree.weight(len(n), int(df[t])) * repeats[t] for t in places.tolist()]), best)
+    assert opened < 0.6 * len(block.items) * sum(c is None for c in tree.children)
