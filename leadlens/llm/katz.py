@@ -41,12 +41,14 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import shuffle_width
 
-END, BEGIN = b" ", b""  # no word is empty or a space
+END, BEGIN, HELD_OUT = b" ", b"", b"\n"  # no word is empty or white space
 K = 5
 KEPT_BACK = 0.05
 #: Tokens of a block, about; a block ends after a text.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 DOCS_A_BLOCK = 1 << 22
+#: Tokens of a partition of the bigram table, about; a task holds one at a time.
+PART_TOKENS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,7 @@ class Unigrams:
     discounts: Discounts
     unknown: float  # the probability of any unknown word
     frequent: dict[bytes, int]
+    parts: int  # of the bigram table
 
     def log_p(self, c: np.ndarray) -> np.ndarray:
         return np.where(c > 0, np.log10(np.maximum(self.discounts.of_counts(c), 1e-300) / max(self.tokens, 1)), math.log10(self.unknown))
@@ -108,16 +111,19 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return made
 
     for _key, training, text in _texts(batches):
+        words = _words(text)
         if training:
-            counts.update(_words(text))
+            counts.update(words)
             counts[END] += 1
+        else:
+            counts[HELD_OUT] += len(words) + 1
         if len(counts) > 1_000_000:
             yield out()
     yield out()
 
 
 def unigram_table(docs: DataFrame) -> DataFrame:
-    """``word`` (UTF-8 bytes), ``c`` in the training texts of ``docs`` (key, training, text)."""
+    """``word`` (UTF-8 bytes), ``c`` in the training texts of ``docs`` (key, training, text); ``HELD_OUT`` has the tokens of the others."""
     return docs.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -125,14 +131,18 @@ def _classes(c: str) -> list[Column]:
     return [F.sum(F.when(F.col(c) == r, 1).otherwise(0)).alias(f"n{r}") for r in range(1, K + 2)]
 
 
-def summarise(unigrams: DataFrame, parts: int) -> Unigrams:
+def summarise(table: DataFrame, least_parts: int, part_tokens: int = PART_TOKENS) -> Unigrams:
+    """What tasks need of the table. The bigram table gets so many partitions that one has ``part_tokens`` tokens of all texts, about."""
+    unigrams = table.where(F.col("word") != F.lit(HELD_OUT))
     got = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types"), F.sum(F.when(F.col("c") > K, F.col("c")).otherwise(0)).alias("rest"), *_classes("c")).first()
     n = [got[f"n{r}"] or 0 for r in range(1, K + 2)]
     discounts, tokens = Discounts.of(n), got["tokens"]
+    every = tokens + (table.where(F.col("word") == F.lit(HELD_OUT)).agg(F.sum("c")).first()[0] or 0)
+    parts = max(least_parts, -(-every // part_tokens))
     above = got["types"] - sum(n[:K])
     known = sum(m * k for m, k in zip(discounts.mass, n)) + (got["rest"] or 0) - KEPT_BACK * above
     frequent = unigrams.where(F.col("c") * (4 * parts) > tokens).collect() if tokens else []  # fewer than four a part
-    return Unigrams(tokens, got["types"], discounts, 1 - known / tokens if tokens else 1.0, {bytes(r["word"]): r["c"] for r in frequent})
+    return Unigrams(tokens, got["types"], discounts, 1 - known / tokens if tokens else 1.0, {bytes(r["word"]): r["c"] for r in frequent}, parts)
 
 
 def _pack(value: tuple) -> bytes:
@@ -339,16 +349,17 @@ def backoff_table(answers: DataFrame, bigrams: Discounts) -> DataFrame:
     return sums.select("h", count.alias("c"), ((1 - mass / count) / (1 - F.col("p"))).alias("alpha"))
 
 
-def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def score(
+    docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS, part_tokens: int = PART_TOKENS
+) -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10) of each row.
 
     ``train`` says which rows the model learns from (null: it does). ``base_score`` is the add-one unigram score.
     """
     spark = docs.sparkSession
-    parts = shuffle_width(spark)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(train, F.lit(True)).alias("training"), F.col(text).cast("binary").alias("text"))
-    unigrams = summarise(stage(unigram_table(rows), "unigrams"), parts)
-    sent = rows.mapInArrow(_send(parts, frozenset(unigrams.frequent), block_tokens), "part int, block long, payload binary")
+    unigrams = summarise(stage(unigram_table(rows), "unigrams"), shuffle_width(spark), part_tokens)
+    sent = rows.mapInArrow(_send(unigrams.parts, frozenset(unigrams.frequent), block_tokens), "part int, block long, payload binary")
     answers = stage(sent.groupBy("part").applyInArrow(_answer(unigrams), ANSWERS), "answers")
     counted = answers.where("kind = 'classes'").agg(*[F.sum(f"n{r}") for r in range(1, K + 2)]).first()
     bigrams = Discounts.of([x or 0 for x in counted])
