@@ -26,6 +26,7 @@ from ..plans import engagement as E
 from ..plans import funnel as P
 from ..plans import installs as I
 from ..plans import journey as JO
+from ..plans import payload as PY
 from ..plans import roster as R
 from ..plans.weather import daily_weather
 from ..session import fresh_path, stage, together
@@ -1105,6 +1106,47 @@ def _(r):
     return DOC.fixed_window_sections(r, CONFIG)["pre_post"]()
 
 
+# ---- the nested payload, read back ----
+
+_WHOLE = ("received", "slot", "confirm", "assign", "reached", "install", "csp_days", "csps")
+_BLOCK = ", ".join(f"{name}: {'BIGINT' if name in _WHOLE else 'DOUBLE'}" for name in PY.MEASURE_KEYS)
+
+
+@register(
+    "payload_cohorts",
+    f"""SELECT CASE key WHEN 'E' THEN 'enr' WHEN 'N' THEN 'non' WHEN 'f1' THEN 'enr_f1' ELSE 'enr_f2' END AS name, period, {O.MEASURES}, {O.RATES},
+  entity_days AS csp_days, entities AS csps, recv_per_entity_d AS recv_per_csp_d, inst_per_entity_d AS inst_per_csp_d
+FROM (SELECT key, period, entity_days, entities, {O.MEASURES}, {O.PER_DAY} FROM (SELECT * FROM cut2 WHERE dim IN ('coh', 'flow')) LEFT JOIN (
+  SELECT 'E' AS key, CAST(sum(days) AS BIGINT) AS entity_days, count(*) AS entities FROM roster WHERE days >= 1
+  UNION ALL {_DAYS_BY.format('flow', 'roster')}) dd USING (key))""",
+)
+def _(r):
+    part = PY.grain_parts(DOC.sections(r, CONFIG), CONFIG, "booking", "")["tab1"]()
+    blocks = ", ".join(f"{name} MAP<STRING, STRUCT<{_BLOCK}>>" for name in PY.COHORT_KEYS)
+    read = part.select(F.from_json("json", f"{blocks}, non_days INT").alias("d"))
+    named = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(f"d.{name}").alias("periods")) for name in PY.COHORT_KEYS]))
+    return read.select(named.alias("b")).select("b.name", F.explode("b.periods").alias("period", "m")).select("name", "period", "m.*")
+
+
+@register(
+    "payload_heat_map",
+    f"""SELECT CASE k WHEN 'B' THEN 'hourly_book' WHEN 'I' THEN 'hourly_inst' ELSE 'hourly_binst' END AS name, d, hr, n FROM cells
+WHERE k IN ('B', 'I', 'K') AND d <= DATE '{CONFIG.today}'
+UNION ALL SELECT 'weather of site 3', min(day), NULL, count(*) FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM {_HOURLY_SQL}
+  WHERE site = 3 AND CAST(ts AS DATE) BETWEEN (SELECT min(d) FROM days_panel) - 1 AND DATE '{CONFIG.today}')""",
+)
+def _(r):
+    parts = PY.days_parts(DOC.sections(r, CONFIG), "", site=3)
+    out = None
+    for name in PY.HOUR_LISTS:
+        cells = parts[name]().select(F.inline(F.from_json("json", "ARRAY<STRUCT<d: DATE, hr: INT, n: BIGINT>>")))
+        rows = cells.select(F.lit(name).alias("name"), "d", "hr", "n")
+        out = rows if out is None else out.unionAll(rows)
+    days = parts["weather"]().select(F.explode(F.from_json("json", "MAP<STRING, STRING>")).alias("day", "weather"))
+    shown = days.agg(F.min("day").cast("date").alias("d"), F.count(F.lit(1)).alias("n"))
+    return out.unionAll(shown.select(F.lit("weather of site 3"), "d", F.lit(None).cast("int"), "n"))
+
+
 # ---- cells ----
 
 

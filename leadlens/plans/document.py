@@ -20,6 +20,7 @@ from . import engagement as E
 from . import funnel as P
 from . import installs as I
 from .base import BOOKING_KEY, attributed_since, booking_base, booking_base_v1, entity_base
+from .payload import payload
 from .roster import enrolled, longest_live_days, roster, with_class
 from .tables import Tables
 from .weather import daily_weather
@@ -192,13 +193,23 @@ def dashboard(t: Tables, cfg: FunnelConfig, city_pattern: str = "%delhi%", gener
 MAIN_PANEL = "booking_cohorts"
 
 
-def refresh(t: Tables, cfg: FunnelConfig, path: str, city_pattern: str = "%delhi%", generated: dt.datetime | None = None) -> list[str]:
+def refresh(
+    t: Tables,
+    cfg: FunnelConfig,
+    path: str,
+    city_pattern: str = "%delhi%",
+    generated: dt.datetime | None = None,
+    site: str | int | None = None,
+) -> list[str]:
     """One refresh: publishes the sections as a new version below ``path`` and removes what was staged for it.
 
-    The main panel must be there and have rows, else the version before stays; any other section may fail.
+    The folder ``payload`` of the version has them as one nested JSON document. The main panel must be there and
+    have rows, else the version before stays; any other section may fail.
     """
     with staging(t.bookings.sparkSession):
-        return publish_json(sections(t, cfg, city_pattern, generated), path, require=[MAIN_PANEL])
+        every = sections(t, cfg, city_pattern, generated)
+        whole = {"payload": lambda: payload(every, cfg, site).select("json")}
+        return publish_json(every | whole, path, require=[MAIN_PANEL], as_text=["payload"])
 
 
 def fixed_window_sections(t: Tables, cfg: FunnelConfig) -> dict[str, Section]:

@@ -22,12 +22,14 @@ def publish_json(
     path: str,
     require: Sequence[str] = (),
     order: Mapping[str, Sequence[str | Column]] | None = None,
+    as_text: Sequence[str] = (),
 ) -> list[str]:
     """Write one folder of JSON lines per panel to a fresh version below ``path``, then name the version.
 
     Each panel is computed once, and what was written is checked. A required panel that is empty or fails raises, and readers
     go on seeing the version before. Another panel that fails in Spark is left out; its name and error are noted with the
-    version. Versions follow the writer's clock. Returns the folders of the panels.
+    version. Versions follow the writer's clock. Panels in ``as_text`` have one string column, which is written as it is. Returns
+    the folders of the panels.
     """
     unknown = set(require).difference(panels)
     if unknown:
@@ -39,7 +41,8 @@ def publish_json(
         target, by = f"{path}/{version}/{name}", (order or {}).get(name)
         try:
             panel = panels[name]() if callable(panels[name]) else panels[name]
-            (panel.orderBy(*by) if by else panel).write.json(target)
+            writer = (panel.orderBy(*by) if by else panel).write
+            writer.text(target) if name in as_text else writer.json(target)
         except PySparkException as error:
             if name in require:
                 raise

@@ -256,6 +256,8 @@ def test_refresh_publishes_and_clears_what_it_staged(spark, tmp_path):
     written = DOC.refresh(EventRoles(spark, SMALL), CONFIG, out, "%nation_1%")
     now = published(spark, out)
     assert len(written) >= 30 and f"{now}/{DOC.MAIN_PANEL}" in written
+    (text,) = spark.read.text(f"{now}/payload").collect()
+    assert text.value.startswith('{"generated":null,"yest":"2024-01-27"')
     assert spark.read.json(f"{out}/versions").first().failed == []
     assert staged_blocks() == set()
     nobody = CONFIG.with_(program="none")  # no one is enrolled, and no request is early enough for the main panel
@@ -266,6 +268,45 @@ def test_refresh_publishes_and_clears_what_it_staged(spark, tmp_path):
     assert published(spark, out) == now and staged_blocks() == set()
 
 
+def test_payload_is_one_nested_document(spark):
+    import json
+
+    from leadlens.plans.payload import payload
+
+    t = EventRoles(spark, SMALL)
+    t.__dict__["app_events"] = t.app_events.withColumn("device_id", F.raise_error(F.lit("no app events")).cast("string"))
+    with staging(spark):
+        every = DOC.sections(t, CONFIG, "%nation_1%", D(2024, 1, 28, 6, 5))
+        row = payload(every, CONFIG, site=3).first()
+        document = json.loads(row.json)
+        assert row.failed == ["app_opens"] and document["app_opens"] is None
+        assert document["generated"] == "28 Jan 2024, 06:05 IST" and document["yest"] == str(CONFIG.as_of) and document["anchored"] is True
+        panel = {(r.key, r.period): r for r in every["booking_cohorts"]().collect()}
+        assert {p for p in document["tab1"]["enr"]} == {p for k, p in panel if k == "E"}
+        for period, block in document["tab1"]["enr"].items():
+            r = panel["E", period]
+            assert (block["received"], block["install"], block["csp_days"], block["tat_ta"]) == (r.received, r.install, r.entity_days, r.tat_ta)
+        assert [x["key"] for x in document["tab2"]] == ["excited", "questions", "dontcare", "dontknow", "not_answered"]
+        assert [x["key"] for x in document["tab_mg_proj"]] == ["mg_lo", "mg_hi", "no_mg", "too_early"]
+        assert [x["key"] for x in document["csp"]["tab3_engagement"]][:2] == ["Viewed", "Not viewed"]
+        assert set(document["noGH"]) >= {"tab1", "tab_mg_proj", "mg_counts", "mgp_counts", "mg_proj_totals"}
+        assert document["mg_counts"] == {r.key: r.entities for r in every["class_counts"]().collect()}
+        daily = [(x["d"], x["b"], x["i"], x["j"]) for x in document["tab4"]["daily"]]
+        assert daily == sorted((str(r.d), r.b, r.i, r.j) for r in every["daily"]().collect())
+        assert len(document["tab4"]["hourly_book"]) == every["hourly"]().where("k = 'B'").count() > 0
+        assert document["tab4"]["weather"] == {str(r.day): r.weather for r in every["weather"]().where("site = 3").collect()}
+        assert "weather" not in document["tab4_noGH"] and document["tab4"]["from"] == document["tab4_noGH"]["from"]
+
+
+def test_payload_without_the_main_part_fails(spark):
+    from leadlens.plans.payload import payload
+
+    t = EventRoles(spark, SMALL)
+    t.__dict__["bookings"] = t.bookings.withColumn("mobile", F.raise_error(F.lit("no bookings")).cast("string"))
+    with pytest.raises(Exception, match="no bookings"):
+        payload(DOC.sections(t, CONFIG), CONFIG)
+
+
 def test_staging_blocks_nest(spark):
     import os
 
