@@ -159,14 +159,25 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+class Places(dict):
+    """Words to places, in the order of their first look-up."""
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        return place
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
 def _part_of(words: list[bytes], parts: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) % parts for w in words), np.int64, len(words))
+    return (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) % np.uint64(parts)).astype(np.int64)
 
 
 def _send(parts: int, frequent: frozenset[bytes], block_tokens: int):
     """Blocks of documents as (part, block, payload) rows."""
 
-    def of_block(block: int, keys: list, training: list[bool], lengths: list[int], ids: list[np.ndarray], voc: dict[bytes, int]) -> Iterator[tuple]:
+    def of_block(block: int, keys: list, training: list[bool], lengths: list[int], ids: list[np.ndarray], voc: Places) -> Iterator[tuple]:
         held_out = ~np.array(training, bool)
         yield block % parts, block, _pack(("texts", keys, held_out, np.array(lengths, np.int64)))
         words = list(voc)
@@ -182,7 +193,7 @@ def _send(parts: int, frequent: frozenset[bytes], block_tokens: int):
         pair, text = key // texts, key % texts
         w, h = pair // wide, pair % wide
         home = _part_of(words, parts)
-        spread = np.fromiter((x in frequent for x in words), bool, wide)
+        spread = np.fromiter(map(frequent.__contains__, words), bool, wide)
         to = np.where(spread[w], (home[w] + home[h]) % parts, home[w])
         order = np.argsort(to, kind="stable")
         stops = np.searchsorted(to[order], np.arange(parts + 1))
@@ -196,8 +207,11 @@ def _send(parts: int, frequent: frozenset[bytes], block_tokens: int):
                 yield part, block, _pack(("counts", *lists, _narrow(at_w), _narrow(at_h), _narrow(in_text), _narrow(times[rows]), np.packbits(held_out[in_text])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def afresh() -> Places:
+            return Places({BEGIN: 0, END: 1})
+
         task, number = TaskContext.get().partitionId(), 0
-        keys, training, lengths, ids, voc, held = [], [], [], [], {BEGIN: 0, END: 1}, 0
+        keys, training, lengths, ids, voc, held = [], [], [], [], afresh(), 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for part, block, payload in of_block((task << 20) + number, keys, training, lengths, ids, voc):
@@ -205,16 +219,14 @@ def _send(parts: int, frequent: frozenset[bytes], block_tokens: int):
 
         for key, trains, text in _texts(batches):
             words = _words(text)
-            for x in set(words).difference(voc):
-                voc[x] = len(voc)
             words.append(END)
-            ids.append(np.fromiter(map(voc.__getitem__, words), np.int64, len(words)))
+            ids.append(voc.of(words))
             keys.append(key), training.append(bool(trains)), lengths.append(len(words))
             held += len(words)
             if held >= block_tokens:
                 yield from flush()
                 number += 1
-                keys, training, lengths, ids, voc, held = [], [], [], [], {BEGIN: 0, END: 1}, 0
+                keys, training, lengths, ids, voc, held = [], [], [], [], afresh(), 0
         if keys:
             yield from flush()
 
@@ -245,7 +257,7 @@ def _answer(unigrams: Unigrams):
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc: dict[bytes, int] = {}
+        voc = Places()
         parts, sizes, ws, hs, trained = [], [], [], [], []
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
@@ -254,13 +266,7 @@ def _answer(unigrams: Unigrams):
                     yield from rows("texts", 1, block=[block], payload=[payload])
                     continue
                 w_list, h_list, at_w, at_h, text, times, held_bits = value
-                local = []
-                for joined in (w_list, h_list):
-                    words = joined.split(b"\n")
-                    for x in words:
-                        if x not in voc:
-                            voc[x] = len(voc)
-                    local.append(np.fromiter(map(voc.__getitem__, words), np.int64, len(words)))
+                local = [voc.of(joined.split(b"\n")) for joined in (w_list, h_list)]
                 held = np.unpackbits(held_bits, count=len(text)).astype(bool)
                 ws.append(local[0][at_w]), hs.append(local[1][at_h])
                 parts.append((block, text, times, held))
