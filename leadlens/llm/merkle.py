@@ -1,6 +1,7 @@
 """Document fingerprints: a Merkle tree over the paragraphs and sections of a text, as built-in expressions.
 
-Leaves are runs of ``LEAF_WORDS`` words of a paragraph (a line); paragraphs are hashed whole; a paragraph whose hash
+Leaves are runs of words of a paragraph (a line) that end with a word whose hash is a multiple of ``LEAF_WORDS``, so that they
+have about so many words and fall into step again behind an edit; paragraphs are hashed whole; a paragraph whose hash
 starts with 0, 1, 2 or 3 closes a section, so that an inserted paragraph changes one section only; sections hash
 their paragraphs' hashes, and the root hashes the sections'. Equal roots mean equal texts, and where roots differ the
 branches that differ locate the edit. ``likeness`` is the Dice share of common leaves.
@@ -21,13 +22,16 @@ LEAF_WORDS = 4
 
 
 def _paragraph(p: Column) -> Column:
-    leaves = let(
-        F.split(p, " "),
-        lambda w: F.transform(
-            F.sequence(F.lit(1), F.size(w), F.lit(LEAF_WORDS)), lambda i: F.right(F.hex(F.xxhash64(F.slice(w, i, LEAF_WORDS))), F.lit(8))
-        ),
-    )
-    return F.struct(F.md5(p.cast("binary")).alias("hash"), leaves.alias("leaves"))
+    def of(words: Column) -> Column:
+        n = F.size(words)
+        ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.pmod(F.xxhash64(words[i - 1]), F.lit(LEAF_WORDS)) == 0))
+        return let(ends, lambda e: F.zip_with(F.concat(F.array(F.lit(0)), e), e, leaf(words)))
+
+    def leaf(words: Column):
+        # The list of starts is one longer than that of the ends.
+        return lambda before, end: F.when(end.isNotNull(), F.right(F.hex(F.xxhash64(F.slice(words, before + 1, end - before))), F.lit(8)))
+
+    return F.struct(F.md5(p.cast("binary")).alias("hash"), F.array_compact(let(F.split(p, " "), of)).alias("leaves"))
 
 
 def _sections(paragraphs: Column) -> Column:

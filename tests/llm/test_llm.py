@@ -468,12 +468,20 @@ def test_katz(docs, awkward):
         want, sums = brute.katz_scores([(not held(i), x) for i, x in rows])
         assert all(abs(s - 1) < 1e-9 for s in sums)
         kept = frame.sparkSession.createDataFrame(rows, "doc_id long, text string")
-        for block in (50, 1_000_000):
-            got = katz.score(kept, train, block_tokens=block).collect()
+        for block, part in ((50, katz.PART_TOKENS), (1_000_000, katz.PART_TOKENS), (300, 700)):
+            got = katz.score(kept, train, block_tokens=block, part_tokens=part).collect()
             have = sorted(((r.doc_id or 0, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6), r.held_out) for r in got))
             assert have == sorted(((i or 0, t, k, n, round(b, 6), round(s, 6), held(i)) for (i, _), (t, k, n, b, s) in zip(rows, want)))
 
 
+def test_katz_partitions_follow_all_tokens(spark, docs):
+    rows = docs.select(F.col("doc_id").alias("key"), (F.col("doc_id") % 2 == 0).alias("training"), F.col("text").cast("binary").alias("text"))
+    every = sum(len((r.text or "").encode().split()) + 1 for r in docs.collect())
+    unigrams = katz.summarise(katz.unigram_table(rows), 4, 1000)
+    assert unigrams.parts == -(-every // 1000) and unigrams.tokens < every
+    assert katz.summarise(katz.unigram_table(rows), 4).parts == 4
+
+
 def test_katz_without_training(awkward):
     got = katz.score(awkward, F.lit(False)).collect()
     assert len(got) == len(AWKWARD) and all(r.n_known == 0 and r.score == 0.0 and r.train_tokens == 0 for r in got)
@@ -515,6 +523,20 @@ def test_merkle_locates_edits(spark):
     assert got.t.root == hashlib.sha256("".join(s["hash"] for s in got.t.sections).encode()).hexdigest()
 
 
+def test_merkle_leaves_fall_into_step_again(spark):
+    import random
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(600)]
+    line = " ".join(words)
+    others = {"front": "new " + line, "middle": " ".join([*words[:300], "some", "new", "words", *words[300:]]), "cut": " ".join(words[5:])}
+    frame = spark.createDataFrame([(line, *others.values())], "line string, front string, middle string, cut string")
+    near = frame.select(*[merkle.likeness(merkle.leaves(merkle.tree(F.col("line"))), merkle.leaves(merkle.tree(F.col(c)))).alias(c) for c in others]).first()
+    assert min(near) > 0.97
+    sizes = frame.select(F.size(merkle.leaves(merkle.tree(F.col("line"))))).first()[0]
+    assert 100 < sizes < 220
+
+
 def test_native_operators_have_no_python(docs):
     for frame in (merkle.compare_edits(docs), mixing.mix_plan(docs, queries.MIX), quality.judge(docs)):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
