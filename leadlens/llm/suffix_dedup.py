@@ -19,8 +19,9 @@ occurrence of a window always lies in the first block of its hull, so nothing is
 by their 128-bit and 64-bit digests; equal cores only cost a further pass.
 
 Hot groups: a task resolves the repeats among its own blocks, sends one row for each hull, and for each core one row to the
-core's group. The others, whose core it has seen twice, go to groups of their own hull. So a group has a row
-for each batch of a task at most, however often a line or a text is copied, and nothing is left out.
+core's group. The others, whose core it has seen twice, go to groups of their own hull. It also remembers what it sent of late
+(``MEMORY`` hulls and cores), so that a line or a text that is copied very often is a row or two for each task, and otherwise one for
+each batch at most. Nothing is left out: the memory only decides where a row is resolved.
 
 Documents are ordered by key, null last, then by a hash of their text. Rows with equal key and text are one document and its copies:
 the first stays, the others are removed as a whole where they have ``threshold`` bytes. Null texts are empty; shorter texts
@@ -44,6 +45,8 @@ THRESHOLD = 100
 DEPTHS = (32, 85, 100)
 #: Bytes of texts that are cut into blocks at once (less than 2 ** 24).
 PIECE = 1 << 21
+#: Hulls, and cores, that a task remembers; a power of two.
+MEMORY = 1 << 19
 
 KEY = ["none", "id", "hash"]
 UNSURE, SHARED, KNOWN = 0, 1, 2
@@ -100,20 +103,55 @@ def runs(data: np.ndarray, valid: np.ndarray, hashes: np.ndarray, width: int) ->
     return start, stop - start, gram - start, hashes[gram]
 
 
-def deal(doc: np.ndarray, start: np.ndarray, n: np.ndarray, lead: np.ndarray, core: np.ndarray, hull: np.ndarray) -> dict[str, np.ndarray]:
-    """Resolves the blocks of a batch, in order of document and start. ``hull``: two columns.
+class Memory:
+    """Of a task: places of the hulls, and the cores, that it has sent. Each has one slot, which the latest to need it takes."""
+
+    def __init__(self, slots: int = MEMORY):
+        self.mask = np.uint64(slots - 1)
+        self.hull, self.place = np.zeros((slots, 2), np.uint64), [np.zeros(slots, kind) for kind in (bool, np.int64, np.int64, np.int64)]
+        self.core, self.with_hull, self.shared = (np.zeros(slots, kind) for kind in (np.uint64, np.uint64, bool))
+
+    def repeats(self, hull: np.ndarray, place: list[np.ndarray]) -> np.ndarray:
+        """Which blocks have a remembered hull and come after it. The others are remembered."""
+        slot = hull[:, 0] & self.mask
+        same = (self.hull[slot] == hull).all(1)
+        before, level = np.zeros(len(slot), bool), same
+        for mine, theirs in zip(place, self.place):
+            before |= level & (theirs[slot] < mine)
+            level = level & (theirs[slot] == mine)
+        keep = slot[~before]
+        self.hull[keep] = hull[~before]
+        for mine, theirs in zip(place, self.place):
+            theirs[keep] = mine[~before]
+        return before
+
+    def groups(self, core: np.ndarray, hull: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the blocks that lead their core have a core known to be shared, and for which a shared one was sent before."""
+        slot = core & self.mask
+        same = self.core[slot] == core
+        sent = same & self.shared[slot]
+        shared = shared | sent | (same & (self.with_hull[slot] != hull))
+        self.core[slot], self.with_hull[slot], self.shared[slot] = core, hull, shared
+        return shared, sent
+
+
+def deal(doc: np.ndarray, n: np.ndarray, core: np.ndarray, hull: np.ndarray, place: list[np.ndarray], memory: Memory) -> dict[str, np.ndarray]:
+    """Resolves the blocks of a batch, in order of their ``place``: three columns of the document's key, and the start. ``hull``: two columns.
 
     Gives the blocks to send: ``at`` (which block), ``deal``, ``state``, and ``n`` (stretches of known repeats are joined).
     """
+    start = place[3]
     order = np.argsort(hull[:, 0], kind="stable")
-    same = (hull[order[1:]] == hull[order[:-1]]).all(1)
     known = np.zeros(len(doc), bool)
-    known[order[1:]] = same
+    known[order[1:]] = (hull[order[1:]] == hull[order[:-1]]).all(1)
+    first = np.flatnonzero(~known)
+    known[first] = memory.repeats(hull[first], [c[first] for c in place])
     first = np.flatnonzero(~known)
     by_core = first[np.lexsort((hull[first, 0], core[first]))]
     leads = np.concatenate(([True], core[by_core[1:]] != core[by_core[:-1]]))[: len(by_core)]
     group = np.cumsum(leads) - 1
-    shared = np.bincount(group)[group] > 1 if len(group) else leads
+    shared, sent = memory.groups(core[by_core][leads], hull[by_core, 0][leads], np.bincount(group) > 1)
+    leads[leads] = ~sent
     again = np.flatnonzero(known)
     joined = np.zeros(len(again), bool)
     joined[1:] = (doc[again[1:]] == doc[again[:-1]]) & (start[again[1:]] == start[again[:-1]] + n[again[:-1]])
@@ -123,7 +161,7 @@ def deal(doc: np.ndarray, start: np.ndarray, n: np.ndarray, lead: np.ndarray, co
     return {
         "at": np.concatenate((by_core, again)),
         "deal": np.concatenate((np.where(leads, core[by_core], hull[by_core, 1]), hull[again, 0] + start[again].astype(np.uint64) * np.uint64(_BASE))),
-        "state": np.concatenate((np.where(shared, SHARED, UNSURE), np.full(len(again), KNOWN))),
+        "state": np.concatenate((np.where(shared[group], SHARED, UNSURE), np.full(len(again), KNOWN))),
         "n": np.concatenate((n[by_core], sums)),
     }
 
@@ -146,7 +184,7 @@ def _first_pass(threshold: int, depth: int, piece: int):
     """Whole texts to blocks around their smallest grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, width = Grams(piece + threshold), threshold - depth + 1
+        grams, width, memory = Grams(piece + threshold), threshold - depth + 1, Memory()
 
         def blocks(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             """parts: (none, id, hash, first byte, bytes), no document twice at one place."""
@@ -166,9 +204,9 @@ def _first_pass(threshold: int, depth: int, piece: int):
                 return
             part = np.searchsorted(offsets, start, "right") - 1
             hull = _digests(memoryview(raw), zip(start.tolist(), (start + n + threshold - 1).tolist()))
-            sent = deal(part, start, n, lead, core, hull)
-            keys = [np.array([p[k] for p in parts])[part] for k in range(3)]
-            own = start - offsets[part] + np.array([p[3] for p in parts])[part]
+            *keys, begins = (np.array([p[k] for p in parts])[part] for k in range(4))
+            own = start - offsets[part] + begins
+            sent = deal(part, n, core, hull, [*keys, own], memory)
             yield _batch(sent, keys, own, lead, hull, None)
 
         for batch in batches:
@@ -196,6 +234,7 @@ def _next_pass(threshold: int, depth: int):
     width = threshold - depth + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory()
         for batch in batches:
             rows = sorted(set(zip(*[c.to_pylist() for c in batch.columns])))  # key, start, n, lead, hull
             doc, start, n, lead, core, hulls, keys, documents = [], [], [], [], [], [], [], {}
@@ -221,8 +260,9 @@ def _next_pass(threshold: int, depth: int):
             hull = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, hulls)), np.uint64).reshape(-1, 2)
             core = hull[:, 1] if width == 1 else np.array(core, np.uint64)
             start, n, lead = (np.array(x, np.int64) for x in (start, n, lead))
-            sent = deal(np.array(doc), start, n, lead, core, hull)
-            yield _batch(sent, [np.array(k) for k in zip(*keys)], start, lead, hull, None if width == 1 else hulls)
+            keys = [np.array(k) for k in zip(*keys)]
+            sent = deal(np.array(doc), n, core, hull, [*keys, start], memory)
+            yield _batch(sent, keys, start, lead, hull, None if width == 1 else hulls)
 
     return run
 

@@ -100,3 +100,42 @@ def test_shuffle_files_go_with_the_write(spark):
     before = spark.conf.get(setting, None)
     assert stage_free(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "freed").count() == 7
     assert spark.conf.get(setting, None) == before
+
+
+def test_memory_knows_only_later_places():
+    memory = suffix_dedup.Memory(4)
+
+    def repeats(*blocks):
+        """blocks: (hull, (none, id, hash, start))"""
+        hulls, places = zip(*blocks)
+        return memory.repeats(np.array(hulls, np.uint64), [np.array(c) for c in zip(*places)]).tolist()
+
+    here, before, after = (False, 5, 2, 10), (False, 5, 1, 90), (True, 0, 0, 0)
+    assert repeats(((7, 1), here), ((6, 2), here)) == [False, False]
+    # Neither the remembered place itself nor another hull with half the digest.
+    assert repeats(((7, 1), here), ((6, 3), after)) == [False, False]
+    assert repeats(((7, 1), after)) == [True]
+    assert repeats(((7, 1), before)) == [False] and repeats(((7, 1), here)) == [True]
+    assert repeats(((11, 1), here)) == [False] and repeats(((7, 1), after)) == [False]  # the slot was taken
+
+    def groups(core, hull, shared):
+        return [x.tolist() for x in memory.groups(np.array([core], np.uint64), np.array([hull], np.uint64), np.array([shared]))]
+
+    assert groups(5, 1, False) == [[False], [False]]
+    assert groups(5, 1, False) == [[False], [False]]
+    assert groups(5, 2, False) == [[True], [False]]  # the first to be known as shared is sent
+    assert groups(5, 2, False) == [[True], [True]]
+    assert groups(9, 2, True) == [[True], [False]] and groups(5, 2, False) == [[False], [False]]
+
+
+def test_hot_blocks_are_sent_once_a_task(spark):
+    """A task sends a hull that it meets in every batch as one row, and its other occurrences as known repeats."""
+    rng = random.Random(4)
+    line = "".join(rng.choices("abcdefgh ", k=400))
+    rows = [(k, False, k, "".join(rng.choices("abcdefgh ", k=900)) + line + "".join(rng.choices("abcdefgh ", k=900))) for k in range(200)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in ([r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows], [r[3].encode() for r in rows])], names=["none", "id", "hash", "text"])
+    sent = pa.Table.from_batches(list(suffix_dedup._first_pass(100, 32, 4000)(iter([batch])))).to_pandas()
+    groups = sent[sent.state != suffix_dedup.KNOWN].groupby(["deal"]).size()
+    assert groups.max() <= 3 and (sent.state == suffix_dedup.KNOWN).sum() >= 190
