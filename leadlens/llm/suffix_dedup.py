@@ -44,9 +44,9 @@ THRESHOLD = 100
 #: Bytes that are compared in each pass; the last one is the threshold.
 DEPTHS = (32, 85, 100)
 #: Bytes of texts that are cut into blocks at once (less than 2 ** 24).
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Hulls, and cores, that a task remembers; a power of two.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 
 KEY = ["none", "id", "hash"]
 UNSURE, SHARED, KNOWN = 0, 1, 2
