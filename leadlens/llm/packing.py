@@ -6,7 +6,7 @@ one bitset a step, finds the multiset that comes closest to the capacity, and th
 best window still misses more than ``MOST_SLACK`` tokens, a remainder is cut to fill it. At the end of a task the rest that
 fills no window is cut into sequences whose lengths are powers of two, which need no padding.
 
-Memory is bounded by the pool (``POOL`` remainders of less than a window each), the cache of ids (``CACHE`` words and pieces) and
+Memory is bounded by the pool (``POOL`` remainders of less than a window each), the table of ids (``CACHE`` words) and
 one document. Null and empty texts are one piece, the end id alone. Repeated rows are packed once for each row. A retried
 task makes the same sequences from the same rows; extra columns are not carried.
 """
@@ -27,12 +27,14 @@ from pyspark.sql import functions as F
 CAPACITY = 4096
 END_ID = 2
 POOL = 256
-CACHE = 800_000
+CACHE = 1 << 19
+#: Bytes of texts that are cut into words at once.
+SLICE = 1 << 20
 #: Pieces that go through the tokenizer in one call.
 TOGETHER = 200
 MOST_SLACK = 4
 #: Documents encoded together.
-GROUP = 64
+GROUP = 256
 #: Sequences of a task are numbered within its stretch of ids.
 STRETCH = 1 << 36
 
@@ -41,7 +43,16 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 # The tokenizer's own cut of a word into pieces, for ASCII words in lower case.
 PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+WHITE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 WORD_END = "</w>"
+# UTF-8 bytes of the lower-case letters a-z and U+00DF to U+00FF (without the division sign), the marks that may follow
+# a word, and the characters that stand for those of the bytes that are not printable in Latin-1.
+LETTER_BYTES = b"abcdefghijklmnopqrstuvwxyz\xc3" + bytes(b for b in range(0x9F, 0xC0) if b != 0xB7)
+MARK_BYTES = b".,;:!?"
+LETTER_CHARACTERS = {"\x9f": "\u0141", "\xa0": "\u0142", "\xad": "\u0143"}
+_LETTER, _SECOND, _MARK, _OTHER = 1, 2, 3, 4
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[list(LETTER_BYTES[:26])], _KINDS[list(LETTER_BYTES[27:])], _KINDS[list(MARK_BYTES)], _KINDS[list(b" \t\n\r\x0b\x0c")] = _LETTER, _SECOND, _MARK, 0
 LETTERS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
 
@@ -53,23 +64,72 @@ def cut_word(word: bytes) -> list[bytes]:
     return [x.encode() for x in m.groups() if x] if m and m[1].isalpha() and m[1].lower().isalpha() else []
 
 
-class Known(dict):
-    """Ids by word; words that are asked for and not there are noted as ``new``."""
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
-    def __init__(self):
-        super().__init__()
-        self.new: set[bytes] = set()
 
-    def __missing__(self, word: bytes) -> None:
-        self.new.add(word)
+def slices(text: bytes) -> Iterator[bytes]:
+    """Parts of a text that end before white space, of ``SLICE`` bytes or so much more as a word has."""
+    at = 0
+    while len(text) - at > SLICE:
+        stop = max(text.rfind(c, at + 1, at + SLICE) for c in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"))
+        if stop < 0:
+            further = WHITE.search(text, at + SLICE)
+            stop = further.start() if further else len(text)
+        yield text[at:stop]
+        at = stop
+    yield text[at:]
+
+
+class Hashes:
+    """Two 64-bit hashes of stretches of a buffer, by sums from the front."""
+
+    BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+    def __init__(self):
+        self.powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        if not self.powers or len(self.powers[0][0]) < len(data):
+            self.powers = [(_powers(b, len(data) + 4096), _powers(pow(b, -1, 1 << 64), len(data) + 4096)) for b in self.BASES]
+        wide, out = data.astype(np.uint64) + np.uint64(1), []
+        for up, down in self.powers:
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(wide * up[: len(data)], out=sums[1:])
+            x = (sums[ends] - sums[starts]) * down[starts]
+            x ^= x >> np.uint64(29)
+            x *= np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(32)
+            out.append(x)
+        return out
+
+
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text in lower case; marks behind a letter that end a word are a word of their own.
+
+    The tokenizer cuts there as well: such marks are no part of a piece with letters.
+    """
+    kind = _KINDS[data]
+    dark = np.concatenate(([False], kind > 0, [False]))
+    starts, ends = np.flatnonzero(dark[1:] & ~dark[:-1]), np.flatnonzero(dark[:-1] & ~dark[1:])
+    places = np.arange(len(data), dtype=np.int32)
+    before = np.maximum.accumulate(np.where(kind == _MARK, np.int32(-1), places))[ends - 1]  # the last byte that is no mark
+    cut = before[(before >= starts) & (before < ends - 1)]
+    letter = (kind[cut] == _LETTER) | ((kind[cut] == _SECOND) & (data[cut - 1] == 0xC3))
+    cut = cut[letter] + 1
+    return np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space and case.
+    """Ids of whole texts as little-endian unsigned 32-bit integers, for a tokenizer that drops white space and case.
 
-    Such a tokenizer never joins across white space, so it sees each distinct word once while that is in the cache; words
-    are cut into its pieces first, and many pieces go through it in one call, told apart by their word ends. A piece of
-    letters a-z is one piece to the tokenizer as well, so these go through its model without its patterns.
+    Such a tokenizer never joins across white space. A group of texts is cut into words at once, and words are told apart by
+    128 bits of hash. Words that came before are looked up in a table with two slots for each word; the others, each
+    once, go through the tokenizer, many in one call, told apart by their word ends. In a full table a word is kept when it comes
+    again: most that come once never do. A run of lower-case letters of Latin-1 is one piece to the tokenizer, in composed form and lower case already, so
+    these go through its model without its patterns, each byte as the character that stands for it there.
     """
 
     def __init__(self, tokenizer_json: str, most: int = CACHE):
@@ -83,54 +143,137 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.known = Known()
-        self.most = most
+        self.hashes, self.slots = Hashes(), 1 << (most - 1).bit_length()
+        self._afresh()
+
+    def _afresh(self) -> None:
+        self.key = [np.zeros(self.slots, np.uint64) for _ in Hashes.BASES]
+        self.at, self.size = np.zeros(self.slots, np.int64), np.zeros(self.slots, np.int64)  # a word has an id or more
+        self.came = np.zeros(8 * self.slots, bool)
+        self.pool, self.filled = np.zeros(8 * self.slots, "<u4"), 0
 
-    def _alone(self, words: list[bytes]) -> None:
+    def _alone(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
         for first in range(0, len(words), 2000):
             part = words[first : first + 2000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+                into[w] = np.array(e.ids, "<u4").tobytes()
 
-    def _together(self, tokenizer, pieces: list[bytes]) -> None:
+    def _together(self, tokenizer, pieces: list[bytes], into: dict[bytes, bytes], characters: dict[str, str] | None = None) -> None:
         for first in range(0, len(pieces), TOGETHER):
             part = pieces[first : first + TOGETHER]
-            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            joined = b" ".join(part)
+            text = joined.decode("latin-1" if characters else "utf-8")
+            for byte, character in (characters or {}).items():
+                text = text.replace(byte, character)
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) != len(part):  # not one word end a piece
-                self._alone(part)
+                self._alone(part, into)
                 continue
             data = ids.tobytes()
-            self.known.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops)]))
-
-    def learn(self) -> None:
-        """Adds the new words. When the cache is full it starts afresh; what it gave before stays with the caller."""
-        known, new = self.known, self.known.new
-        known.new = set()
-        if len(known) + len(new) > self.most:
-            known.clear()
-        letters = [w for w in new if w.isalpha()]  # of bytes: a-z alone
-        cut = {w: cut_word(w) for w in new if not w.isalpha()}
-        pieces = {p for ps in cut.values() for p in ps if p not in known and not (p in new and p.isalpha())}
-        letters += [p for p in pieces if p.isalpha()]
-        self._together(self.letters, letters)
-        self._together(self.tokenizer, [p for p in pieces if not p.isalpha()])
-        for w, ps in cut.items():
+            into.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def ids_of(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of distinct words."""
+        found: dict[bytes, bytes] = {}
+        other = [w.translate(None, LETTER_BYTES) for w in words]
+        letters = [w for w, o in zip(words, other) if not o]
+        odd = {w: cut_word(w) for w, o in zip(words, other) if o}
+        pieces = {p for ps in odd.values() for p in ps}.difference(letters)
+        spelled = [p for p in pieces if not p.translate(None, LETTER_BYTES)]
+        self._together(self.letters, letters + spelled, found, LETTER_CHARACTERS)
+        self._together(self.tokenizer, list(pieces.difference(spelled)), found)
+        for w, ps in odd.items():
             if ps:
-                known[w] = b"".join([known[p] for p in ps])
-        self._alone([w for w, ps in cut.items() if not ps])
+                found[w] = b"".join([found[p] for p in ps])
+        self._alone([w for w, ps in odd.items() if not ps], found)
+        return found
+
+    def _learn(self, joined: bytes, starts: np.ndarray, ends: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of the ids of words that are not in the table. ``joined`` has the text, ``keys`` the hashes."""
+        pairs = np.empty(len(starts), "u8,u8")
+        pairs["f0"], pairs["f1"] = keys
+        order = np.lexsort(keys)
+        lead = np.ones(len(order), bool)
+        lead[1:] = pairs[order[1:]] != pairs[order[:-1]]
+        one, number = order[lead], np.empty(len(order), np.int64)
+        number[order] = np.cumsum(lead) - 1
+        words = [joined[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
+        found = self.ids_of(words)
+        ids = [found[w] for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        total = int(sizes.sum())
+        if self.filled + total > len(self.pool):
+            self._afresh()
+            if total > len(self.pool):
+                self.pool = np.zeros(2 * total, "<u4")
+        self.pool[self.filled : self.filled + total] = np.frombuffer(b"".join(ids), "<u4")
+        places = self.filled + np.cumsum(sizes) - sizes
+        self.filled += total
+        # A word takes a free slot of its two; where both are taken, it takes one when it has come before.
+        mark = keys[0][one] >> np.uint64(20) & np.uint64(len(self.came) - 1)
+        slot = [k[one] & np.uint64(self.slots - 1) for k in keys]
+        free = [self.size[s] == 0 for s in slot]
+        kept = free[0] | free[1] | self.came[mark]
+        self.came[mark] = True
+        slot = np.where(free[0], slot[0], slot[1])[kept]
+        mine = [k[one][kept] for k in keys]
+        self.at[slot], self.size[slot] = places[kept], sizes[kept]
+        for table, k in zip(self.key, mine):
+            table[slot] = k
+        return places[number], sizes[number]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        ids_of = self.known.__getitem__
-        split = [text.lower().split() for text in texts]  # A-Z, and at ASCII white space
-        found = [list(map(ids_of, words)) for words in split]
-        self.learn()
-        for words, ids in zip(split, found):
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                ids[at] = ids_of(words[at])
-            yield b"".join(ids)
+        """The ids of each text. A longer one than ``SLICE`` goes alone and in parts."""
+        waiting, held = [], 0
+        for text in texts:
+            if held + len(text) > SLICE:
+                yield from self._group(waiting)
+                waiting, held = [], 0
+            if len(text) > SLICE:
+                yield b"".join([ids for part in slices(text) for ids in self._group([part])])
+            else:
+                waiting.append(text)
+                held += len(text)
+        yield from self._group(waiting)
+
+    def _group(self, texts: list[bytes]) -> Iterator[bytes]:
+        joined = b" ".join(texts).lower()  # A-Z
+        data = np.frombuffer(joined, np.uint8)
+        if not joined.strip():
+            yield from (b"" for _ in texts)
+            return
+        starts, ends = words_of(data)
+        keys = self.hashes(data, starts, ends)
+        places, sizes = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        for k in keys:
+            slot = k & np.uint64(self.slots - 1)
+            same = (self.key[0][slot] == keys[0]) & (self.key[1][slot] == keys[1]) & (self.size[slot] > 0)
+            places[same], sizes[same] = self.at[slot[same]], self.size[slot[same]]
+        pool, missed = self.pool, np.flatnonzero(sizes == 0)
+        ids = _gather(pool, places, sizes)
+        if len(missed):
+            # What was found stays as it is read here, also if the table starts afresh.
+            more = self._learn(joined, starts[missed], ends[missed], [k[missed] for k in keys])
+            all_sizes = sizes.copy()
+            all_sizes[missed] = more[1]
+            whole = np.empty(int(all_sizes.sum()), "<u4")
+            new = np.zeros(len(starts), bool)
+            new[missed] = True
+            new = np.repeat(new, all_sizes)
+            whole[~new], whole[new] = ids, _gather(self.pool, *more)
+            ids, sizes = whole, all_sizes
+        stops = np.concatenate(([0], np.cumsum(sizes)))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        first, last = np.searchsorted(starts, begins), np.searchsorted(starts, begins + lengths)
+        for a, b in zip(stops[first].tolist(), stops[last].tolist()):
+            yield ids[a:b].tobytes()
+
+
+def _gather(pool: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    stops = np.cumsum(sizes)
+    return pool[np.repeat(places - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
 
 
 def encoder_for(tokenizer_json: str) -> Encoder:

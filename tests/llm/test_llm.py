@@ -355,8 +355,9 @@ def test_encoder_equals_tokenizer():
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
     tokenizer.encode_special_tokens = True
-    rng, letters = random.Random(5), " \t\n\r\x0b\x0c\x1c\x85\u2003aAbé\u0301ΣσİK'sStT9²!?<|>ﬁ漢\u200d😀"
+    rng, letters = random.Random(5), " \t\n\r\x0b\x0c\x1c\x85\u2003\xa0\xad\u0142ßÿ÷×àÉöaAbé\u0301.,ΣσİK'sStT9²!?<|>ﬁ漢\u200d😀"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)] + ["<|endoftext|> x"]
+    texts += ["".join(rng.choice("abeéßàüÿ") for _ in range(rng.randint(1, 9))) + rng.choice(["", ".", ",", "?!", "...", " ", "’s"]) for _ in range(3000)] * 2
     encoder = packing.Encoder(open(TOKENIZER).read(), most=500)
     for first in range(0, len(texts), 100):
         part = texts[first : first + 100]
@@ -364,6 +365,20 @@ def test_encoder_equals_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(x, add_special_tokens=False).ids, x
 
 
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "SLICE", 60)
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    texts = ["one two, three. " * 40, "x" * 300, "short", "", "\t" * 200, "word " + "y" * 200 + " end" * 30, "\n".join(f"line {k}." for k in range(50)), "a" * 60, "b" * 61]
+    encoder = packing.Encoder(open(TOKENIZER).read(), most=64)
+    for _ in range(3):
+        got = list(encoder.encode([x.encode() for x in texts]))
+        assert [np.frombuffer(i, "<u4").tolist() for i in got] == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert b"".join(packing.slices(texts[0].encode())).decode() == texts[0]
+
+
 # 3, HTML
 
 
