@@ -772,7 +772,7 @@ def _(r):
 
 
 def _with_classes(r, flows_out: bool = False):
-    t = r
+    t = r.parsed()
     people, rows = _people_and_rows(t)
     entity = stage(B.entity_base(t, CONFIG, people, DATE_FROM, rows), "entity_base")
     if flows_out:
@@ -1006,7 +1006,7 @@ _HOURLY_SQL = """(SELECT user_id AS site, date_trunc('hour', ts) AS ts, sum(floo
 
 
 def _section(r, name: str):
-    return DOC.sections(r, CONFIG, "%nation_1%")[name]()
+    return DOC.sections(r.parsed(), CONFIG, "%nation_1%")[name]()
 
 
 _DAYS_MG = "SELECT {0} AS key, CAST(sum(days) AS BIGINT) AS entity_days, count(*) AS entities FROM {1} WHERE days >= 1 GROUP BY 1"
@@ -1121,7 +1121,7 @@ FROM (SELECT key, period, entity_days, entities, {O.MEASURES}, {O.PER_DAY} FROM
   UNION ALL {_DAYS_BY.format('flow', 'roster')}) dd USING (key))""",
 )
 def _(r):
-    part = PY.grain_parts(DOC.sections(r, CONFIG), CONFIG, "booking", "")["tab1"]()
+    part = PY.grain_parts(DOC.sections(r.parsed(), CONFIG), CONFIG, "booking", "")["tab1"]()
     blocks = ", ".join(f"{name} MAP<STRING, STRUCT<{_BLOCK}>>" for name in PY.COHORT_KEYS)
     read = part.select(F.from_json("json", f"{blocks}, non_days INT").alias("d"))
     named = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(f"d.{name}").alias("periods")) for name in PY.COHORT_KEYS]))
@@ -1136,7 +1136,7 @@ UNION ALL SELECT 'weather of site 3', min(day), NULL, count(*) FROM (SELECT DIST
   WHERE site = 3 AND CAST(ts AS DATE) BETWEEN (SELECT min(d) FROM days_panel) - 1 AND DATE '{CONFIG.today}')""",
 )
 def _(r):
-    parts = PY.days_parts(DOC.sections(r, CONFIG), "", site=3)
+    parts = PY.days_parts(DOC.sections(r.parsed(), CONFIG), "", site=3)
     out = None
     for name in PY.HOUR_LISTS:
         cells = parts[name]().select(F.inline(F.from_json("json", "ARRAY<STRUCT<d: DATE, hr: INT, n: BIGINT>>")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from threading import RLock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import ANSWER_LABELS, CLASS_LABELS, FunnelConfig
 from ..operators.aggregates import complement_count
 from ..operators.joins import lookup
-from ..session import stage, staging
+from ..session import stage, staging, together
 from ..sources.publish import publish_json
 from . import classes as C
 from . import engagement as E
@@ -31,21 +32,25 @@ ACTUAL = ["mg_lo", "mg_hi", "no_mg"]
 
 
 class Once:
-    """A shared input: made by the first panel that needs it. If that fails, all panels that need it fail alike."""
+    """A shared input: made by the first panel that needs it. If that fails, all panels that need it fail alike.
+
+    Others that ask for it at the same time wait for the first.
+    """
 
     def __init__(self, make: Callable):
-        self.make, self.value, self.error = make, None, None
+        self.make, self.value, self.error, self.lock = make, None, None, RLock()
 
     def __call__(self):
-        if self.error:
-            raise self.error
-        if self.value is None:
-            try:
-                self.value = self.make()
-            except PySparkException as error:
-                self.error = error
-                raise
-        return self.value
+        with self.lock:
+            if self.error:
+                raise self.error
+            if self.value is None:
+                try:
+                    self.value = self.make()
+                except PySparkException as error:
+                    self.error = error
+                    raise
+            return self.value
 
 
 def staged(make: Section, name: str) -> Once:
@@ -98,7 +103,8 @@ def relabel(base: DataFrame, classes: DataFrame) -> DataFrame:
 def grain_sections(base: Section, rules, people: Section, classes: Section, cfg: FunnelConfig) -> dict[str, Section]:
     """Cohort, category, screen, engagement and class panels of one grain."""
     labelled = Once(lambda: with_class(people(), classes(), "mg"))
-    cuts = staged(lambda: P.funnel_cuts(relabel(base(), classes()), rules), "cuts")
+    # The classes come from the other base: both are made at the same time.
+    cuts = staged(lambda: P.funnel_cuts(relabel(*together(base, classes)), rules), "cuts")
 
     def actual() -> DataFrame:
         block = cuts().filter(F.col("dim") == "mg").drop("dim").withColumnRenamed("key", "mg")

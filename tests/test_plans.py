@@ -338,6 +338,59 @@ def test_steps_run_together_within_the_block(spark):
     assert ended == [5]
 
 
+def test_a_shared_input_is_made_once_for_all_that_wait():
+    import threading
+
+    made, begun = [], threading.Event()
+
+    def make():
+        made.append(begun.wait(2))  # the second one asks meanwhile
+        return len(made)
+
+    shared, got = DOC.Once(make), []
+    threads = [threading.Thread(target=lambda: got.append(shared())) for _ in range(2)]
+    for thread in threads:
+        thread.start()
+    begun.set()
+    for thread in threads:
+        thread.join()
+    assert made == [True] and got == [1, 1]
+
+
+def test_cuts_make_both_bases_at_the_same_time(bases):
+    import threading
+
+    meet = threading.Barrier(2, timeout=60)  # passes only if both are made at once
+
+    def after(df):
+        meet.wait()
+        return df
+
+    found = C.classify_entities(bases.entity, bases.roster, CONFIG)
+    base, classes = DOC.Once(lambda: after(bases.booking)), DOC.Once(lambda: after(found))
+    panel = DOC.grain_sections(base, P.RULES_BOOKING, lambda: bases.roster, classes, CONFIG)["classes"]()
+    plain = P.funnel_cuts(DOC.relabel(bases.booking, found), P.RULES_BOOKING).filter("dim = 'mg'")
+    got = {tuple(r) for r in panel.filter("period IS NOT NULL").select("key", "period", "received").collect()}
+    assert got == {tuple(r) for r in plain.select("key", "period", "received").collect()}
+
+
+def test_parsed_events_keep_every_row_and_are_read_from_json_once(spark, frame, tmp_path):
+    rows = [
+        (1, D(2024, 1, 17, 3), 5, "view", 9.5, '{"k": 12}'),
+        (1, D(2024, 1, 17, 3), 5, "view", 9.5, '{"k": 12}'),  # came twice
+        (2, None, 5, "", None, "{}"),
+        (3, D(2024, 1, 18), None, None, 1.0, "no JSON"),
+        (None, D(2024, 1, 19, 0, 0, 0, 7), 6, "signup", 2.0, None),
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    frame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    t = EventRoles(spark, str(tmp_path))
+    once, cols = t.parsed(), ["event_id", "ts", "user_id", "event_type", "value", "k"]
+    assert once.events.schema == t.events.schema and values(once.events, *cols) == values(t.events, *cols)
+    for role in ("candidates", "users", "profiles", "history"):
+        assert "get_json_object" in plan_of(getattr(t, role)) and "get_json_object" not in plan_of(getattr(once, role))
+
+
 def test_weather_is_optional_and_of_one_site(spark, frame):
     t = EventRoles(spark, SMALL)
     t.__dict__["hourly"] = None
